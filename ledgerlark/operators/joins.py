@@ -13,7 +13,7 @@ def broadcastable(df: DataFrame) -> bool:
     """True when the optimizer's own size estimate lets it broadcast this side."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString()) <= int(limit)
+    return int(str(size)) <= int(limit)
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
