@@ -26,8 +26,8 @@ def monthly_revenue(t: Tables, dense: bool = False) -> DataFrame:
     if dense:
         following = F.lead("month").over(Window.orderBy("month"))
         last_filled = F.coalesce(F.add_months(following, -1), F.col("month"))
-        filled = F.explode(F.sequence("month", last_filled, F.expr("interval 1 month")))
-        monthly = monthly.withColumn("slot", filled).select(
+        slots = F.explode(F.sequence("month", "last_filled", F.expr("interval 1 month")))
+        monthly = monthly.withColumn("last_filled", last_filled).withColumn("slot", slots).select(
             F.col("slot").alias("month"),
             F.when(F.col("slot") == F.col("month"), F.col("revenue")).otherwise(F.lit(0)).alias("revenue"),
         )

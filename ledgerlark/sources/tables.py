@@ -2,36 +2,43 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlark.sources.schemas import SPEC
 
 
-@dataclass(frozen=True)
 class Tables:
-    customers: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    products: DataFrame
-    product_category_translation: DataFrame
-    sellers: DataFrame
-    order_payments: DataFrame
-    order_reviews: DataFrame
+    """customers, orders, order_items, products, product_category_translation, sellers, order_payments, order_reviews.
 
-    def items(self):
-        return [(f.name, getattr(self, f.name)) for f in fields(self)]
+    A table is given as a DataFrame, or as a function that opens it on first use, so that a plan only touches the
+    files of the tables it names.
+    """
+
+    def __init__(self, **sources: DataFrame | Callable[[], DataFrame]):
+        if sources.keys() != SPEC.keys():
+            raise ValueError(f"expected the tables {sorted(SPEC)}, got {sorted(sources)}")
+        self._sources = sources
 
     def __getitem__(self, name: str) -> DataFrame:
-        return getattr(self, name)
+        source = self._sources[name]
+        if not isinstance(source, DataFrame):
+            self._sources[name] = source = source()
+        return source
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._sources:
+            raise AttributeError(name)
+        return self[name]
+
+    def items(self):
+        return [(name, self[name]) for name in self._sources]
 
 
 def read_tables(spark: SparkSession, root: str) -> Tables:
     """Open a loaded store: one parquet directory per table, schemas declared rather than read from footers."""
-    return Tables(
-        **{f.name: spark.read.schema(SPEC[f.name].schema).parquet(f"{root}/{f.name}") for f in fields(Tables)}
-    )
+    return Tables(**{name: spark.read.schema(spec.schema).parquet(f"{root}/{name}") for name, spec in SPEC.items()})
 
 
 def save_bucketed(tables: Tables, database: str, buckets: int) -> dict[str, DataFrame]:

@@ -14,6 +14,27 @@ OTHER_STATUS = "processing"
 TRANSLATED = ("ECONOMY", "LARGE", "MEDIUM", "PROMO")
 ESTIMATE_DAYS = 365
 
+# The schemas of the driver's tables, declared so that opening one reads no footer.
+RAW = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
+def read_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(RAW[name]).parquet(f"{sf_dir}/{name}.parquet")
+
 
 def _renamed(df: DataFrame, **columns: Column | str) -> DataFrame:
     return df.select(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()])
@@ -43,38 +64,40 @@ def load(spark: SparkSession, sf_dir: str, arrivals: bool = False, only_delivere
     """
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return read_raw(spark, sf_dir, name)
 
     def names(df: DataFrame, key: str, value: str) -> Column:
         """A table of 25 or 5 rows as one map; unlike a join it keeps the size estimate of the table it labels."""
         return df.agg(F.map_from_entries(F.collect_list(F.struct(key, value)))).scalar()
 
-    nation_name = names(read("nation"), "n_nationkey", "n_name")
-    nation_region = names(read("nation"), "n_nationkey", "n_regionkey")
-    region_name = names(read("region"), "r_regionkey", "r_name")
-    orders, lines = read("orders"), read("lineitem")
-    if only_delivered:
-        orders = orders.where(F.col("o_orderstatus") == "F")
-    orders = _arrivals(orders, lines) if arrivals else orders.withColumn("arrival", _null("timestamp_ntz"))
+    def nation_name(key: str) -> Column:
+        return names(read("nation"), "n_nationkey", "n_name")[F.col(key)]
 
-    status = F.lit(OTHER_STATUS)
-    for code, label in reversed(STATUS.items()):
-        status = F.when(F.col("o_orderstatus") == code, label).otherwise(status)
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    translation = ", ".join(f"('{name}', '{name.lower()}_en')" for name in TRANSLATED)
+    def region_name(key: str) -> Column:
+        region = names(read("nation"), "n_nationkey", "n_regionkey")[F.col(key)]
+        return names(read("region"), "r_regionkey", "r_name")[region]
 
-    return Tables(
-        customers=_renamed(
+    def customers() -> DataFrame:
+        return _renamed(
             read("customer"),
             customer_id="c_custkey",
             customer_unique_id="c_custkey",
             customer_zip_code_prefix=zero_pad(F.col("c_custkey")),
             customer_city=F.concat(F.lit("CITY_"), "c_nationkey"),
-            customer_state=nation_name[F.col("c_nationkey")],
-            customer_region=region_name[nation_region[F.col("c_nationkey")]],
-        ),
-        orders=_renamed(
-            orders,
+            customer_state=nation_name("c_nationkey"),
+            customer_region=region_name("c_nationkey"),
+        )
+
+    def orders() -> DataFrame:
+        raw = read("orders")
+        if only_delivered:
+            raw = raw.where(F.col("o_orderstatus") == "F")
+        raw = _arrivals(raw, read("lineitem")) if arrivals else raw.withColumn("arrival", _null("timestamp_ntz"))
+        status = F.lit(OTHER_STATUS)
+        for code, label in reversed(STATUS.items()):
+            status = F.when(F.col("o_orderstatus") == code, label).otherwise(status)
+        return _renamed(
+            raw,
             order_id="o_orderkey",
             customer_id="o_custkey",
             order_status=status,
@@ -83,9 +106,12 @@ def load(spark: SparkSession, sf_dir: str, arrivals: bool = False, only_delivere
             order_delivered_carrier_date="arrival",
             order_delivered_customer_date="arrival",
             order_estimated_delivery_date=F.col("o_orderdate") + F.expr(f"interval {ESTIMATE_DAYS} days"),
-        ),
-        order_items=_renamed(
-            lines,
+        )
+
+    def order_items() -> DataFrame:
+        price = F.col("l_extendedprice").cast("decimal(12,2)")
+        return _renamed(
+            read("lineitem"),
             order_id="l_orderkey",
             order_item_id="l_linenumber",
             product_id="l_partkey",
@@ -93,8 +119,10 @@ def load(spark: SparkSession, sf_dir: str, arrivals: bool = False, only_delivere
             shipping_limit_date="l_shipdate",
             price=price,
             freight_value=price * F.col("l_tax").cast("decimal(4,2)"),
-        ),
-        products=_renamed(
+        )
+
+    def products() -> DataFrame:
+        return _renamed(
             read("part"),
             product_id="p_partkey",
             product_category_name=F.nullif("p_type", F.lit("SMALL")),
@@ -105,26 +133,33 @@ def load(spark: SparkSession, sf_dir: str, arrivals: bool = False, only_delivere
             product_length_cm=_null("int"),
             product_height_cm=_null("int"),
             product_width_cm=_null("int"),
-        ),
-        product_category_translation=spark.sql(
-            f"SELECT * FROM VALUES {translation} AS t(product_category_name, product_category_name_english)"
-        ),
-        sellers=_renamed(
+        )
+
+    def translation() -> DataFrame:
+        pairs = ", ".join(f"('{name}', '{name.lower()}_en')" for name in TRANSLATED)
+        return spark.sql(f"SELECT * FROM VALUES {pairs} AS t(product_category_name, product_category_name_english)")
+
+    def sellers() -> DataFrame:
+        return _renamed(
             read("supplier"),
             seller_id="s_suppkey",
             seller_zip_code_prefix=zero_pad(F.col("s_suppkey")),
             seller_city=F.concat(F.lit("CITY_"), "s_nationkey"),
-            seller_state=nation_name[F.col("s_nationkey")],
-        ),
-        order_payments=_renamed(
+            seller_state=nation_name("s_nationkey"),
+        )
+
+    def order_payments() -> DataFrame:
+        return _renamed(
             read("events"),
             order_id=F.expr("event_id div 2"),
             payment_sequential=(F.col("event_id") % 2 + 1).cast("int"),
             payment_type="event_type",
             payment_installments=(F.col("user_id") % 12).cast("int"),
             payment_value=F.col("value").cast("decimal(10,2)"),
-        ),
-        order_reviews=_renamed(
+        )
+
+    def order_reviews() -> DataFrame:
+        return _renamed(
             read("conversations"),
             review_id="conv_id",
             order_id="turn",
@@ -133,5 +168,15 @@ def load(spark: SparkSession, sf_dir: str, arrivals: bool = False, only_delivere
             review_comment_message="text",
             review_creation_date=_null("timestamp_ntz"),
             review_answer_timestamp=_null("timestamp_ntz"),
-        ),
+        )
+
+    return Tables(
+        customers=customers,
+        product_category_translation=translation,
+        products=products,
+        sellers=sellers,
+        orders=orders,
+        order_items=order_items,
+        order_payments=order_payments,
+        order_reviews=order_reviews,
     )
