@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 64
-TRACKED_KEYS = 8192  # every key above roughly 1/6000 of the rows is certain to be reported
+MAX_HOT_KEYS = 256
+TRACKED_KEYS = 8192  # a key above roughly 1/2000 of the rows is certain to be seen
 
 
 def broadcastable(df: DataFrame) -> bool:
@@ -16,45 +16,39 @@ def broadcastable(df: DataFrame) -> bool:
     return int(str(size)) <= int(limit)
 
 
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """At most MAX_HOT_KEYS frequent values of the key, from one mergeable sketch per task (no row shuffle).
+def hot_keys(df: DataFrame, key: str) -> list:
+    """At most MAX_HOT_KEYS frequent values of the key, NULL among them, from one mergeable sketch per task (an action).
 
-    Only the load balance of a join depends on this list, never its result.
+    Reads the key column only and shuffles no rows. Only the load balance of a join depends on this list, never its
+    result; it is fetched once so that both sides of the join use the same list.
     """
     sketch = F.call_function("approx_top_k", F.col(key), F.lit(MAX_HOT_KEYS), F.lit(TRACKED_KEYS))
-    found = df.agg(sketch.alias("top")).select(F.explode("top").alias("t"))
-    return found.select(F.col("t.item").alias(key), F.lit(True).alias("is_hot")).where(F.col(key).isNotNull())
+    return [entry["item"] for entry in df.agg(sketch.alias("top")).first()["top"]]
 
 
-def salted_lookup(fact: DataFrame, dim: DataFrame, key: str, how: str, hot_source: DataFrame) -> DataFrame:
+def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: list) -> DataFrame:
     """Shuffle join that spreads the rows of each hot key over all shuffle partitions.
 
     The salt is the number of the task that read the row: free, stable when a task is repeated, and able to separate
-    identical rows. Only the at most MAX_HOT_KEYS rows of `dim` that belong to hot keys are repeated per salt.
+    identical rows. Only the rows of `dim` that belong to hot keys are repeated, once per salt.
     """
     salts = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(hot_source, key))  # bounded by MAX_HOT_KEYS rows
-    spread = F.col("is_hot") | F.col(key).isNull()
-    left = (
-        fact.join(hot, key, "left")
-        .withColumn("salt", F.when(spread, F.spark_partition_id() % salts).otherwise(0))
-        .drop("is_hot")
-    )
+    column, values = F.col(key), [v for v in hot if v is not None]
+    is_hot = column.isin(values) if values else F.lit(False)
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = (
-        dim.join(hot, key, "left")
-        .withColumn("salt", F.explode(F.when(F.col("is_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("is_hot")
-    )
+    left = fact.withColumn("salt", F.when(is_hot | column.isNull(), F.spark_partition_id() % salts).otherwise(0))
+    right = dim.withColumn("salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0)))))
     return left.join(right, [key, "salt"], how).drop("salt")
 
 
 def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", hot_source: DataFrame | None = None) -> DataFrame:
     """Join `fact` to `dim`, which is unique on `key`.
 
-    A dimension within spark.sql.autoBroadcastJoinThreshold is left to Spark, which broadcasts it. A larger one takes
-    the salted shuffle join. `hot_source` names the base table to look for hot keys in when `fact` is itself derived.
+    A dimension within spark.sql.autoBroadcastJoinThreshold is left to Spark, which broadcasts it. For a larger one the
+    hot keys are looked up (in `hot_source`, the base table, when `fact` is itself derived), and the shuffle join is
+    salted if there are any.
     """
     if broadcastable(dim):
         return fact.join(dim, key, how)
-    return salted_lookup(fact, dim, key, how, fact if hot_source is None else hot_source)
+    hot = hot_keys(fact if hot_source is None else hot_source, key)
+    return salted_join(fact, dim, key, how, hot) if hot else fact.join(dim, key, how)

@@ -19,7 +19,6 @@ def orders_enriched(t: Tables) -> DataFrame:
     totals = t.order_items.groupBy("order_id").agg(
         F.count("*").alias("items_count"),
         F.count_distinct("seller_id").alias("sellers_count"),
-        F.sum(facts.line_value()).alias("order_value"),
         F.sum("price").alias("items_subtotal"),
         F.sum("freight_value").alias("freight_total"),
     )
@@ -40,7 +39,7 @@ def orders_enriched(t: Tables) -> DataFrame:
         ),
         "items_count",
         "sellers_count",
-        "order_value",
+        (F.col("items_subtotal") + F.col("freight_total")).alias("order_value"),
         "items_subtotal",
         "freight_total",
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import zero_pad
+from ledgerlark.operators.joins import lookup
 from ledgerlark.sources.tables import Tables
 
 STATUS = {"F": "delivered", "O": "shipped"}
@@ -45,14 +46,15 @@ def _null(kind: str) -> Column:
 
 
 def _arrivals(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """First ship day on or after the order day.
-
-    Each order keeps its set of ship days (deduplicated on the map side, bounded by the calendar); the day is picked
-    after the one-to-one join.
-    """
-    days = lines.groupBy("l_orderkey").agg(F.collect_set("l_shipdate").alias("days"))
-    joined = orders.join(days, orders.o_orderkey == days.l_orderkey, "left")
-    return joined.withColumn("arrival", F.array_min(F.filter("days", lambda d: d >= F.col("o_orderdate"))))
+    """First ship day on or after the order day, NULL where there is none."""
+    placed = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    shipped = lookup(lines.select("l_orderkey", "l_shipdate"), placed, "l_orderkey", hot_source=lines)
+    first = (
+        shipped.where(F.col("l_shipdate") >= F.col("o_orderdate"))
+        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        .agg(F.min("l_shipdate").alias("arrival"))
+    )
+    return orders.join(first, "o_orderkey", "left")
 
 
 def load(spark: SparkSession, sf_dir: str, arrivals: bool = False, only_delivered: bool = False) -> Tables:

@@ -210,10 +210,11 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = []
     for spec in SPECS:
         cells = [F.col(f.name).alias(f.header or f.name) for f in spec.fields]
-        t[spec.name].select(*cells).write.csv(
-            f"{root}/{spec.name}", header=True, quote='"', escape='"', timestampFormat=TIMESTAMP_FORMAT, timestampNTZFormat=TIMESTAMP_FORMAT,
+        csv = t[spec.name].select(*cells).write.options(
+            header=True, quote='"', escape='"', timestampFormat=TIMESTAMP_FORMAT, timestampNTZFormat=TIMESTAMP_FORMAT,
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         )
+        csv.csv(f"{root}/{spec.name}")
         loaded = ingest.ingest(spark, spec, f"{root}/{spec.name}")
         text = [f.name for f in spec.fields if isinstance(f.type, T.StringType)]
         filled = sum((F.count(f.name) for f in spec.fields), F.lit(0))
