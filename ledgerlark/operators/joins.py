@@ -22,8 +22,11 @@ def hot_keys(df: DataFrame, key: str) -> list:
     Reads the key column only and shuffles no rows. Only the load balance of a join depends on this list, never its
     result; it is fetched once so that both sides of the join use the same list.
     """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sketch = F.call_function("approx_top_k", F.col(key), F.lit(MAX_HOT_KEYS), F.lit(TRACKED_KEYS))
-    return [entry["item"] for entry in df.agg(sketch.alias("top")).first()["top"]]
+    found = df.agg(sketch.alias("top"), F.count("*").alias("rows")).first()
+    floor = found["rows"] / (4 * partitions)  # less than a quarter of an average partition is no imbalance
+    return [entry["item"] for entry in found["top"] if entry["count"] > floor]
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: list) -> DataFrame:

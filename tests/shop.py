@@ -48,12 +48,18 @@ PAYMENTS = [
 REVIEWS = [("r1", "o1", 5), ("r1", "o2", 4), ("r2", "o3", 1)]
 
 
+def inline(spark, columns: str, rows: list[tuple]):
+    """Text rows as a literal relation."""
+    values = ", ".join("(" + ", ".join("NULL" if v is None else f"'{v}'" for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns.split())})")
+
+
 def make_shop(spark, **changes) -> Tables:
     """The store as Tables; keyword arguments replace the rows of a table."""
 
     def frame(name: str, columns: str, rows: list[tuple]):
         rows = changes.get(name, rows)
-        raw = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns.split()))
+        raw = inline(spark, columns, rows)
         spec = SPEC[name]
         return raw.selectExpr(
             *[
@@ -67,8 +73,13 @@ def make_shop(spark, **changes) -> Tables:
     def text(rows):
         return [tuple(None if v is None else str(v) for v in row) for row in rows]
 
-    changes = {name: text(rows) for name, rows in changes.items()}
     stamp = "2018-01-01 00:00:00"
+    stamps = {"order_items": 1, "order_reviews": 2}
+
+    def pad(name: str, rows: list[tuple]) -> list[tuple]:
+        return text([(*row, *[stamp] * stamps.get(name, 0)) for row in rows])
+
+    changes = {name: pad(name, rows) for name, rows in changes.items()}
     return Tables(
         customers=frame(
             "customers",
@@ -89,7 +100,7 @@ def make_shop(spark, **changes) -> Tables:
         order_items=frame(
             "order_items",
             "order_id order_item_id product_id seller_id price freight_value shipping_limit_date",
-            text([(*row, stamp) if len(row) == 6 else row for row in ITEMS]),
+            pad("order_items", ITEMS),
         ),
         order_payments=frame(
             "order_payments", "order_id payment_sequential payment_type payment_installments payment_value", text(PAYMENTS)
@@ -97,7 +108,7 @@ def make_shop(spark, **changes) -> Tables:
         order_reviews=frame(
             "order_reviews",
             "review_id order_id review_score review_creation_date review_answer_timestamp",
-            text([(*row, stamp, stamp) if len(row) == 3 else row for row in REVIEWS]),
+            pad("order_reviews", REVIEWS),
         ),
     )
 
