@@ -44,14 +44,22 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: list)
     return left.join(right, [key, "salt"], how).drop("salt")
 
 
-def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", hot_source: DataFrame | None = None) -> DataFrame:
+def lookup(
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    how: str = "inner",
+    hot_source: DataFrame | None = None,
+    sized_by: DataFrame | None = None,
+) -> DataFrame:
     """Join `fact` to `dim`, which is unique on `key`.
 
-    A dimension within spark.sql.autoBroadcastJoinThreshold is left to Spark, which broadcasts it. For a larger one the
-    hot keys are looked up (in `hot_source`, the base table, when `fact` is itself derived), and the shuffle join is
-    salted if there are any.
+    A dimension within spark.sql.autoBroadcastJoinThreshold is broadcast. For a larger one the hot keys are looked up
+    (in `hot_source`, the base table, when `fact` is itself derived), and the shuffle join is salted if there are any.
+    `sized_by` is the table that `dim` has one row per row of, when `dim` is a join: the optimizer multiplies the sizes
+    of joined tables, which says nothing about a lookup.
     """
-    if broadcastable(dim):
-        return fact.join(dim, key, how)
+    if broadcastable(dim if sized_by is None else sized_by):
+        return fact.join(F.broadcast(dim), key, how)
     hot = hot_keys(fact if hot_source is None else hot_source, key)
     return salted_join(fact, dim, key, how, hot) if hot else fact.join(dim, key, how)

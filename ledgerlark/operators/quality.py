@@ -24,8 +24,8 @@ def _report_row(df: DataFrame, table: str, check: str, columns: str, violations:
     )
 
 
-def stack_reports(reports: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, reports)
+def stack_reports(reports: list[DataFrame | None]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [r for r in reports if r is not None])
 
 
 def duplicate_keys(df: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFrame:
@@ -75,9 +75,14 @@ def field_conditions(field: Field) -> list[tuple[str, Column]]:
     return checks
 
 
-def check_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """All per-row checks of a table in one scan and one aggregate, turned into report rows afterwards."""
-    checks = [(name, field.name, bad) for field in spec.fields for name, bad in field_conditions(field)]
+CHECK_KINDS = ("not_null", "domain", "range", "length")
+
+
+def check_rows(df: DataFrame, spec: TableSpec, kinds: tuple[str, ...] = CHECK_KINDS) -> DataFrame | None:
+    """The per-row checks of a table in one scan and one aggregate, turned into report rows; None if it declares none."""
+    checks = [(name, f.name, bad) for f in spec.fields for name, bad in field_conditions(f) if name in kinds]
+    if not checks:
+        return None
     counts = df.agg(*[count_where(bad).alias(f"c{i}") for i, (_, _, bad) in enumerate(checks)])
     rows = [
         F.struct(

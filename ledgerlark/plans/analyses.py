@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import month_start, percent, ratio, whole_months
-from ledgerlark.operators.joins import lookup
 from ledgerlark.plans import facts, views
 from ledgerlark.sources.tables import Tables
 
@@ -160,7 +159,7 @@ def daily_revenue(t: Tables, by: str | None = None) -> DataFrame:
         return orders.groupBy(*keys).agg(F.sum("order_value").alias("revenue"), F.count("*").alias("orders"))
     lines = facts.delivered_items(t)
     if by == "category":
-        lines = lookup(lines, facts.product_category(t), "product_id", hot_source=t.order_items)
+        lines = facts.with_category(t, lines)
     return (
         lines.withColumnRenamed(by, "series_id")
         .groupBy("series_id", "day")

@@ -85,6 +85,17 @@ def product_category(t: Tables) -> DataFrame:
     return named.select("product_id", label.alias("category"))
 
 
+def with_category(t: Tables, lines: DataFrame) -> DataFrame:
+    """Attach the display category to item lines."""
+    return lookup(
+        lines,
+        product_category(t),
+        "product_id",
+        hot_source=t.order_items,
+        sized_by=t.products.select("product_id", "product_category_name"),
+    )
+
+
 def person_metrics(t: Tables) -> DataFrame:
     """One row per person with a delivered order: counts, money, first and last purchase day.
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import count_where, days_between, month_start, percent, ratio
-from ledgerlark.operators.joins import lookup
 from ledgerlark.operators.ranking import add_tiles
 from ledgerlark.plans import facts
 from ledgerlark.sources.tables import Tables
@@ -117,7 +116,7 @@ def delivery_summary(t: Tables) -> DataFrame:
 
 
 def category_performance(t: Tables) -> DataFrame:
-    lines = lookup(facts.delivered_items(t), facts.product_category(t), "product_id", hot_source=t.order_items)
+    lines = facts.with_category(t, facts.delivered_items(t))
     return (
         lines.groupBy("category")
         .agg(

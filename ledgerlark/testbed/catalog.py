@@ -176,8 +176,7 @@ def nulls(t: Tables) -> DataFrame:
 
 
 def _row_checks(t: Tables, check: str) -> DataFrame:
-    found = quality.stack_reports([quality.check_rows(t[s.name], s) for s in SPECS])
-    return found.where(F.col("check") == check)
+    return quality.stack_reports([quality.check_rows(t[s.name], s, (check,)) for s in SPECS])
 
 
 query("dq_domain")(lambda t: _row_checks(t, "domain"))
@@ -194,9 +193,9 @@ def ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
         TableSpec("part", (Field("p_size", long, high=25),), ("p_partkey",)),
     )
     t = adapter.load(spark, sf_dir)
-    reports = [quality.check_rows(t[s.name], s) for s in SPECS if s.name != "order_reviews"]
+    reports = [quality.check_rows(t[s.name], s, ("range",)) for s in SPECS if s.name != "order_reviews"]
     reports += [quality.check_rows(adapter.read_raw(spark, sf_dir, s.name), s) for s in extra]
-    return quality.stack_reports(reports).where(F.col("check") == "range")
+    return quality.stack_reports(reports)
 
 
 query("dq_unmapped_category")(quality.unmapped_categories)
