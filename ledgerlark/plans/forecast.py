@@ -143,7 +143,8 @@ def forecast_recursive(model, df: DataFrame, name: str, event_windows=S.EVENT_WI
     series run inside one task, vectorised over the series, so the horizon costs neither jobs nor shuffles. Series
     shorter than the longest lag have no features and therefore no forecast.
     """
-    memory = max(*S.LAGS, *S.ROLLS)
+    lags, rolls = S.LAGS, S.ROLLS
+    memory = max(*lags, *rolls)
     ensemble = flatten(model)
     events = [(np.datetime64(a), np.datetime64(b)) for a, b in event_windows]
 
@@ -179,7 +180,7 @@ def forecast_recursive(model, df: DataFrame, name: str, event_windows=S.EVENT_WI
                     np.any([(day >= a) & (day <= b) for a, b in events] or [np.zeros(len(day), bool)], axis=0),
                 ]
                 x = np.column_stack(
-                    [history[:, -k] for k in S.LAGS] + [history[:, -k:].mean(axis=1) for k in S.ROLLS] + calendar
+                    [history[:, -k] for k in lags] + [history[:, -k:].mean(axis=1) for k in rolls] + calendar
                 )
                 value = ensemble.predict(x)
                 history = np.column_stack([history[:, 1:], value])

@@ -7,7 +7,7 @@ from ledgerlark.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, "tests", **{"spark.sql.shuffle.partitions": "4"})
+    session = local_session(8, "tests", **{"spark.sql.shuffle.partitions": "4", "spark.sql.maxMetadataStringLength": "2000"})
     yield session
     session.stop()
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import subprocess
+import sys
 from datetime import date, timedelta
 
 import numpy as np
@@ -154,6 +156,24 @@ def test_array_trees_equal_sparks_prediction(spark, fitted):
         assert np.allclose(mine, got["prediction"])
 
 
+def test_worker_code_needs_no_installed_package(fitted, tmp_path):
+    """Executors unpickle the trees and the fit without this package on their path."""
+    from pyspark import cloudpickle
+
+    payload = tmp_path / "payload"
+    payload.write_bytes(cloudpickle.dumps((flatten(fitted[1]), forecast._fit_predict)))
+    code = (
+        "import sys, pickle, numpy as np\n"
+        "from pyspark import cloudpickle\n"
+        "trees, fit = pickle.loads(open(sys.argv[1], 'rb').read())\n"
+        "assert trees.predict(np.zeros((2, 10))).shape == (2,)\n"
+        "assert fit(np.arange(50.0), 3, 2, 3, 7, 1.0).shape == (3,)\n"
+        "assert 'ledgerlark' not in sys.modules\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code, str(payload)], cwd=tmp_path, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+
+
 def test_recursive_forecast_feeds_predictions_back(spark, fitted):
     """Against a plain loop over the horizon for one series, with the features recomputed by the feature operator."""
     df, gbt, forest = fitted
