@@ -19,6 +19,9 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_written: list[str] = []
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder as parquet and continue from the files (an action).
 
@@ -26,5 +29,19 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def copies_written() -> int:
+    """How many copies exist; pass it to discard_copies to drop only later ones."""
+    return len(_written)
+
+
+def discard_copies(spark: SparkSession, since: int = 0) -> None:
+    """Delete the copies this process wrote, once no frame reads them any more."""
+    conf = spark._jsc.hadoopConfiguration()
+    while len(_written) > since:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ledgerlark.functions.columns import coerce_timestamp, zero_pad
 from ledgerlark.operators import quality
-from ledgerlark.operators.lineage import materialise
+from ledgerlark.operators.lineage import copies_written, discard_copies, materialise
 from ledgerlark.sources.schemas import SPECS, Field, TableSpec
 from ledgerlark.sources.tables import Tables
 
@@ -66,13 +66,18 @@ def load_all(
     together with what the store already holds, and only then is anything appended: a violation leaves the store as
     it was.
     """
-    batch, whole = {}, {}
-    for spec in SPECS:
-        name = (files or {}).get(spec.name) or file_pattern.format(table=spec.name)
-        batch[spec.name] = materialise(ingest(spark, spec, f"{src_dir}/{name}"), f"load-{spec.name}")
-        stored = _existing(spark, dst_dir, spec)
-        whole[spec.name] = batch[spec.name] if stored is None else stored.unionByName(batch[spec.name])
-    quality.assert_valid(quality.validate(Tables(**whole)))
-    for spec in SPECS:
-        append_table(batch[spec.name], dst_dir, spec.name)
-    return quality.row_counts(Tables(**batch))
+    kept = copies_written()
+    try:
+        batch, whole = {}, {}
+        for spec in SPECS:
+            name = (files or {}).get(spec.name) or file_pattern.format(table=spec.name)
+            batch[spec.name] = materialise(ingest(spark, spec, f"{src_dir}/{name}"), f"load-{spec.name}")
+            stored = _existing(spark, dst_dir, spec)
+            whole[spec.name] = batch[spec.name] if stored is None else stored.unionByName(batch[spec.name])
+        quality.assert_valid(quality.validate(Tables(**whole)))
+        for spec in SPECS:
+            append_table(batch[spec.name], dst_dir, spec.name)
+        counts = quality.row_counts(Tables(**batch))
+        return spark.createDataFrame(counts.collect(), counts.schema)  # one row per table
+    finally:
+        discard_copies(spark, since=kept)

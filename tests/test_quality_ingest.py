@@ -126,6 +126,44 @@ def test_violation_leaves_the_store_untouched(spark, tmp_path):
     assert read_tables(spark, f"{tmp_path}/store").orders.count() == 2
 
 
+def test_jobs_load_and_report(spark, tmp_path):
+    from ledgerlark.__main__ import main
+    from ledgerlark.operators.lineage import copies_written
+
+    kept = copies_written()
+    src = write_csv(tmp_path)
+    main(["load", src, f"{tmp_path}/store"])
+    main(["report", f"{tmp_path}/store", f"{tmp_path}/out"])
+    assert spark.read.parquet(f"{tmp_path}/out/views/vw_customer_clv").first().customer_unique_id == "u1"
+    assert spark.read.parquet(f"{tmp_path}/out/analyses/monthly_revenue").count() == 1
+    assert spark.read.parquet(f"{tmp_path}/out/dashboard/kpi").first().orders == 1
+    assert copies_written() == kept
+
+
+def test_forecast_job(spark, tmp_path):
+    from datetime import date, timedelta
+
+    from ledgerlark.__main__ import main
+
+    days = [date(2018, 1, 1) + timedelta(i) for i in range(100)]
+    shop = make_shop(
+        spark,
+        orders=[(f"o{i}", "c1", "delivered", f"{d} 10:00:00", None, f"{d} 00:00:00") for i, d in enumerate(days)],
+        order_items=[(f"o{i}", 1, "p1", "s1", f"{50 + 10 * d.weekday()}.00", "1.00") for i, d in enumerate(days)],
+    )
+    for name, df in shop.items():
+        df.write.parquet(f"{tmp_path}/store/{name}")
+    main(["forecast", f"{tmp_path}/store", f"{tmp_path}/out", "--by", "customer_state", "--test-days", "14", "--trees", "3"])
+    scores = {r.model: r for r in spark.read.parquet(f"{tmp_path}/out/scores").collect()}
+    assert set(scores) == {
+        "naive", "seasonal_naive", "seasonal_naive_recursive", "trend_seasonal", "gbt", "forest",
+    }
+    assert all(r.days == 14 for r in scores.values())
+    assert scores["seasonal_naive"].mae == 0 and scores["trend_seasonal"].mae < 5 and scores["gbt"].mae < scores["naive"].mae
+    months = spark.read.parquet(f"{tmp_path}/out/monthly").where("model = 'naive'").count()
+    assert months == 2
+
+
 def test_bad_number_fails_the_load(spark, tmp_path):
     src = write_csv(tmp_path, order_payments=CSV["order_payments"].replace("72.19", "much"))
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
