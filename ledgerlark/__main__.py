@@ -20,13 +20,16 @@ from ledgerlark.sources.tables import read_tables
 
 ANALYSES = (
     analyses.monthly_revenue, analyses.revenue_by_category, analyses.top_customers, analyses.customer_ltv,
-    analyses.top_products, analyses.delivery_performance, analyses.rfm, analyses.cohort_retention,
-    analyses.daily_revenue,
+    analyses.top_products, analyses.delivery_performance, analyses.cohort_retention, analyses.daily_revenue,
 )
 DASHBOARD = (
-    dashboard.kpi, dashboard.worst_states, dashboard.segments, dashboard.state_ranks, dashboard.top_spenders,
-    dashboard.clv_histogram, dashboard.categories, dashboard.delivery_histogram, dashboard.on_time_trend,
-    dashboard.payment_mix, dashboard.top_sellers, dashboard.seller_states, dashboard.repeat_rate, dashboard.peak_month,
+    dashboard.kpi, dashboard.worst_states, dashboard.state_ranks, dashboard.clv_histogram, dashboard.categories,
+    dashboard.delivery_histogram, dashboard.on_time_trend, dashboard.payment_mix, dashboard.top_sellers,
+    dashboard.seller_states, dashboard.repeat_rate, dashboard.peak_month,
+)
+# These start from the scored customers, which the first step has stored.
+FROM_CUSTOMERS = (
+    ("analyses", analyses.rfm), ("dashboard", dashboard.segments), ("dashboard", dashboard.top_spenders),
 )
 
 
@@ -41,9 +44,12 @@ def report(spark: SparkSession, store: str, out: str) -> None:
     """Every view, analysis and dashboard data set as parquet under `out`."""
     t = read_tables(spark, store)
     views.save_views(t, f"{out}/views")
-    for folder, plans in (("analyses", ANALYSES), ("dashboard", DASHBOARD)):
-        for plan in plans:
-            plan(t).write.mode("overwrite").parquet(f"{out}/{folder}/{plan.__name__}")
+    people = views.open_views(spark, f"{out}/views")["vw_customer_clv"]
+    results = [("analyses", plan.__name__, plan(t)) for plan in ANALYSES]
+    results += [("dashboard", plan.__name__, plan(t)) for plan in DASHBOARD]
+    results += [(folder, plan.__name__, plan(t, people=people)) for folder, plan in FROM_CUSTOMERS]
+    for folder, name, df in results:
+        df.write.mode("overwrite").parquet(f"{out}/{folder}/{name}")
 
 
 def forecast_all(spark: SparkSession, store: str, out: str, by: str | None, start, end, test_days: int, trees: int) -> None:

@@ -96,9 +96,12 @@ def delivery_performance(t: Tables) -> DataFrame:
     return views.delivery_summary(t).orderBy(F.desc("delivered_orders"), "customer_state")
 
 
-def rfm(t: Tables, tiles: int = views.TILES, n: int | None = None) -> DataFrame:
-    """Recency, frequency and monetary scores with the segment; the n largest spenders, or everyone."""
-    scored = views.customer_clv(t, tiles).select(
+def rfm(t: Tables, tiles: int = views.TILES, n: int | None = None, people: DataFrame | None = None) -> DataFrame:
+    """Recency, frequency and monetary scores with the segment; the n largest spenders, or everyone.
+
+    `people` is a stored customer view, to save scoring again.
+    """
+    scored = (views.customer_clv(t, tiles) if people is None else people).select(
         "customer_unique_id",
         "recency_days",
         F.col("orders_count").alias("frequency"),

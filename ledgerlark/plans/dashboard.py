@@ -47,9 +47,10 @@ def worst_states(t: Tables, n: int = 10) -> DataFrame:
     return views.delivery_summary(t).orderBy("on_time_pct", "customer_state").limit(n)
 
 
-def segments(t: Tables) -> DataFrame:
+def segments(t: Tables, people: DataFrame | None = None) -> DataFrame:
+    """Customers and mean value per segment; `people` is a stored customer view, to save scoring again."""
     return (
-        views.customer_clv(t)
+        (views.customer_clv(t) if people is None else people)
         .groupBy("segment")
         .agg(F.count("*").alias("customers"), F.sum("clv").alias("clv"))
         .select(
@@ -85,10 +86,10 @@ def state_ranks(t: Tables) -> DataFrame:
     )
 
 
-def top_spenders(t: Tables, n: int = 10) -> DataFrame:
+def top_spenders(t: Tables, n: int = 10, people: DataFrame | None = None) -> DataFrame:
     """The n most valuable people, their segment, and how many of them have been silent for over a year."""
     top = (
-        views.customer_clv(t)
+        (views.customer_clv(t) if people is None else people)
         .select("customer_unique_id", "clv", "orders_count", "recency_days", "segment")
         .orderBy(F.desc("clv"), "customer_unique_id")
         .limit(n)

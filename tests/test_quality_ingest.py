@@ -137,6 +137,9 @@ def test_jobs_load_and_report(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out/views/vw_customer_clv").first().customer_unique_id == "u1"
     assert spark.read.parquet(f"{tmp_path}/out/analyses/monthly_revenue").count() == 1
     assert spark.read.parquet(f"{tmp_path}/out/dashboard/kpi").first().orders == 1
+    assert spark.read.parquet(f"{tmp_path}/out/dashboard/top_spenders").first().clv == spark.read.parquet(
+        f"{tmp_path}/out/analyses/rfm"
+    ).first().monetary
     assert copies_written() == kept
 
 
