@@ -28,5 +28,13 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), cache)
 
 
-QUERIES = {"op9_token_counts": op9_token_counts}
+def op7_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlark.llm.token_shards import documents_of, write_shards
+
+    path = f"{shared_dir(spark)}/wavelet-{uuid4().hex}"
+    write_shards(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return documents_of(spark, path)
+
+
+QUERIES = {"op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
 ORACLE: dict[str, str] = {}
