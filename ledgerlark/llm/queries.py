@@ -36,5 +36,11 @@ def op7_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_of(spark, path)
 
 
-QUERIES = {"op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlark.llm.language_model import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
 ORACLE: dict[str, str] = {}
