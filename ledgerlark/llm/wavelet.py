@@ -26,7 +26,7 @@ class WaveletMatrix:
         ids, n = ids.astype(np.uint16 if planes <= 16 else np.uint32), len(ids)
         zeros, bits, ones = [], [], []
         for plane in range(planes - 1, -1, -1):
-            one = (ids >> plane & 1).astype(bool)
+            one = (ids & ids.dtype.type(1 << plane)) != 0
             packed = np.packbits(one)
             whole = np.zeros(-(-max(n, 1) // BLOCK) * (BLOCK // 8), dtype=np.uint8)
             whole[: len(packed)] = packed
@@ -34,7 +34,7 @@ class WaveletMatrix:
             ones.append(np.concatenate([[0], np.cumsum(in_block, dtype=np.uint32)[:-1]]).astype(np.uint32))
             bits.append(packed)
             zeros.append(n - int(np.count_nonzero(one)))
-            ids = np.concatenate([ids[~one], ids[one]])
+            ids = np.concatenate([ids.compress(~one), ids.compress(one)])
         return WaveletMatrix(n, zeros, bits, ones)
 
     @property
@@ -112,7 +112,7 @@ class WaveletMatrix:
         for plane in range(self.planes - 1, -1, -1):
             one = np.unpackbits(self.bits[plane])[: self.n].astype(bool)
             before = np.empty_like(ids)
-            before[~one] = ids[: self.zeros[plane]]
-            before[one] = ids[self.zeros[plane] :] | ids.dtype.type(1 << (self.planes - 1 - plane))
+            before[np.flatnonzero(~one)] = ids[: self.zeros[plane]]
+            before[np.flatnonzero(one)] = ids[self.zeros[plane] :] | ids.dtype.type(1 << (self.planes - 1 - plane))
             ids = before
         return ids

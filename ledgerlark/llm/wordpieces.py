@@ -8,14 +8,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
-MEMO = 1_000_000  # words remembered per task, then the memo starts again
+MEMO = 600_000  # words remembered per task, then the memo starts again
 PIECE = 1 << 20  # characters split at a time
+JOINED = 64  # new words encoded at a time
+PUNCTUATION = ".,;:!?\"()[]{}*%&$#|-_/<>=+~^`@\\"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPACE = re.compile(r"\s")
-ODD = re.compile(r"[\x1c-\x1f]")  # white space to Python only
+ODD = "\x1c\x1d\x1e\x1f"  # white space to Python only
 
 
 def encoder(path: str):
@@ -49,29 +52,87 @@ def word_wise(path: str) -> bool:
     return plain and r"[^\s\p{L}\p{N}]+" in stages and "behavior=Removed" in stages and "add_prefix_space=False" in stages
 
 
+def word_ends(path: str) -> np.ndarray | None:
+    """For vocabularies that mark the last piece of a run of letters: which ids are such pieces."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    mark = getattr(tokenizer.model, "end_of_word_suffix", None)
+    if not mark:
+        return None
+    ends = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
+    for piece, i in tokenizer.get_vocab(with_added_tokens=False).items():
+        ends[i] = piece.endswith(mark)
+    return ends
+
+
 class Encoder:
     """Ids of texts in order; `encode` takes texts of any length with bounded memory beyond its result."""
 
     def __init__(self, path: str, by_word: bool) -> None:
         self.encode, self.by_word = encoder(path), by_word
+        self.ends = word_ends(path) if by_word else None
         self._forget()
 
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
         self.ids, self.first = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
-    def _learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.index]
-        if not new:
-            return
-        if len(self.index) + len(new) > MEMO and self.index:
-            self._forget()
-            new = list(words)
-        ids = self.encode(new)
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Where the words' ids are kept, after encoding those that are new."""
+        where = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(where < 0)
+        if len(unknown):
+            new = {words[i] for i in unknown.tolist()}
+            if len(self.index) + len(new) > MEMO and self.index:
+                self._forget()
+                unknown, new = np.arange(len(words)), set(words)
+            self._learn(list(new))
+            where[unknown] = np.fromiter(map(self.index.__getitem__, map(words.__getitem__, unknown.tolist())), np.int64, len(unknown))
+        return where
+
+    def _learn(self, new: list[str]) -> None:
+        ids, first = self._encode_words(new)
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-        ends = self.first[-1] + np.cumsum([len(x) for x in ids])
-        self.first = np.concatenate([self.first, ends])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), dtype=np.int32)])
+        self.first = np.concatenate([self.first, self.first[-1] + first[1:]])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words. Letters followed by punctuation are two runs to the tokenizer, so the letters are
+        encoded once whatever follows them."""
+        if self.ends is None:
+            return _flat(self.encode(words))
+        parts: dict[str, int] = {}
+        places = []  # for each word its one or two parts
+        for word in words:
+            core = word.rstrip(PUNCTUATION)
+            if core != word and core.isalpha():
+                core, tail = core.translate(LOWER), word[len(core) :]
+                places.append((parts.setdefault(core, len(parts)), parts.setdefault(tail, len(parts))))
+            elif core.isalpha():
+                places.append((parts.setdefault(core.translate(LOWER), len(parts)),))
+            else:
+                places.append((parts.setdefault(word, len(parts)),))
+        ids, first = self._encode_parts(list(parts))
+        n = np.array([len(p) for p in places])
+        return _gathered(ids, first, np.fromiter(chain.from_iterable(places), np.int64, int(n.sum())), n)
+
+    def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Runs of letters go to the library together, and the pieces that end a run tell them apart again. If there
+        are not as many ends as runs, or for other parts, each goes alone."""
+        letters = [i for i, part in enumerate(parts) if part.isalpha()]
+        groups = [letters[i : i + JOINED] for i in range(0, len(letters), JOINED)]
+        found: list = [None] * len(parts)
+        for group, ids in zip(groups, self.encode([" ".join(parts[i] for i in g) for g in groups]), strict=True):
+            ids = np.array(ids, dtype=np.int32)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(group) and ends[-1] == len(ids):
+                for i, one in zip(group, np.split(ids, ends[:-1]), strict=True):
+                    found[i] = one
+        alone = [i for i, x in enumerate(found) if x is None]
+        for i, ids in zip(alone, self.encode([parts[i] for i in alone]), strict=True):
+            found[i] = ids
+        return _flat(found)
 
     def _groups(self, texts: list[str]) -> Iterator[list[tuple[int, str]]]:
         """Pieces of texts, cut at white space, in groups of about PIECE characters."""
@@ -94,21 +155,23 @@ class Encoder:
         """For groups of pieces: the text's place in `texts`, its number of tokens, and the tokens if asked for."""
         for group in self._groups(texts):
             at = np.array([i for i, _ in group])
-            if any(ODD.search(piece) for _, piece in group):
+            if any(odd in piece for odd in ODD for _, piece in group):
                 found = self.encode([piece for _, piece in group])
                 yield at, np.array([len(x) for x in found]), np.fromiter(chain.from_iterable(found), np.int32) if ids else None
                 continue
-            words = [piece.split() for _, piece in group]
-            self._learn(set(chain.from_iterable(words)))
-            n = np.array([len(w) for w in words])
-            where = np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), np.int64, int(n.sum()))
-            length = (self.first[1:] - self.first[:-1])[where]
-            total = np.concatenate([[0], np.cumsum(length)])
-            ends = np.cumsum(n)
-            tokens = None
+            words, n = [], []
+            for _, piece in group:
+                found = piece.split()
+                words += found
+                n.append(len(found))
+            where, n = self._places(words), np.array(n)
             if ids:
-                tokens = self.ids[np.arange(total[-1]) + np.repeat(self.first[where] - total[:-1], length)]
-            yield at, total[ends] - total[ends - n], tokens
+                tokens, first = _gathered(self.ids, self.first, where, n)
+                yield at, np.diff(first), tokens
+            else:
+                total = np.concatenate([[0], np.cumsum((self.first[1:] - self.first[:-1])[where])])
+                ends = np.cumsum(n)
+                yield at, total[ends] - total[ends - n], None
 
     def counts(self, texts: list[str]) -> np.ndarray:
         if not self.by_word:
@@ -126,3 +189,17 @@ class Encoder:
             for i, text in enumerate(texts):
                 found = np.array(self.encode([text])[0], dtype=np.int32)
                 yield np.array([i]), np.array([len(found)]), found
+
+
+def _flat(ids: list) -> tuple[np.ndarray, np.ndarray]:
+    """Id lists one after the other, and where each begins (one more at the end)."""
+    first = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
+    return np.fromiter(chain.from_iterable(ids), np.int32, int(first[-1])), first
+
+
+def _gathered(ids: np.ndarray, first: np.ndarray, where: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists at `where`, joined in runs of n[0], n[1], ... lists."""
+    length = (first[1:] - first[:-1])[where]
+    total = np.concatenate([[0], np.cumsum(length)])
+    out = ids[np.arange(total[-1]) + np.repeat(first[where] - total[:-1], length)]
+    return out, total[np.concatenate([[0], np.cumsum(n)])]
