@@ -42,5 +42,11 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlark.llm.near_dup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op8_near_dup": op8_near_dup, "op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
 ORACLE: dict[str, str] = {}
