@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,8 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 CODE, GAP = _tables()
+PUNCTUATED = GAP.copy()  # gaps where all of ASCII but letters and digits parts words
+PUNCTUATED[:48] = PUNCTUATED[58:65] = PUNCTUATED[91:97] = PUNCTUATED[123:128] = True
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -42,7 +45,8 @@ INVERSE = pow(BASE, -1, 1 << 64)
 class Words:
     """Word keys of Arrow string columns; one instance per task keeps the powers."""
 
-    def __init__(self) -> None:
+    def __init__(self, gap: np.ndarray = GAP) -> None:
+        self.gap = gap
         self.power = self.inverse = np.ones(1, dtype=np.uint64)
 
     def _grow(self, n: int) -> None:
@@ -58,7 +62,7 @@ class Words:
             to = at + WINDOW
             if to < end:
                 border = int(offsets[np.searchsorted(offsets, to)])
-                while to < border and not (gaps := np.flatnonzero(GAP[data[to : min(to + WINDOW, border)]])).size:
+                while to < border and not (gaps := np.flatnonzero(self.gap[data[to : min(to + WINDOW, border)]])).size:
                     to = min(to + WINDOW, border)
                 to = to + int(gaps[0]) if to < border else border
             yield at, min(to, end)
@@ -71,7 +75,7 @@ class Words:
         keys, begins, ends = [], [], []
         for lo, hi in self._windows(data, offsets):
             part = data[lo:hi]
-            word = ~GAP[part]
+            word = ~self.gap[part]
             begin, end = word.copy(), word.copy()
             begin[1:] &= ~word[:-1]
             end[:-1] &= ~word[1:]
@@ -154,3 +158,18 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+
+
+def text_key(doc_id: str, text: str) -> Column:
+    """Finds the text of a row again; rows of equal id and text share it."""
+    return F.xxhash64(F.col(doc_id), F.coalesce(text, F.lit(""))).alias("text_key")
+
+
+def slices(part: pa.RecordBatch, text: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about `size` bytes of text."""
+    lengths = pc.fill_null(pc.binary_length(part.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    group = (np.cumsum(lengths) - lengths) // size
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [part.num_rows]])
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if b > a:
+            yield part.slice(a, b - a)

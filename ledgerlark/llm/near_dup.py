@@ -14,11 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import Words, mix, rows_of, shingle_sets
+from ledgerlark.llm.common import Words, mix, rows_of, shingle_sets, slices, text_key
 from ledgerlark.llm.components import components
 from ledgerlark.operators.lineage import materialise
 
@@ -100,13 +99,13 @@ def most_differing(how: Linking) -> int:
 
 def sketches(docs: DataFrame, how: Linking, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One written row per document: row_id, doc_id, text_key, set size and digest, band keys, odd sketch."""
-    rows = docs.select(_text_key(doc_id, text), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(text_key(doc_id, text), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = SKETCHED.format(id=rows.schema["doc_id"].dataType.simpleString())
 
     def reduce(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Sketcher(how)
         for part in parts:
-            for piece in _pieces(part):
+            for piece in slices(part, "text"):
                 sizes, digests, bands, odd = own.sketch(piece.column("text"))
                 columns = [
                     piece.column("text_key"),
@@ -121,28 +120,13 @@ def sketches(docs: DataFrame, how: Linking, doc_id: str = "doc_id", text: str =
     return materialise(rows.mapInArrow(reduce, schema).withColumn("row_id", F.monotonically_increasing_id()), "sketches")
 
 
-def _text_key(doc_id: str, text: str):
-    """Finds the text of a row again; rows of equal id and text share it."""
-    return F.xxhash64(F.col(doc_id), F.coalesce(text, F.lit(""))).alias("text_key")
-
-
-def _pieces(part: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about `size` bytes of text."""
-    lengths = np.asarray(pc.fill_null(pc.binary_length(part.column("text")), 0).to_numpy(zero_copy_only=False))
-    group = (np.cumsum(lengths.astype(np.int64)) - lengths) // size
-    cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [part.num_rows]])
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        if b > a:
-            yield part.slice(a, b - a)
-
-
 def _confirmed(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, how: Linking, doc_id: str, text: str) -> DataFrame:
     """(a, b, linked) for the written pairs: the share of common shingles in the full sets, from the texts again."""
     keyed = nodes.select("row_id", "text_key", "n")
     wide = pairs.join(keyed.toDF("a", "key_a", "n_a"), "a").join(keyed.toDF("b", "key_b", "n_b"), "b")
     wide = materialise(wide, "pair-keys")
     needed = materialise(wide.select(F.explode(F.array("key_a", "key_b")).alias("text_key")).distinct(), "pair-texts")
-    rows = docs.select(_text_key(doc_id, text), F.coalesce(text, F.lit("")).alias("text"))
+    rows = docs.select(text_key(doc_id, text), F.coalesce(text, F.lit("")).alias("text"))
     texts = materialise(rows_of(rows, needed, "text_key").dropDuplicates(["text_key"]), "texts")
 
     def check(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -48,5 +48,13 @@ def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op8_near_dup": op8_near_dup, "op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a copy of a benchmark item, and the item."""
+    from ledgerlark.llm.decontaminate import leaks
+
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "share")
+
+
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op8_near_dup": op8_near_dup, "op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
 ORACLE: dict[str, str] = {}
