@@ -56,5 +56,23 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "score", "share")
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op8_near_dup": op8_near_dup, "op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from labelled documents outside fold 1 of 3."""
+    from ledgerlark.llm.common import crc_fold
+    from ledgerlark.llm.quality import fit_quality, score_quality
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return score_quality(docs, fit_quality(docs, labels.where(crc_fold(F.col("doc_id"), 3) != 1)))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from documents outside fold 0 of 5."""
+    from ledgerlark.llm.common import crc_fold
+    from ledgerlark.llm.language_id import fit_languages, predict_languages
+
+    docs = table(spark, sf_dir, "documents")
+    return predict_languages(docs, fit_languages(docs.where(crc_fold(F.col("doc_id"), 5) != 0)))
+
+
+QUERIES = {"op3_language_id": op3_language_id, "op2_quality": op2_quality, "op1_decontaminate": op1_decontaminate, "op8_near_dup": op8_near_dup, "op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
 ORACLE: dict[str, str] = {}
