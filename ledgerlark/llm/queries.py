@@ -74,5 +74,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(docs, fit_languages(docs.where(crc_fold(F.col("doc_id"), 5) != 0)))
 
 
-QUERIES = {"op3_language_id": op3_language_id, "op2_quality": op2_quality, "op1_decontaminate": op1_decontaminate, "op8_near_dup": op8_near_dup, "op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlark.llm.simhash import simhash
+
+    return simhash(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op6_simhash": op6_simhash, "op3_language_id": op3_language_id, "op2_quality": op2_quality, "op1_decontaminate": op1_decontaminate, "op8_near_dup": op8_near_dup, "op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
 ORACLE: dict[str, str] = {}
