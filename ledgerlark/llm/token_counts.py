@@ -69,7 +69,7 @@ def token_counts(
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Encoder(tokenizer, by_word)
         for part in parts:
-            counts = own.counts(part.column("text").to_pylist())
+            counts = own.counts(part.column("text"))
             yield pa.RecordBatch.from_arrays([part.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
 
     encoded = (

@@ -24,21 +24,11 @@ from ledgerlark.operators.lineage import materialise
 RANGE_BYTES = 64 << 20  # text per range of documents
 SHARD_TOKENS = 1 << 23
 SHARD = (
-    "range int, shard int, n_tokens long, doc_ids array<long>, starts array<long>, zeros array<long>, "
+    "range int, shard int, n_tokens long, doc_ids array<long>, starts array<long>, symbols binary, zeros array<long>, "
     "bits array<binary>, ones array<binary>"
 )
 
 
-def vocabulary_size(path: str) -> int:
-    if path.endswith(".model"):
-        import sentencepiece
-
-        return sentencepiece.SentencePieceProcessor(model_file=path).get_piece_size()
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
-
-
 class _Shard:
     """The ids of consecutive documents until they become one row."""
 
@@ -52,19 +42,20 @@ class _Shard:
         self.ids.append(ids.astype(np.uint32))
         self.n += len(ids)
 
-    def row(self, number: int, planes: int) -> pa.RecordBatch:
-        matrix = WaveletMatrix.build(np.concatenate([np.zeros(0, np.uint32), *self.ids]), planes)
+    def row(self, number: int) -> pa.RecordBatch:
+        matrix = WaveletMatrix.build(np.concatenate([np.zeros(0, np.uint32), *self.ids]))
         columns = [
             pa.array([TaskContext.get().partitionId()], pa.int32()),
             pa.array([number], pa.int32()),
             pa.array([self.n], pa.int64()),
             pa.array([self.docs], pa.list_(pa.int64())),
             pa.array([self.starts], pa.list_(pa.int64())),
+            pa.array([matrix.symbols.astype("<u4").tobytes()], pa.binary()),
             pa.array([matrix.zeros], pa.list_(pa.int64())),
             pa.array([[b.tobytes() for b in matrix.bits]], pa.list_(pa.binary())),
             pa.array([[o.astype("<u4").tobytes() for o in matrix.ones]], pa.list_(pa.binary())),
         ]
-        names = ["range", "shard", "n_tokens", "doc_ids", "starts", "zeros", "bits", "ones"]
+        names = ["range", "shard", "n_tokens", "doc_ids", "starts", "symbols", "zeros", "bits", "ones"]
         return pa.RecordBatch.from_arrays(columns, names)
 
 
@@ -76,7 +67,7 @@ def write_shards(
     A null text is empty: its document is the end id alone. Null ids come first; rows with equal ids follow each other
     by text. A document of any length stays in one shard. An empty table writes no shard. Other columns are ignored.
     """
-    by_word, planes = word_wise(tokenizer), max(vocabulary_size(tokenizer) - 1, end_id, 1).bit_length()
+    by_word = word_wise(tokenizer)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     ordered = rows.repartitionByRange(blocks_for(rows, "text", RANGE_BYTES), "doc_id").sortWithinPartitions("doc_id", "text")
     end = np.array([end_id], dtype=np.uint32)
@@ -84,32 +75,21 @@ def write_shards(
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, shard, number = Encoder(tokenizer, by_word), _Shard(), 0
         for part in parts:
-            ids, texts = part.column("doc_id").to_pylist(), part.column("text").to_pylist()
-            opened = -1  # the document whose tokens are being added
-
-            def upto(i: int) -> Iterator[pa.RecordBatch]:
-                """End the open document and open those up to i; empty ones have no tokens of their own."""
-                nonlocal opened, shard, number
-                while opened < i:
-                    if opened >= 0:
-                        shard.add(end)
-                    opened += 1
+            ids = part.column("doc_id").to_pylist()
+            at = 0
+            for n, tokens in own.tokens(part.column("text")):
+                done = 0
+                for k in n.tolist():
                     if shard.n >= SHARD_TOKENS:
-                        yield shard.row(number, planes)
+                        yield shard.row(number)
                         shard, number = _Shard(), number + 1
-                    if opened < len(ids):
-                        shard.docs.append(ids[opened])
-                        shard.starts.append(shard.n)
-
-            for at, n, tokens in own.tokens(texts):
-                done = 0
-                for i, k in zip(at.tolist(), n.tolist(), strict=True):
-                    yield from upto(i)
+                    shard.docs.append(ids[at])
+                    shard.starts.append(shard.n)
                     shard.add(tokens[done : done + k])
-                    done += k
-            yield from upto(len(ids))
+                    shard.add(end)
+                    done, at = done + k, at + 1
         if shard.docs:
-            yield shard.row(number, planes)
+            yield shard.row(number)
 
     written = ordered.mapInArrow(encode, SHARD).write.option("maxRecordsPerFile", 1).option("compression", "zstd")
     written.mode("error").parquet(path)
@@ -127,6 +107,7 @@ def matrices(part: pa.RecordBatch) -> Iterator[tuple[dict, WaveletMatrix]]:
             {k: row[k].as_py() for k in ("range", "shard", "n_tokens", "doc_ids", "starts") if k in row},
             WaveletMatrix(
                 row["n_tokens"].as_py(),
+                np.frombuffer(row["symbols"].as_buffer(), dtype="<u4"),
                 row["zeros"].as_py(),
                 [np.frombuffer(b.as_buffer(), dtype=np.uint8) for b in row["bits"].values],
                 [np.frombuffer(b.as_buffer(), dtype="<u4") for b in row["ones"].values],

@@ -1,6 +1,6 @@
 """A wavelet matrix over token ids: one bit-plane per binary digit, most significant first.
 
-Each plane holds one bit per token, packed, and the number of ones before every block of BLOCK bits. From plane to
+The ids that occur are numbered in order, so there are as many planes as their number needs. Each plane holds one bit per token, packed, and the number of ones before every block of BLOCK bits. From plane to
 plane the tokens are stably regrouped, those with a zero bit first, so that rank leads from a position to its place in
 the next plane and select leads back.
 """
@@ -17,13 +17,17 @@ BLOCK = 4096  # bits between two stored counts
 @dataclass(frozen=True)
 class WaveletMatrix:
     n: int
+    symbols: np.ndarray  # the ids that occur, ascending; the planes hold their places
     zeros: list[int]  # zero bits of each plane
     bits: list[np.ndarray]  # uint8, packed, first token in the highest bit
     ones: list[np.ndarray]  # uint32, ones before each block
 
     @staticmethod
-    def build(ids: np.ndarray, planes: int) -> WaveletMatrix:
-        ids, n = ids.astype(np.uint16 if planes <= 16 else np.uint32), len(ids)
+    def build(ids: np.ndarray) -> WaveletMatrix:
+        n, occurs = len(ids), np.bincount(ids) > 0 if len(ids) else np.zeros(1, dtype=bool)
+        symbols = np.flatnonzero(occurs).astype(np.uint32)
+        planes = max(len(symbols) - 1, 1).bit_length()
+        ids = (np.cumsum(occurs) - 1).astype(np.uint16 if planes <= 16 else np.uint32)[ids] if n else ids.astype(np.uint16)
         zeros, bits, ones = [], [], []
         for plane in range(planes - 1, -1, -1):
             one = (ids & ids.dtype.type(1 << plane)) != 0
@@ -35,12 +39,16 @@ class WaveletMatrix:
             bits.append(packed)
             zeros.append(n - int(np.count_nonzero(one)))
             ids = np.concatenate([ids.compress(~one), ids.compress(one)])
-        return WaveletMatrix(n, zeros, bits, ones)
+        return WaveletMatrix(n, symbols, zeros, bits, ones)
 
     @property
     def planes(self) -> int:
         return len(self.bits)
 
+    def _place(self, token: int) -> int | None:
+        at = int(np.searchsorted(self.symbols, token))
+        return at if at < len(self.symbols) and self.symbols[at] == token else None
+
     def _bit(self, plane: int, i: int) -> int:
         return int(self.bits[plane][i >> 3]) >> (7 - (i & 7)) & 1
 
@@ -64,44 +72,49 @@ class WaveletMatrix:
 
     def access(self, i: int) -> int:
         """The token at position i."""
-        token = 0
+        code = 0
         for plane in range(self.planes):
             bit, ones = self._bit(plane, i), self._rank(plane, i)
-            token, i = token << 1 | bit, self.zeros[plane] + ones if bit else i - ones
-        return token
+            code, i = code << 1 | bit, self.zeros[plane] + ones if bit else i - ones
+        return int(self.symbols[code])
 
-    def _range(self, token: int, i: int) -> tuple[int, int]:
-        """Where the occurrences of a token before position i stand below the last plane."""
+    def _range(self, code: int, i: int) -> tuple[int, int]:
+        """Where the occurrences of a code before position i stand below the last plane."""
         lo, hi = 0, i
         for plane in range(self.planes):
             a, b = self._rank(plane, lo), self._rank(plane, hi)
-            one = token >> (self.planes - 1 - plane) & 1
+            one = code >> (self.planes - 1 - plane) & 1
             lo, hi = (self.zeros[plane] + a, self.zeros[plane] + b) if one else (lo - a, hi - b)
         return lo, hi
 
     def count(self, token: int, i: int | None = None) -> int:
         """Occurrences of a token before position i (of all, without i)."""
-        if token >> self.planes:
+        code = self._place(token)
+        if code is None:
             return 0
-        lo, hi = self._range(token, self.n if i is None else i)
+        lo, hi = self._range(code, self.n if i is None else i)
         return hi - lo
 
     def locate(self, token: int, k: int) -> int:
         """Position of the k-th (from 0) occurrence of a token."""
-        at = self._range(token, 0)[0] + k
+        code = self._place(token)
+        if code is None:
+            raise IndexError(f"token {token} does not occur")
+        at = self._range(code, 0)[0] + k
         for plane in range(self.planes - 1, -1, -1):
-            one = token >> (self.planes - 1 - plane) & 1
+            one = code >> (self.planes - 1 - plane) & 1
             at = self._select(plane, one, at - self.zeros[plane] if one else at)
         return at
 
     def positions(self, token: int) -> np.ndarray:
         """All positions of a token, ascending."""
-        if token >> self.planes:
+        code = self._place(token)
+        if code is None:
             return np.zeros(0, dtype=np.int64)
-        lo, hi = self._range(token, self.n)
+        lo, hi = self._range(code, self.n)
         at = np.arange(lo, hi)
         for plane in range(self.planes - 1, -1, -1):
-            one = token >> (self.planes - 1 - plane) & 1
+            one = code >> (self.planes - 1 - plane) & 1
             of_bit = np.flatnonzero(np.unpackbits(self.bits[plane])[: self.n] == one)
             at = of_bit[at - self.zeros[plane] if one else at]
         return at
@@ -115,4 +128,4 @@ class WaveletMatrix:
             before[np.flatnonzero(~one)] = ids[: self.zeros[plane]]
             before[np.flatnonzero(one)] = ids[self.zeros[plane] :] | ids.dtype.type(1 << (self.planes - 1 - plane))
             ids = before
-        return ids
+        return self.symbols[ids] if self.n else np.zeros(0, dtype=np.uint32)

@@ -1,33 +1,30 @@
 """Encoding with a fixed tokenizer file, one white-space word at a time.
 
 For tokenizers that split at white space before merging and drop it, the tokens of a text are those of its words in
-order. Each word is encoded by the library once per task and remembered; any other tokenizer gets whole texts.
+order. The words of an Arrow buffer are found as 64-bit keys; only words with a new key become strings, and their
+letters and trailing punctuation, which are separate to such a tokenizer, are encoded by the library once per task.
+Any other tokenizer, and texts that hold one of its special strings, get whole texts.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from ledgerlark.llm.common import Words, slices, utf8
 
 MEMO = 600_000  # words remembered per task, then the memo starts again
-PIECE = 1 << 20  # characters split at a time
-JOINED = 64  # new words encoded at a time
+JOINED = 64  # runs of letters encoded at a time
+SLICE = 8 << 20  # bytes of text looked up at a time
 PUNCTUATION = ".,;:!?\"()[]{}*%&$#|-_/<>=+~^`@\\"
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-SPACE = re.compile(r"\s")
-ODD = "\x1c\x1d\x1e\x1f"  # white space to Python only
+LATIN = "\u0130"  # letters below stay letters when the tokenizer normalises them
 
 
-def encoder(path: str):
-    """A function from a list of texts to a list of id lists, without begin, end or added special tokens."""
-    if path.endswith(".model"):
-        import sentencepiece
-
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda texts: model.encode(texts, num_threads=1)
+def _library(path: str):
     import os
 
     from tokenizers import Tokenizer
@@ -36,170 +33,155 @@ def encoder(path: str):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    return tokenizer
+
+
+def encoder(path: str):
+    """A function from a list of texts to a list of id lists, without begin, end or added special tokens."""
+    if path.endswith(".model"):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        return lambda texts: model.encode(texts, num_threads=1)
+    tokenizer = _library(path)
     return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def word_wise(path: str) -> bool:
-    """Whether the tokenizer file drops white space before it merges, so that words can be encoded apart."""
+    """Whether the tokenizer file lowers case, drops white space before it merges, and marks the last piece of a run of
+    letters, so that words can be encoded apart."""
     if path.endswith(".model"):
         return False
-    from tokenizers import Tokenizer
+    tokenizer = _library(path)
+    first, then = repr(tokenizer.normalizer), repr(tokenizer.pre_tokenizer)
+    shape = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" in then and "behavior=Removed" in then and "add_prefix_space=False" in then
+    return shape and "Lowercase" in first and bool(getattr(tokenizer.model, "end_of_word_suffix", None))
 
-    tokenizer = Tokenizer.from_file(path)
-    stages = repr(tokenizer.pre_tokenizer)
-    added = tokenizer.get_added_tokens_decoder().values()
-    plain = not any(t.lstrip or t.rstrip or t.single_word or SPACE.search(t.content) for t in added)
-    return plain and r"[^\s\p{L}\p{N}]+" in stages and "behavior=Removed" in stages and "add_prefix_space=False" in stages
 
-
-def word_ends(path: str) -> np.ndarray | None:
-    """For vocabularies that mark the last piece of a run of letters: which ids are such pieces."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    mark = getattr(tokenizer.model, "end_of_word_suffix", None)
-    if not mark:
-        return None
-    ends = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
-    for piece, i in tokenizer.get_vocab(with_added_tokens=False).items():
-        ends[i] = piece.endswith(mark)
-    return ends
+def special_strings(path: str) -> list[str]:
+    return sorted(t.content.lower() for t in _library(path).get_added_tokens_decoder().values())
 
 
 class Encoder:
-    """Ids of texts in order; `encode` takes texts of any length with bounded memory beyond its result."""
+    """Ids of the texts of string columns, in order."""
 
     def __init__(self, path: str, by_word: bool) -> None:
         self.encode, self.by_word = encoder(path), by_word
-        self.ends = word_ends(path) if by_word else None
-        self._forget()
+        if by_word:
+            tokenizer = _library(path)
+            self.ends = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)  # ids that end a run
+            for piece, i in tokenizer.get_vocab(with_added_tokens=False).items():
+                self.ends[i] = piece.endswith(tokenizer.model.end_of_word_suffix)
+            self.special, self.words = special_strings(path), Words()
+            self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.ids, self.first = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
-
-    def _places(self, words: list[str]) -> np.ndarray:
-        """Where the words' ids are kept, after encoding those that are new."""
-        where = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
-        unknown = np.flatnonzero(where < 0)
-        if len(unknown):
-            new = {words[i] for i in unknown.tolist()}
-            if len(self.index) + len(new) > MEMO and self.index:
-                self._forget()
-                unknown, new = np.arange(len(words)), set(words)
-            self._learn(list(new))
-            where[unknown] = np.fromiter(map(self.index.__getitem__, map(words.__getitem__, unknown.tolist())), np.int64, len(unknown))
-        return where
-
-    def _learn(self, new: list[str]) -> None:
-        ids, first = self._encode_words(new)
-        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-        self.first = np.concatenate([self.first, self.first[-1] + first[1:]])
-        self.ids = np.concatenate([self.ids, ids])
-
-    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of distinct words. Letters followed by punctuation are two runs to the tokenizer, so the letters are
-        encoded once whatever follows them."""
-        if self.ends is None:
-            return _flat(self.encode(words))
-        parts: dict[str, int] = {}
-        places = []  # for each word its one or two parts
+        self.keys = np.zeros(0, dtype=np.uint64)  # words seen, sorted
+        self.core, self.tail = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)  # their two parts
+        self.parts: dict[str, int] = {"": 0}
+        self.ids, self.first = np.zeros(0, dtype=np.int32), np.zeros(2, dtype=np.int64)  # ids of the parts
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        """Remember new words by their keys (sorted)."""
+        if len(self.keys) + len(keys) > MEMO and len(self.keys):
+            raise MemoryError
+        parts, core, tail, known = self.parts, [], [], len(self.parts)
         for word in words:
-            core = word.rstrip(PUNCTUATION)
-            if core != word and core.isalpha():
-                core, tail = core.translate(LOWER), word[len(core) :]
-                places.append((parts.setdefault(core, len(parts)), parts.setdefault(tail, len(parts))))
-            elif core.isalpha():
-                places.append((parts.setdefault(core.translate(LOWER), len(parts)),))
+            letters = word.rstrip(PUNCTUATION)
+            if letters.isalpha() and (len(letters) == len(word) or letters[-1] < LATIN):
+                core.append(parts.setdefault(letters.lower() if letters.isascii() else letters, len(parts)))
+                tail.append(parts.setdefault(word[len(letters) :], len(parts)) if len(letters) < len(word) else 0)
             else:
-                places.append((parts.setdefault(word, len(parts)),))
-        ids, first = self._encode_parts(list(parts))
-        n = np.array([len(p) for p in places])
-        return _gathered(ids, first, np.fromiter(chain.from_iterable(places), np.int64, int(n.sum())), n)
+                core.append(parts.setdefault(word, len(parts)))
+                tail.append(0)
+        ids, n = self._encode_parts(list(parts)[known:])
+        self.ids = np.concatenate([self.ids, ids])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(n)])
+        order = np.argsort(np.concatenate([self.keys, keys]), kind="stable")
+        self.keys = np.concatenate([self.keys, keys])[order]
+        self.core = np.concatenate([self.core, np.array(core, dtype=np.int32)])[order]
+        self.tail = np.concatenate([self.tail, np.array(tail, dtype=np.int32)])[order]
 
     def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Runs of letters go to the library together, and the pieces that end a run tell them apart again. If there
-        are not as many ends as runs, or for other parts, each goes alone."""
+        """Ids of the parts one after the other, and how many each has. Runs of letters go to the library together, and
+        the pieces that end a run tell them apart again; if there are not as many ends as runs, each goes alone."""
         letters = [i for i, part in enumerate(parts) if part.isalpha()]
         groups = [letters[i : i + JOINED] for i in range(0, len(letters), JOINED)]
-        found: list = [None] * len(parts)
-        for group, ids in zip(groups, self.encode([" ".join(parts[i] for i in g) for g in groups]), strict=True):
-            ids = np.array(ids, dtype=np.int32)
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(group) and ends[-1] == len(ids):
-                for i, one in zip(group, np.split(ids, ends[:-1]), strict=True):
-                    found[i] = one
-        alone = [i for i, x in enumerate(found) if x is None]
+        found = self.encode([" ".join([parts[i] for i in group]) for group in groups])
+        n, order, flat = np.zeros(len(parts), dtype=np.int64), [], []
+        alone = [i for i, part in enumerate(parts) if not part.isalpha()]
+        for group, ids in zip(groups, found, strict=True):
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) == len(group) and ends[-1] == len(ids) - 1:
+                n[group] = np.diff(ends, prepend=-1)
+                order += group
+                flat.append(ids)
+            else:
+                alone += group
         for i, ids in zip(alone, self.encode([parts[i] for i in alone]), strict=True):
-            found[i] = ids
-        return _flat(found)
-
-    def _groups(self, texts: list[str]) -> Iterator[list[tuple[int, str]]]:
-        """Pieces of texts, cut at white space, in groups of about PIECE characters."""
-        group, size = [], 0
-        for i, text in enumerate(texts):
-            at = 0
-            while at < len(text):
-                cut = SPACE.search(text, at + PIECE) if len(text) - at > PIECE else None
-                piece = text[at : cut.start()] if cut else text[at:] if at else text
-                at = cut.start() if cut else len(text)
-                group.append((i, piece))
-                size += len(piece)
-                if size >= PIECE:
-                    yield group
-                    group, size = [], 0
-        if group:
-            yield group
-
-    def pieces(self, texts: list[str], ids: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
-        """For groups of pieces: the text's place in `texts`, its number of tokens, and the tokens if asked for."""
-        for group in self._groups(texts):
-            at = np.array([i for i, _ in group])
-            if any(odd in piece for odd in ODD for _, piece in group):
-                found = self.encode([piece for _, piece in group])
-                yield at, np.array([len(x) for x in found]), np.fromiter(chain.from_iterable(found), np.int32) if ids else None
+            n[i] = len(ids)
+            order.append(i)
+            flat.append(ids)
+        flat = np.fromiter(chain.from_iterable(flat), np.int32, int(n.sum()))
+        order = np.array(order, dtype=np.int64)
+        begin = np.zeros(len(parts), dtype=np.int64)
+        begin[order] = np.cumsum(n[order]) - n[order]
+        return _gathered(flat, begin, n, np.arange(len(parts))), n
+
+    def _places(self, piece: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The two parts of every word of the texts, and the first word of each text."""
+        keys, first, begins, ends = self.words(piece)
+        order = np.argsort(keys)
+        ordered = keys[order]
+        new = np.concatenate([[True], ordered[1:] != ordered[:-1]]) if len(keys) else np.zeros(0, dtype=bool)
+        distinct = ordered[new]
+        at = np.searchsorted(self.keys, distinct)
+        unknown = np.ones(len(distinct), dtype=bool)
+        inside = at < len(self.keys)
+        unknown[inside] = self.keys[at[inside]] != distinct[inside]
+        if unknown.any():
+            data = utf8(piece)[0]
+            spots = order[np.flatnonzero(new)[unknown]]
+            raw = data.tobytes() if len(spots) > 1000 else data
+            words = [bytes(raw[b:e]).decode() for b, e in zip(begins[spots].tolist(), ends[spots].tolist(), strict=True)]
+            try:
+                self._learn(distinct[unknown], words)
+            except MemoryError:  # start again with the words of this slice alone
+                self._forget()
+                return self._places(piece)
+            at = np.searchsorted(self.keys, distinct)
+        word = np.empty(len(keys), dtype=np.int64)
+        word[order] = at[np.cumsum(new) - 1]
+        return self.core[word], self.tail[word], first
+
+    def _whole(self, piece: pa.Array) -> bool:
+        """Whether the slice must be encoded as whole texts."""
+        if not self.by_word:
+            return True
+        texts = pc.ascii_lower(piece)
+        return any(pc.any(pc.match_substring(texts, s)).as_py() for s in self.special)
+
+    def tokens(self, column: pa.Array, ids: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        """For the texts in order, in groups: the number of tokens of each, and all their tokens."""
+        batch = pa.RecordBatch.from_arrays([column.fill_null("").cast(pa.large_string())], ["text"])
+        for part in slices(batch, "text", SLICE if self.by_word else 1 << 20):
+            piece = part.column("text")
+            if self._whole(piece):
+                found = self.encode(piece.to_pylist())
+                yield np.array([len(x) for x in found]), np.fromiter(chain.from_iterable(found), np.int32) if ids else None
                 continue
-            words, n = [], []
-            for _, piece in group:
-                found = piece.split()
-                words += found
-                n.append(len(found))
-            where, n = self._places(words), np.array(n)
-            if ids:
-                tokens, first = _gathered(self.ids, self.first, where, n)
-                yield at, np.diff(first), tokens
-            else:
-                total = np.concatenate([[0], np.cumsum((self.first[1:] - self.first[:-1])[where])])
-                ends = np.cumsum(n)
-                yield at, total[ends] - total[ends - n], None
+            core, tail, first = self._places(piece)
+            length = np.diff(self.first)
+            total = np.concatenate([[0], np.cumsum(length[core] + length[tail])])
+            where = np.stack([core, tail], axis=1).ravel() if ids else None
+            yield np.diff(total[first]), _gathered(self.ids, self.first[:-1], length, where) if ids else None
 
-    def counts(self, texts: list[str]) -> np.ndarray:
-        if not self.by_word:
-            return np.array([len(self.encode([t])[0]) for t in texts], dtype=np.int64)
-        out = np.zeros(len(texts), dtype=np.int64)
-        for at, n, _ in self.pieces(texts, ids=False):
-            np.add.at(out, at, n)
-        return out
-
-    def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Groups in order: place of each piece's text, number of tokens of each piece, all their tokens."""
-        if self.by_word:
-            yield from self.pieces(texts, ids=True)
-        else:
-            for i, text in enumerate(texts):
-                found = np.array(self.encode([text])[0], dtype=np.int32)
-                yield np.array([i]), np.array([len(found)]), found
-
-
-def _flat(ids: list) -> tuple[np.ndarray, np.ndarray]:
-    """Id lists one after the other, and where each begins (one more at the end)."""
-    first = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
-    return np.fromiter(chain.from_iterable(ids), np.int32, int(first[-1])), first
-
-
-def _gathered(ids: np.ndarray, first: np.ndarray, where: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The lists at `where`, joined in runs of n[0], n[1], ... lists."""
-    length = (first[1:] - first[:-1])[where]
-    total = np.concatenate([[0], np.cumsum(length)])
-    out = ids[np.arange(total[-1]) + np.repeat(first[where] - total[:-1], length)]
-    return out, total[np.concatenate([[0], np.cumsum(n)])]
+    def counts(self, column: pa.Array) -> np.ndarray:
+        return np.concatenate([np.zeros(0, dtype=np.int64), *[n for n, _ in self.tokens(column, ids=False)]])
+
+
+def _gathered(ids: np.ndarray, begin: np.ndarray, length: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """The id lists at the places `where`, one after the other."""
+    n = length[where]
+    total = np.cumsum(n)
+    return ids[np.arange(total[-1] if len(n) else 0) + np.repeat(begin[where] - (total - n), n)]
