@@ -10,6 +10,61 @@ from pyspark.sql import functions as F
 from ledgerlark.operators.lineage import shared_dir
 
 
+SOURCE_MIX_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, lang, source, 'd' || (CAST('0x' || substr(md5(coalesce(source, '\N')), 1, 1) AS INT) % 4) AS domain,
+         coalesce(CAST(doc_id AS VARCHAR), '\N') || '-' || md5(coalesce(text, '')) AS doc,
+         CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS BIGINT) AS tokens
+  FROM documents),
+rows_ AS (SELECT *, coalesce(lang, '\N') AS l, coalesce(source, '\N') AS s FROM docs),
+leaf AS (SELECT domain, l, s, CAST(sum(tokens) AS BIGINT) AS tokens, 2 * CAST(sum(tokens) AS BIGINT) AS capacity FROM rows_ GROUP BY ALL),
+domain_ AS (SELECT domain, CAST(sum(capacity) AS BIGINT) AS capacity, (SELECT CAST(sum(tokens) AS BIGINT) * 800 // 1000 FROM leaf) AS given,
+                   CASE domain WHEN 'd0' THEN 4 WHEN 'd1' THEN 3 WHEN 'd2' THEN 2 WHEN 'd3' THEN 2 ELSE 1 END AS weight
+            FROM leaf GROUP BY domain),
+domain_paid AS (
+  SELECT d.domain, CASE WHEN u.l IS NULL THEN capacity ELSE least(capacity, (given - u.used) * weight // u.l) END AS paid
+  FROM domain_ d LEFT JOIN (
+    SELECT used, w AS l FROM (
+      SELECT *, coalesce(sum(capacity) OVER e, 0) AS used, sum(weight) OVER () - coalesce(sum(weight) OVER e, 0) AS w,
+             row_number() OVER (ORDER BY capacity / weight, domain) AS k
+      FROM domain_ WINDOW e AS (ORDER BY capacity / weight, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    WHERE (given - used) * weight <= capacity * w ORDER BY k LIMIT 1) u ON true),
+lang_ AS (SELECT domain, l, CAST(sum(capacity) AS BIGINT) AS capacity, any_value(paid) AS given,
+                 CASE l WHEN 'en' THEN 6 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 WHEN 'es' THEN 2 ELSE 1 END AS weight
+          FROM leaf JOIN domain_paid USING (domain) GROUP BY domain, l),
+lang_open AS (
+  SELECT domain, used, w, k FROM (
+    SELECT *, coalesce(sum(capacity) OVER e, 0) AS used, sum(weight) OVER (PARTITION BY domain) - coalesce(sum(weight) OVER e, 0) AS w,
+           row_number() OVER (PARTITION BY domain ORDER BY capacity / weight, l) AS k
+    FROM lang_ WINDOW e AS (PARTITION BY domain ORDER BY capacity / weight, l ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  WHERE (given - used) * weight <= capacity * w QUALIFY row_number() OVER (PARTITION BY domain ORDER BY k) = 1),
+lang_paid AS (
+  SELECT a.domain, a.l, CASE WHEN u.w IS NULL THEN capacity ELSE least(capacity, (given - used) * weight // w) END AS paid
+  FROM lang_ a LEFT JOIN lang_open u USING (domain)),
+leaf_ AS (SELECT leaf.*, paid AS given FROM leaf JOIN lang_paid USING (domain, l)),
+leaf_open AS (
+  SELECT domain, l, used, w, k FROM (
+    SELECT *, coalesce(sum(capacity) OVER e, 0) AS used, count(*) OVER (PARTITION BY domain, l) - count(*) OVER e AS w,
+           row_number() OVER (PARTITION BY domain, l ORDER BY capacity, s) AS k
+    FROM leaf_ WINDOW e AS (PARTITION BY domain, l ORDER BY capacity, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  WHERE given - used <= capacity * w QUALIFY row_number() OVER (PARTITION BY domain, l ORDER BY k) = 1),
+budget AS (
+  SELECT a.domain, a.l, a.s, a.tokens AS leaf_tokens, CASE WHEN u.w IS NULL THEN capacity ELSE least(capacity, (given - used) // w) END AS budget
+  FROM leaf_ a LEFT JOIN leaf_open u USING (domain, l)),
+placed AS (
+  SELECT r.*, epoch, leaf_tokens, budget - (epoch - 1) * leaf_tokens AS rest,
+         md5('17-' || epoch || '-' || doc) AS place
+  FROM rows_ r JOIN budget USING (domain, l, s), range(1, 3) t(epoch)),
+summed AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY domain, l, s, epoch ORDER BY place) AS upto
+  FROM placed WHERE rest > 0 OR (epoch = 1 AND rest = leaf_tokens)),
+cuts AS (SELECT domain, l, s, epoch, min(place) AS cut FROM summed WHERE rest < leaf_tokens AND upto > rest GROUP BY ALL)
+SELECT doc_id, domain, lang, source, CAST(epoch AS INT) AS mix_epoch, tokens AS mix_tokens
+FROM summed LEFT JOIN cuts USING (domain, l, s, epoch)
+WHERE rest >= leaf_tokens OR cut IS NULL OR place < cut
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -80,5 +135,14 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op6_simhash": op6_simhash, "op3_language_id": op3_language_id, "op2_quality": op2_quality, "op1_decontaminate": op1_decontaminate, "op8_near_dup": op8_near_dup, "op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
-ORACLE: dict[str, str] = {}
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents are taken, in which epoch; short leaves are read up to twice."""
+    from ledgerlark.llm.mixing import PRODUCTION, Mix, domain_of, mixture
+
+    docs = table(spark, sf_dir, "documents").withColumn("domain", domain_of("source"))
+    chosen = mixture(docs, Mix(weights=PRODUCTION, per_mille=800, epochs=2))
+    return chosen.select("doc_id", "domain", "lang", "source", "mix_epoch", "mix_tokens")
+
+
+QUERIES = {"op5_source_mix": op5_source_mix, "op6_simhash": op6_simhash, "op3_language_id": op3_language_id, "op2_quality": op2_quality, "op1_decontaminate": op1_decontaminate, "op8_near_dup": op8_near_dup, "op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
+ORACLE: dict[str, str] = {"op5_source_mix": SOURCE_MIX_SQL}
