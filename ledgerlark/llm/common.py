@@ -153,6 +153,14 @@ def rows_of(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids.hint("merge"), key, "left_semi")
 
 
+def without(docs: DataFrame, keys: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of `docs`, all columns, whose text_key is not in `keys` (distinct, one column, an already written table)."""
+    few = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    own = keys.withColumnRenamed(keys.columns[0], "_gone")
+    same = F.xxhash64(docs[doc_id], F.coalesce(docs[text], F.lit(""))) == own["_gone"]
+    return docs.join(F.broadcast(own) if few else own.hint("merge"), same, "left_anti")
+
+
 def crc_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo `folds`; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

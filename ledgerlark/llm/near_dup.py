@@ -218,7 +218,7 @@ def whole_groups(parts: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa
 
 
 def near_duplicates(docs: DataFrame, how: Linking = Linking(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of `docs` (an action).
+    """(doc_id, n_shingles, component_id, kept, text_key) of every row of `docs` (an action).
 
     component_id is the smallest id that linked documents lead to, kept says that it is the row's own. A text without
     words (null, empty, white space) has an empty set and is linked with nothing. Rows of equal sets are linked, so a
@@ -268,7 +268,8 @@ def near_duplicates(docs: DataFrame, how: Linking = Linking(), doc_id: str = "do
     grouped = classes.join(labels.toDF("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_class = grouped.join(least, "component").select("digest", "n", "component_id")
-    joined = rows.select("doc_id", "digest", "n").join(of_class, ["digest", "n"], "left")
+    joined = rows.select("doc_id", "digest", "n", "text_key").join(of_class, ["digest", "n"], "left")
     component_id = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component_id.alias("component_id")).withColumn("kept", kept)
+    named = joined.select("doc_id", F.col("n").alias("n_shingles"), component_id.alias("component_id"), "text_key")
+    return named.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "text_key")
