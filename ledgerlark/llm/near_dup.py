@@ -2,9 +2,10 @@
 
 One pass reduces every text to the size and digest of its shingle set, the keys of its MinHash bands and an odd sketch:
 the parities of the hashed MinHash samples. Equal sets form one class, and only one row of a class goes on. In every
-band bucket the members meet the bucket's first member; pairs whose sketches differ in too many bits are dropped, the
-others are confirmed on their full sets, and linked classes are merged. Buckets that still hold several components go
-through further rounds, until no unseen pair across components is left that the sketches would let pass.
+band bucket the members meet the bucket's first and last member; pairs whose sketches differ in too many bits are
+dropped, the others are confirmed on their full sets, and linked classes are merged. In buckets that then still hold
+several components every pair across components is compared, in pieces of bounded size: sketches first, then the full
+sets of the pairs that pass; only links that join two components leave a piece.
 """
 
 from __future__ import annotations
@@ -125,9 +126,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, how: Linking
     keyed = nodes.select("row_id", "text_key", "n")
     wide = pairs.join(keyed.toDF("a", "key_a", "n_a"), "a").join(keyed.toDF("b", "key_b", "n_b"), "b")
     wide = materialise(wide, "pair-keys")
-    needed = materialise(wide.select(F.explode(F.array("key_a", "key_b")).alias("text_key")).distinct(), "pair-texts")
-    rows = docs.select(text_key(doc_id, text), F.coalesce(text, F.lit("")).alias("text"))
-    texts = materialise(rows_of(rows, needed, "text_key").dropDuplicates(["text_key"]), "texts")
+    texts = _texts(docs, wide.select(F.explode(F.array("key_a", "key_b")).alias("text_key")), doc_id, text)
 
     def check(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Sketcher(how)
@@ -138,8 +137,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, how: Linking
                 (left, i), (right, j) = own.sets(piece.column("text_a")), own.sets(piece.column("text_b"))
                 for k in range(piece.num_rows):
                     x, y = left[i[k] : i[k + 1]], right[j[k] : j[k + 1]]
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    linked.append(100 * common >= how.percent * (len(x) + len(y) - common))
+                    linked.append(_linked(x, y, how))
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
     full = wide.join(texts.toDF("key_b", "text_b"), "key_b").join(texts.toDF("key_a", "text_a"), "key_a")
@@ -163,43 +161,103 @@ def _numbers(odd: str, how: Linking) -> Column:
     return F.array(*[F.coalesce(part(i), F.lit(0)) for i in range(how.bits // 48 + 1)])
 
 
-def _unseen(open_buckets: DataFrame, nodes: DataFrame, how: Linking) -> DataFrame:
-    """All pairs (a, b) of different components in a bucket that sizes and sketches let pass.
+PIECE = ["bucket", "lo", "hi"]
 
-    A bucket is cut into chunks of about how.chunk members, and every pair of chunks is one piece of work: sketches are
-    compared in memory, and only passing pairs leave it.
-    """
+
+def _chunked(open_buckets: DataFrame, how: Linking) -> DataFrame:
+    """The members of each bucket in chunks of about how.chunk, repeated for every pair of chunks they belong to."""
     chunks = F.ceil(F.col("size") / how.chunk).cast("int")
     own = F.pmod(F.xxhash64("row_id"), chunks).cast("int")
-    rows = (
-        open_buckets.withColumn("chunks", chunks)
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "row_id", "component")
-        .join(nodes.select("row_id", "n", "odd"), "row_id")
-    )
-    limit, key = most_differing(how), ["bucket", "lo", "hi"]
-
-    def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in whole_groups(parts, key):
-            row, component, n, own = (group.column(c).to_numpy() for c in ("row_id", "component", "n", "own"))
-            odd = np.frombuffer(b"".join(group.column("odd").to_pylist()), dtype=np.uint64).reshape(len(row), -1)
-            two = group.column("lo")[0] != group.column("hi")[0]
-            left = np.flatnonzero(own == own.min()) if two else np.arange(len(row))
-            right = np.flatnonzero(own != own.min()) if two else left
-            for at in range(0, len(left), 256):
-                x = left[at : at + 256]
-                near = np.zeros((len(x), len(right)), dtype=np.uint16)
-                for w in range(odd.shape[1]):
-                    near += np.bitwise_count(odd[x, w][:, None] ^ odd[right, w][None, :])
-                small, large = np.minimum(n[x][:, None], n[right]), np.maximum(n[x][:, None], n[right])
-                passing = (near <= limit) & (100 * small >= how.percent * large) & (component[x][:, None] != component[right])
-                i, j = np.nonzero(passing)
-                a, b = row[x[i]], row[right[j]]
-                once = (a < b) | two
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[once]), pa.array(np.maximum(a, b)[once])], ["a", "b"])
-
-    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, "a long, b long").distinct()
+    rows = open_buckets.withColumns({"chunks": chunks, "own": own})
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    lo, hi = F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
+    return rows.select("bucket", lo, hi, "own", "band", "row_id", "component", "text_key")
+
+
+def _passing(group: pa.Table, how: Linking, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of members of a piece that are of different components, share no earlier band, and may be linked by their
+    sizes and sketches; with the number of differing bits."""
+    component, n, own = (group.column(c).to_numpy() for c in ("component", "n", "own"))
+    odd = np.frombuffer(b"".join(group.column("odd").to_pylist()), dtype=np.uint64).reshape(len(n), -1)
+    bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(n), -1)[:, : group.column("band")[0].as_py()]
+    two = group.column("lo")[0] != group.column("hi")[0]
+    left = np.flatnonzero(own == own.min()) if two else np.arange(len(n))
+    right = np.flatnonzero(own != own.min()) if two else left
+    found = []
+    for at in range(0, len(left), 256):
+        x = left[at : at + 256]
+        small, large = np.minimum(n[x][:, None], n[right]), np.maximum(n[x][:, None], n[right])
+        passing = (100 * small >= how.percent * large) & (component[x][:, None] != component[right])
+        if not two:
+            passing &= x[:, None] < right
+        i, j = np.nonzero(passing)
+        i, j = x[i], right[j]
+        differing = np.bitwise_count(odd[i] ^ odd[j]).sum(axis=1, dtype=np.int64)
+        good = np.flatnonzero(differing <= limit)
+        good = good[~(bands[i[good]] == bands[j[good]]).any(axis=1)]
+        found.append((i[good], j[good], differing[good]))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _links_across(open_buckets: DataFrame, docs: DataFrame, nodes: DataFrame, how: Linking, doc_id: str, text: str) -> DataFrame:
+    """Links (a, b) that join the components of each bucket as far as its pairs are linked, confirmed on the full sets.
+
+    A pair is compared in the first bucket it shares. Members with a pair that passes the sketches are found first, so
+    that only their texts are sent.
+    """
+    limit, sketch = most_differing(how), nodes.select("row_id", "n", "odd", "bands")
+    kept = ["bucket", "lo", "hi", "own", "band", "row_id", "component", "text_key"]
+
+    def active(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in whole_groups(parts, PIECE):
+            i, j, _ = _passing(group, how, limit)
+            some = np.zeros(group.num_rows, dtype=bool)
+            some[i] = some[j] = True
+            if some.any():
+                yield from group.filter(pa.array(some)).select(kept).to_batches()
+
+    def link(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Sketcher(how)
+        for group in whole_groups(parts, PIECE):
+            i, j, differing = _passing(group, how, limit)
+            sets, starts = own.sets(group.column("text").combine_chunks())
+            row, component = group.column("row_id").to_numpy(), group.column("component").to_pylist()
+            root: dict[int, int] = {}
+
+            def top(x: int) -> int:
+                while x in root:
+                    x = root[x]
+                return x
+
+            links = []
+            for k in np.argsort(differing, kind="stable").tolist():
+                x, y = int(i[k]), int(j[k])
+                a, b = top(component[x]), top(component[y])
+                if a != b and _linked(sets[starts[x] : starts[x + 1]], sets[starts[y] : starts[y + 1]], how):
+                    root[max(a, b)] = min(a, b)
+                    links.append((x, y))
+            if links:
+                x, y = row[np.array(links).T]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+    rows = _chunked(open_buckets, how).join(sketch, "row_id").select(*kept, "n", "odd", "bands")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(kept).schema)
+    found = materialise(rows.repartition(*PIECE).sortWithinPartitions(*PIECE).mapInArrow(active, kinds), "active")
+    texts = _texts(docs, found.select("text_key"), doc_id, text)
+    full = found.join(sketch, "row_id").join(texts, "text_key").select(*kept, "n", "odd", "bands", "text")
+    return materialise(full.repartition(*PIECE).sortWithinPartitions(*PIECE).mapInArrow(link, "a long, b long").distinct(), "links")
+
+
+def _linked(x: np.ndarray, y: np.ndarray, how: Linking) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= how.percent * (len(x) + len(y) - common)
+
+
+def _texts(docs: DataFrame, keys: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(text_key, text), written, for the given keys."""
+    needed = materialise(keys.distinct(), "needed-texts")
+    rows = docs.select(text_key(doc_id, text), F.coalesce(text, F.lit("")).alias("text"))
+    return materialise(rows_of(rows, needed, "text_key").dropDuplicates(["text_key"]), "texts")
 
 
 def whole_groups(parts: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
@@ -231,39 +289,21 @@ def near_duplicates(docs: DataFrame, how: Linking = Linking(), doc_id: str = "do
     classes = materialise(classes, "set-classes")
     nodes = rows_of(rows, classes.select(F.col("node").alias("row_id")), "row_id")
     bucket = Window.partitionBy("bucket")
-    buckets = (
-        nodes.select("row_id", F.explode("bands").alias("bucket"))
-        .select("bucket", "row_id", F.count("*").over(bucket).alias("size"), F.min("row_id").over(bucket).alias("head"))
-        .where("size > 1")
-    )
-    buckets = materialise(buckets, "buckets")
-
-    seen = edges = labels = None
-    for step in ("first", "last", "all"):
-        if step == "first":
-            pairs = _sketch_filter(buckets.where("row_id > head").select(F.col("head").alias("a"), F.col("row_id").alias("b")).distinct(), nodes, how)
-        else:
-            mixed = F.min("component").over(bucket) < F.max("component").over(bucket)
-            open_buckets = (
-                buckets.where("size > 2")
-                .join(labels.toDF("row_id", "component"), "row_id", "left")
-                .withColumn("component", F.coalesce("component", "row_id"))
-                .select("*", mixed.alias("mixed"), F.max(F.struct("row_id", "component")).over(bucket).alias("last"))
-                .where("mixed")
-            )
-            if step == "last":
-                cross = open_buckets.where("component <> last.component").select(F.col("row_id").alias("a"), F.col("last.row_id").alias("b"))
-                pairs = _sketch_filter(cross.distinct().join(seen, ["a", "b"], "left_anti"), nodes, how)
-            else:
-                pairs = _unseen(open_buckets.drop("mixed", "last", "head"), nodes, how).join(seen, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        if pairs.isEmpty() and labels is not None:
-            continue
-        checked = _confirmed(docs, pairs, nodes, how, doc_id, text)
-        linked = checked.where("linked").select("a", "b")
-        seen = checked.select("a", "b") if seen is None else seen.union(checked.select("a", "b"))
-        edges = linked if edges is None else edges.union(linked)
-        labels = components(edges)
+    members = nodes.select("row_id", "text_key", F.posexplode("bands").alias("band", "bucket"))
+    ends = F.count("*").over(bucket).alias("size"), F.min("row_id").over(bucket).alias("head"), F.max("row_id").over(bucket).alias("tail")
+    buckets = materialise(members.select("*", *ends).where("size > 1"), "buckets")
+
+    to_head = buckets.where("row_id > head").select(F.col("head").alias("a"), F.col("row_id").alias("b"))
+    to_tail = buckets.where("row_id > head and row_id < tail").select(F.col("row_id").alias("a"), F.col("tail").alias("b"))
+    pairs = materialise(_sketch_filter(to_head.union(to_tail).distinct(), nodes, how), "pairs")
+    labels = components(_confirmed(docs, pairs, nodes, how, doc_id, text).where("linked").select("a", "b"))
+
+    mixed = F.min("component").over(bucket) < F.max("component").over(bucket)
+    labelled = buckets.where("size > 2").join(labels.toDF("row_id", "component"), "row_id", "left")
+    labelled = labelled.withColumn("component", F.coalesce("component", "row_id")).withColumn("mixed", mixed)
+    more = _links_across(labelled.where("mixed"), docs, nodes, how, doc_id, text)
+    if not more.isEmpty():
+        labels = components(more.union(labels.toDF("a", "b")))
 
     grouped = classes.join(labels.toDF("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("least_id").alias("component_id"))
