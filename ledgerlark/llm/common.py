@@ -173,7 +173,7 @@ def text_key(doc_id: str, text: str) -> Column:
     return F.xxhash64(F.col(doc_id), F.coalesce(text, F.lit(""))).alias("text_key")
 
 
-def slices(part: pa.RecordBatch, text: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(part: pa.RecordBatch, text: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about `size` bytes of text."""
     lengths = pc.fill_null(pc.binary_length(part.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     group = (np.cumsum(lengths) - lengths) // size

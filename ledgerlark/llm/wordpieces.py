@@ -19,7 +19,7 @@ from ledgerlark.llm.common import Words, slices, utf8
 
 MEMO = 600_000  # words remembered per task, then the memo starts again
 JOINED = 64  # runs of letters encoded at a time
-SLICE = 8 << 20  # bytes of text looked up at a time
+SLICE = 2 << 20  # bytes of text looked up at a time
 PUNCTUATION = ".,;:!?\"()[]{}*%&$#|-_/<>=+~^`@\\"
 LATIN = "\u0130"  # letters below stay letters when the tokenizer normalises them
 
@@ -140,10 +140,10 @@ class Encoder:
         inside = at < len(self.keys)
         unknown[inside] = self.keys[at[inside]] != distinct[inside]
         if unknown.any():
-            data = utf8(piece)[0]
-            spots = order[np.flatnonzero(new)[unknown]]
-            raw = data.tobytes() if len(spots) > 1000 else data
-            words = [bytes(raw[b:e]).decode() for b, e in zip(begins[spots].tolist(), ends[spots].tolist(), strict=True)]
+            data, offsets = utf8(piece)
+            spots, raw = order[np.flatnonzero(new)[unknown]], data[offsets[0] : offsets[-1]].tobytes()
+            begins, ends = begins[spots] - offsets[0], ends[spots] - offsets[0]
+            words = [raw[b:e].decode() for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]
             try:
                 self._learn(distinct[unknown], words)
             except MemoryError:  # start again with the words of this slice alone
