@@ -3,19 +3,21 @@
     python -m ledgerlark load CSV_DIR STORE [--pattern '{table}.csv']
     python -m ledgerlark report STORE OUT
     python -m ledgerlark forecast STORE OUT --by customer_state --start 2017-01-31 --end 2018-08-21
+    python -m ledgerlark forecast daily.csv OUT --series
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlark.operators import series as S
+from ledgerlark.operators.boosting import DEPTH_WISE, LEAF_WISE
 from ledgerlark.operators.lineage import copies_written, discard_copies, materialise
 from ledgerlark.plans import analyses, dashboard, forecast, views
 from ledgerlark.session import SETTINGS
-from ledgerlark.sources.ingest import load_all
+from ledgerlark.sources.ingest import load_all, read_series
 from ledgerlark.sources.tables import read_tables
 
 ANALYSES = (
@@ -52,25 +54,22 @@ def report(spark: SparkSession, store: str, out: str) -> None:
         df.write.mode("overwrite").parquet(f"{out}/{folder}/{name}")
 
 
-def forecast_all(spark: SparkSession, store: str, out: str, by: str | None, start, end, test_days: int, trees: int) -> None:
-    """Forecasts of all models over the test days, their scores, and the monthly roll-up."""
-    panel = forecast.panel(read_tables(spark, store), by)
+def forecast_all(spark: SparkSession, panel: DataFrame, out: str, start, end, test_days: int) -> None:
+    """Forecasts of all models over the test days, their scores, the monthly roll-up and the features' shares."""
     df = materialise(S.split(S.clean_series(panel, start, end), test_days), "panel")
-    features = S.lag_features(df)
-    gbt, forest = (forecast.fit_trees(features, kind, trees=trees) for kind in ("gbt", "forest"))
     runs = forecast.stack(
         forecast.naive(df),
         forecast.seasonal_naive(df),
         forecast.seasonal_naive(df, recursive=True),
         forecast.trend_seasonal(df),
-        forecast.forecast_recursive(gbt, df, "gbt"),
-        forecast.forecast_recursive(forest, df, "forest"),
+        forecast.boosted(df, "boosted", LEAF_WISE),
+        forecast.boosted(df, "boosted_depth_6", DEPTH_WISE),
     )
     runs = materialise(runs, "forecasts")
     runs.write.mode("overwrite").parquet(f"{out}/forecasts")
     forecast.metrics(runs).write.mode("overwrite").parquet(f"{out}/scores")
     forecast.monthly_rollup(runs).write.mode("overwrite").parquet(f"{out}/monthly")
-    forecast.importance(gbt).write.mode("overwrite").parquet(f"{out}/importance")
+    forecast.importance(df).write.mode("overwrite").parquet(f"{out}/importance")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -90,7 +89,7 @@ def main(argv: list[str] | None = None) -> None:
     fc.add_argument("--start")
     fc.add_argument("--end")
     fc.add_argument("--test-days", type=int, default=60)
-    fc.add_argument("--trees", type=int, default=60)
+    fc.add_argument("--series", action="store_true", help="STORE is a CSV file of day,revenue,orders")
     args = parser.parse_args(argv)
     spark = session()
     kept = copies_written()
@@ -100,7 +99,8 @@ def main(argv: list[str] | None = None) -> None:
         elif args.job == "report":
             report(spark, args.store, args.out)
         else:
-            forecast_all(spark, args.store, args.out, args.by, args.start, args.end, args.test_days, args.trees)
+            panel = read_series(spark, args.store) if args.series else forecast.panel(read_tables(spark, args.store), args.by)
+            forecast_all(spark, panel, args.out, args.start, args.end, args.test_days)
     finally:
         discard_copies(spark, since=kept)
 

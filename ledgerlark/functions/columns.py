@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -14,9 +15,23 @@ def zero_pad(code: Column, width: int = 5) -> Column:
     return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
-def coerce_timestamp(text: Column, fmt: str = TIMESTAMP_FORMAT) -> Column:
+# Spellings that a cell may use; the first that fits is taken.
+TIMESTAMP_FORMATS = (
+    TIMESTAMP_FORMAT, "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd",
+    "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ss.SSS",
+)
+
+
+def coerce_timestamp(text: Column, formats: tuple[str, ...] = TIMESTAMP_FORMATS) -> Column:
     """Parse a timestamp string; anything unparseable becomes NULL instead of failing the job."""
-    return F.try_to_timestamp(text, F.lit(fmt))
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats])
+
+
+def whole_number(text: Column, kind: T.DataType) -> Column:
+    """A whole number, which may be spelled 40.0; a fraction fails the job instead of being cut off."""
+    value = text.cast("double")
+    lossy = F.raise_error(F.concat(F.lit("not a whole number: "), text))
+    return F.when(value == F.floor(value), value.cast(kind)).when(value.isNull(), F.lit(None).cast(kind)).otherwise(lossy.cast(kind))
 
 
 def month_start(ts: Column) -> Column:

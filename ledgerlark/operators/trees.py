@@ -27,37 +27,3 @@ class Ensemble:
             goes_left = x[rows, self.feature[trees, node]] <= self.threshold[trees, node]
             node = np.where(goes_left, self.left[trees, node], self.right[trees, node])
         return self.value[trees, node] @ self.weight
-
-
-def flatten(model) -> Ensemble:
-    """Read the fitted trees of a GBT or random-forest regression model once, on the driver (tens of small trees)."""
-    tables = []
-    for tree in model.trees:
-        nodes: list[list[float]] = []
-
-        def visit(node) -> int:
-            at = len(nodes)
-            nodes.append([0, 0.0, at, at, node.prediction()])
-            if node.subtreeDepth() > 0:
-                split = node.split()
-                nodes[at][0], nodes[at][1] = split.featureIndex(), split.threshold()
-                nodes[at][2] = visit(node.leftChild())
-                nodes[at][3] = visit(node.rightChild())
-            return at
-
-        visit(tree._java_obj.rootNode())
-        tables.append(np.array(nodes))
-    width = max(len(t) for t in tables)
-    padded = np.stack([np.pad(t, ((0, width - len(t)), (0, 0))) for t in tables])
-    weight = np.array(model.treeWeights)
-    if type(model).__name__.startswith("RandomForest"):
-        weight = weight / weight.sum()
-    return Ensemble(
-        feature=padded[:, :, 0].astype(np.int64),
-        threshold=padded[:, :, 1],
-        left=padded[:, :, 2].astype(np.int64),
-        right=padded[:, :, 3].astype(np.int64),
-        value=padded[:, :, 4],
-        weight=weight,
-        depth=max(tree.depth for tree in model.trees),
-    )

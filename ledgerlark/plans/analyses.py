@@ -122,9 +122,10 @@ def cohort_retention(t: Tables, max_months: int = 6) -> DataFrame:
     Per person only the set of active months is kept (bounded by the calendar, deduplicated on the map side): its
     minimum is the cohort, so neither a second aggregate nor a self-join on the person is needed.
     """
-    orders = facts.delivered(t).select("customer_id", month_start(F.col("order_purchase_timestamp")).alias("month"))
+    month = month_start(F.col("order_purchase_timestamp")).alias("month")
+    months = facts.delivered(t).select("customer_id", month).distinct()  # folded before the person is looked up
     people = (
-        facts.with_customer(t, orders, "customer_unique_id")
+        months.join(t.customers.select("customer_id", "customer_unique_id"), "customer_id")
         .groupBy("customer_unique_id")
         .agg(F.collect_set("month").alias("months"))
     )

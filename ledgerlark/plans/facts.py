@@ -16,16 +16,8 @@ from ledgerlark.sources.tables import Tables
 DELIVERED = "delivered"
 UNKNOWN_CATEGORY = "unknown"
 
-# Segment name, lowest and highest recency score, lowest frequency score, lowest monetary score.
-# The first row that fits decides.
-SEGMENTS = (
-    ("Champions", 4, 5, 4, 4),
-    ("Loyal", 4, 5, 2, 1),
-    ("Promising", 4, 5, 1, 1),
-    ("At Risk", 1, 2, 4, 1),
-    ("Lost", 1, 2, 1, 1),
-)
 OTHER_SEGMENT = "Needs Attention"
+TILES = 5  # the thresholds of the segments are stated for five tiles
 
 
 def line_value() -> Column:
@@ -64,17 +56,24 @@ def with_customer(t: Tables, orders: DataFrame, *columns: str) -> DataFrame:
     return lookup(orders, t.customers.select("customer_id", *columns), "customer_id", hot_source=t.orders)
 
 
+def _totals_by(t: Tables, lines: DataFrame, key: str) -> DataFrame:
+    """Orders, items and revenue of delivered orders per key, from lines folded to one row per order and key first."""
+    per_order = lines.groupBy("order_id", key).agg(F.count("*").alias("n"), F.sum("line_value").alias("value"))
+    sold = per_order.join(delivered(t).select("order_id"), "order_id")
+    return sold.groupBy(key).agg(
+        F.count("*").alias("orders"), F.sum("n").alias("items_sold"), F.sum("value").alias("revenue")
+    )
+
+
 def seller_totals(t: Tables) -> DataFrame:
     """Delivered volume per seller; the seller's own columns are joined afterwards, one row to one row."""
-    return (
-        delivered_items(t)
-        .groupBy("seller_id")
-        .agg(
-            F.count_distinct("order_id").alias("orders"),
-            F.count("*").alias("items_sold"),
-            F.sum("line_value").alias("revenue"),
-        )
-    )
+    return _totals_by(t, t.order_items.select("order_id", "seller_id", line_value().alias("line_value")), "seller_id")
+
+
+def category_totals(t: Tables) -> DataFrame:
+    """Delivered volume per display category."""
+    lines = t.order_items.select("order_id", "product_id", line_value().alias("line_value"))
+    return _totals_by(t, with_category(t, lines), "category")
 
 
 def product_category(t: Tables) -> DataFrame:
@@ -131,10 +130,16 @@ def snapshot_day(t: Tables) -> Column:
     return t.orders.agg(F.max(F.col("order_purchase_timestamp").cast("date"))).scalar()
 
 
-def segment(r: Column, f: Column, m: Column) -> Column:
+def segment(r: Column, f: Column, m: Column, tiles: int = TILES) -> Column:
+    """Segment from the three scores; the first rule that fits decides. The thresholds of five tiles,
+    which other numbers of tiles scale, rounded up."""
+    two, four = -(-2 * tiles // TILES), -(-4 * tiles // TILES)
     rules = [
-        (r.between(r_low, r_high) & (f >= f_low) & (m >= m_low), name)
-        for name, r_low, r_high, f_low, m_low in SEGMENTS
+        ((r >= four) & (f >= four) & (m >= four), "Champions"),
+        ((r >= four) & (f >= two), "Loyal"),
+        (r >= four, "Promising"),
+        ((r <= two) & (f >= four), "At Risk"),
+        (r <= two, "Lost"),
     ]
     return first_match(rules, OTHER_SEGMENT)
 

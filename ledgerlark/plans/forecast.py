@@ -6,19 +6,17 @@ series_id, day, model, actual, forecast for the test days.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import columns as C
 from ledgerlark.operators import series as S
-from ledgerlark.operators.trees import flatten
+from ledgerlark.operators.boosting import LEAF_WISE, Boosting, fit
+from ledgerlark.operators.trees import Ensemble
 from ledgerlark.plans import analyses
 from ledgerlark.sources.tables import Tables
 
@@ -94,7 +92,9 @@ def trend_seasonal(df: DataFrame, changepoints: int = 25, fourier: int = 3, peri
     """Piecewise-linear trend and a Fourier weekly cycle, fitted per series.
 
     The penalty on slope changes is chosen on the tail of the training days, never on the test days. One group is one
-    series, so a group is as long as the calendar.
+    series, so a group is as long as the calendar. There are at most as many changepoints as pairs of periods, so that
+    the fit stays determined; a series of no more than two periods gets the mean of its training days (NULL without
+    any), because neither a trend nor a cycle can be told from it.
     """
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -103,7 +103,7 @@ def trend_seasonal(df: DataFrame, changepoints: int = 25, fourier: int = 3, peri
         test = pdf[pdf["is_test"]]
         horizon = len(test)
         out = pd.DataFrame({"series_id": test["series_id"], "day": test["day"], "model": "trend_seasonal"})
-        out["actual"], out["forecast"] = test["value"], np.nan
+        out["actual"], out["forecast"] = test["value"], y.mean() if len(y) else np.nan
         if horizon and len(y) > 2 * period:
             knots = min(changepoints, len(y) // (2 * period))
             tail = min(horizon, len(y) // 4)
@@ -124,83 +124,113 @@ def trend_seasonal(df: DataFrame, changepoints: int = 25, fourier: int = 3, peri
 # --- trees on lag features --------------------------------------------------------------------------------------
 
 
-def fit_trees(features: DataFrame, kind: str = "gbt", trees: int = 60, rate: float = 0.1, depth: int = 5, seed: int = 7):
-    """One model for the whole panel, fitted by Spark on the training rows (an action)."""
-    assembled = VectorAssembler(inputCols=S.feature_names(), outputCol="features").transform(
-        features.where("NOT is_test").withColumn("label", F.col(S.VALUE).cast("double"))
-    )
-    if kind == "gbt":
-        learner = GBTRegressor(maxIter=trees, stepSize=rate, maxDepth=depth, seed=seed)
-    else:
-        learner = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed)
-    return learner.fit(assembled.select("features", "label"))
+def _features(history: np.ndarray, day: np.ndarray, events: list) -> np.ndarray:
+    """One row of features for `day`, from the values of the days before it (its last axis), as in S.feature_names."""
+    month = day.astype("datetime64[M]")
+    calendar = [
+        (day.astype(np.int64) + 3) % 7,  # 1970-01-01 was a Thursday, Monday is 0
+        month.astype(np.int64) % 12 + 1,
+        (day - month.astype("datetime64[D]")).astype(np.int64) + 1,
+        np.any([(day >= a) & (day <= b) for a, b in events] or [np.zeros(day.shape, bool)], axis=0),
+    ]
+    lags = [history[..., -k] for k in S.LAGS] + [history[..., -k:].mean(axis=-1) for k in S.ROLLS]
+    return np.stack([*lags, *calendar], axis=-1).astype(float)
+
+
+def _dense(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every day up to the last row, the values of the training days (0 where a day has no row), and the test days."""
+    days = pdf["day"].to_numpy().astype("datetime64[D]")
+    test = days[pdf["is_test"].to_numpy()]
+    train_days, train = days[~pdf["is_test"].to_numpy()], pdf.loc[~pdf["is_test"], "value"].to_numpy(dtype=float)
+    if not len(train):
+        return np.zeros(0, "datetime64[D]"), train, test
+    calendar = np.arange(train_days[0], days[-1] + 1)
+    values = np.zeros(int((train_days[-1] - train_days[0]).astype(int)) + 1)
+    values[(train_days - train_days[0]).astype(int)] = np.nan_to_num(train)
+    return calendar, values, test
+
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The columns of a fit, dealt by series over all partitions: the rows are few, the work for each series is not."""
+    rows = df.select(S.SERIES, S.DAY, F.col(S.VALUE).cast("double").alias("value"), "is_test")
+    return rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), S.SERIES)
+
+
+def _recursion(values: np.ndarray, calendar: np.ndarray, events: list, predict) -> np.ndarray:
+    """Values of all days of the calendar: those known, then one prediction after the other."""
+    memory, out = max(*S.LAGS, *S.ROLLS), list(values)
+    for day in calendar[len(values) :]:
+        out.append(float(predict(_features(np.array(out[-memory:]), day, events)[None, :])[0]))
+    return np.array(out)
 
-def forecast_recursive(model, df: DataFrame, name: str, event_windows=S.EVENT_WINDOWS) -> DataFrame:
-    """Predict one day, append it to the history, predict the next, over the test days of every series.
 
-    Each series is one row that holds its last training values (as many as the longest lag). All steps for a batch of
-    series run inside one task, vectorised over the series, so the horizon costs neither jobs nor shuffles. Series
-    shorter than the longest lag have no features and therefore no forecast.
+def _per_series(df: DataFrame, name: str, model, event_windows) -> DataFrame:
+    """Recursive forecasts of every test row. `model` makes a predict function from training features and values.
+
+    The calendar is made dense first, a day without a row counts as 0. A series whose training days are no more than the
+    longest lag has no features: it gets its value of a week before, repeated, with reason `short`; without a training
+    day the forecast is NULL and the reason `empty`.
     """
-    lags, rolls = S.LAGS, S.ROLLS
-    memory = max(*lags, *rolls)
-    ensemble = flatten(model)
     events = [(np.datetime64(a), np.datetime64(b)) for a, b in event_windows]
+    memory = max(*S.LAGS, *S.ROLLS)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("day").drop_duplicates("day")
+        test_rows = pdf[pdf["is_test"]]
+        calendar, values, test = _dense(pdf)
+        out = pd.DataFrame({"series_id": test_rows["series_id"], "day": test_rows["day"], "model": name, "actual": test_rows["value"]})
+        if not len(values):
+            return out.assign(forecast=np.nan, reason="empty")
+        if len(values) > memory:
+            windows = np.lib.stride_tricks.sliding_window_view(values, memory)[:-1]
+            x = _features(windows, calendar[memory : len(values)], events)
+            filled = _recursion(values, calendar, events, model(x, values[memory:]))
+            reason = None
+        else:
+            week = min(7, len(values))
+            filled = np.concatenate([values, np.resize(values[-week:], len(calendar) - len(values))])
+            reason = "short"
+        return out.assign(forecast=filled[(test - calendar[0]).astype(int)], reason=reason)
 
-    train_n = F.count_if(~F.col("is_test")).over(S.per_series())
-    placed = df.withColumn("i", F.row_number().over(S.in_order())).withColumn("train_n", train_n)
-    recent = (F.col("i") > F.col("train_n") - memory) & (F.col("i") <= F.col("train_n"))
-    state = (
-        placed.where(recent | F.col("is_test"))
-        .groupBy(S.SERIES)
-        .agg(
-            F.array_sort(F.collect_list(F.when(recent, F.struct("i", F.col(S.VALUE).cast("double").alias("v"))))).alias("h"),
-            F.max(F.when(recent, F.col(S.DAY))).alias("last_day"),
-            F.count_if("is_test").cast("int").alias("horizon"),
-        )
-        .where(F.size("h") == memory)
-        .select(S.SERIES, F.transform("h", lambda e: e["v"]).alias("history"), "last_day", "horizon")
-    )
+    kind = dict(df.dtypes)[S.SERIES]
+    schema = f"series_id {kind}, day date, model string, actual double, forecast double, reason string"
+    return _spread(df).groupBy(S.SERIES).applyInPandas(run, schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            history = np.stack(pdf["history"].to_numpy())
-            last_day = pdf["last_day"].to_numpy().astype("datetime64[D]")
-            horizon = pdf["horizon"].to_numpy()
-            for step in range(1, int(horizon.max()) + 1):
-                day = last_day + step
-                month = day.astype("datetime64[M]")
-                calendar = [
-                    (day.astype(np.int64) + 3) % 7,  # 1970-01-01 was a Thursday, Monday is 0
-                    month.astype(np.int64) % 12 + 1,
-                    (day - month.astype("datetime64[D]")).astype(np.int64) + 1,
-                    np.any([(day >= a) & (day <= b) for a, b in events] or [np.zeros(len(day), bool)], axis=0),
-                ]
-                x = np.column_stack(
-                    [history[:, -k] for k in lags] + [history[:, -k:].mean(axis=1) for k in rolls] + calendar
-                )
-                value = ensemble.predict(x)
-                history = np.column_stack([history[:, 1:], value])
-                out = pd.DataFrame({"series_id": pdf["series_id"], "day": day, "forecast": value})
-                yield out[step <= horizon]
 
-    kind = dict(df.dtypes)[S.SERIES]
-    predicted = state.mapInPandas(run, f"series_id {kind}, day date, forecast double")
-    actual = df.where("is_test").select(S.SERIES, S.DAY, F.col(S.VALUE).cast("double").alias("actual"))
-    return actual.join(predicted, [S.SERIES, S.DAY]).select(
-        S.SERIES, S.DAY, F.lit(name).alias("model"), "actual", "forecast"
-    )
+def boosted(df: DataFrame, name: str = "boosted", how: Boosting = LEAF_WISE, event_windows=S.EVENT_WINDOWS) -> DataFrame:
+    """Boosted trees on lag features, one model per series, predicted one day after the other over the test days.
+
+    Each series is scaled by its own training values alone, so small series are not drowned by large ones.
+    """
 
+    def model(x: np.ndarray, y: np.ndarray):
+        return fit(x, y, how)[0].predict
 
-def importance(model) -> DataFrame:
-    """Share of the split gain per feature, largest first (one row per feature)."""
-    from pyspark.sql import SparkSession
+    return _per_series(df, name, model, event_windows)
 
-    rows = [(f, float(g)) for f, g in zip(S.feature_names(), model.featureImportances.toArray())]
-    return SparkSession.active().createDataFrame(rows, "feature string, gain double").orderBy(F.desc("gain"), "feature")
+
+def forecast_recursive(ensemble: Ensemble, df: DataFrame, name: str, event_windows=S.EVENT_WINDOWS) -> DataFrame:
+    """The same recursion with given trees for every series."""
+    return _per_series(df, name, lambda x, y: ensemble.predict, event_windows)
+
+
+def importance(df: DataFrame, how: Boosting = LEAF_WISE, event_windows=S.EVENT_WINDOWS) -> DataFrame:
+    """(feature, gain): mean share of the split gain per feature over the series that have features, largest first."""
+    events = [(np.datetime64(a), np.datetime64(b)) for a, b in event_windows]
+    memory, names = max(*S.LAGS, *S.ROLLS), S.feature_names()
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        calendar, values, _ = _dense(pdf.sort_values("day").drop_duplicates("day"))
+        if len(values) <= memory:
+            return pd.DataFrame({"feature": [], "share": []}).astype({"feature": str, "share": float})
+        windows = np.lib.stride_tricks.sliding_window_view(values, memory)[:-1]
+        shares = fit(_features(windows, calendar[memory : len(values)], events), values[memory:], how)[1]
+        return pd.DataFrame({"feature": names, "share": shares})
+
+    shares = _spread(df).groupBy(S.SERIES).applyInPandas(run, "feature string, share double")
+    total = F.sum("share").over(Window.partitionBy())  # one row per feature
+    summed = shares.groupBy("feature").agg(F.sum("share").alias("share"))
+    return summed.select("feature", (F.col("share") / total).alias("gain")).orderBy(F.desc("gain"), "feature")
 
 
 # --- evaluation -------------------------------------------------------------------------------------------------

@@ -53,11 +53,15 @@ def with_growth(monthly: DataFrame) -> DataFrame:
 
 
 def monthly_revenue_view(t: Tables) -> DataFrame:
-    orders = facts.with_customer(t, facts.delivered_totals(t), "customer_unique_id")
-    monthly = orders.groupBy(month_start(F.col("order_purchase_timestamp")).alias("month")).agg(
-        F.count("*").alias("orders"),
-        F.count_distinct("customer_unique_id").alias("customers"),
-        F.sum("order_value").alias("revenue"),
+    """Folded to one row per customer and month before the person is looked up, then to person and month."""
+    month = month_start(F.col("order_purchase_timestamp")).alias("month")
+    per_customer = facts.delivered_totals(t).groupBy("customer_id", month)
+    per_customer = per_customer.agg(F.count("*").alias("orders"), F.sum("order_value").alias("revenue"))
+    people = per_customer.join(t.customers.select("customer_id", "customer_unique_id"), "customer_id")
+    per_person = people.groupBy("customer_unique_id", "month")
+    per_person = per_person.agg(F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue"))
+    monthly = per_person.groupBy("month").agg(
+        F.sum("orders").alias("orders"), F.count("*").alias("customers"), F.sum("revenue").alias("revenue")
     )
     return with_growth(monthly)
 
@@ -80,7 +84,7 @@ def customer_clv(t: Tables, tiles: int = TILES) -> DataFrame:
         "m_score": F.col("clv"),
     }
     scored = add_tiles(people, "customer_unique_id", measures, tiles)
-    return scored.withColumn("segment", facts.segment(F.col("r_score"), F.col("f_score"), F.col("m_score")))
+    return scored.withColumn("segment", facts.segment(F.col("r_score"), F.col("f_score"), F.col("m_score"), tiles))
 
 
 def delivery_summary(t: Tables) -> DataFrame:
@@ -116,16 +120,7 @@ def delivery_summary(t: Tables) -> DataFrame:
 
 
 def category_performance(t: Tables) -> DataFrame:
-    lines = facts.with_category(t, facts.delivered_items(t))
-    return (
-        lines.groupBy("category")
-        .agg(
-            F.count_distinct("order_id").alias("orders"),
-            F.count("*").alias("items_sold"),
-            F.sum("line_value").alias("revenue"),
-        )
-        .withColumn("avg_item_value", ratio(F.col("revenue"), F.col("items_sold")))
-    )
+    return facts.category_totals(t).withColumn("avg_item_value", ratio(F.col("revenue"), F.col("items_sold")))
 
 
 def seller_performance(t: Tables) -> DataFrame:
@@ -182,10 +177,17 @@ VIEWS = {
 }
 
 
-def register_views(t: Tables) -> None:
-    """Register every view under its reporting name for spark.sql."""
+def register_views(t: Tables, root: str) -> None:
+    """Register every view under its reporting name for spark.sql.
+
+    All are live but vw_customer_clv: its ranking is an action, so it is stored under `root` and read from there, which
+    no clean-up of copies touches. Call this again, or save_views, to refresh it.
+    """
+    stored = f"{root}/vw_customer_clv"
+    customer_clv(t).write.mode("overwrite").parquet(stored)
     for name, plan in VIEWS.items():
-        plan(t).createOrReplaceTempView(name)
+        view = t.orders.sparkSession.read.parquet(stored) if plan is customer_clv else plan(t)
+        view.createOrReplaceTempView(name)
 
 
 def save_views(t: Tables, root: str) -> None:

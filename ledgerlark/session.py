@@ -10,6 +10,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",  # merged down to what the data needs
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.python.sql.dataFrameDebugging.enabled": "false",  # no stack capture per column expression
 }
@@ -21,6 +22,7 @@ def local_session(cpus: int | str = 8, app: str = "ledgerlark", **extra: str) ->
     conf = {
         **SETTINGS,
         "spark.sql.shuffle.partitions": str(cpus),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(cpus),
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlark.functions.columns import coerce_timestamp, zero_pad
+from ledgerlark.functions.columns import coerce_timestamp, whole_number, zero_pad
 from ledgerlark.operators import quality
 from ledgerlark.operators.lineage import copies_written, discard_copies, materialise
 from ledgerlark.sources.schemas import SPECS, Field, TableSpec
@@ -33,7 +33,7 @@ def clean_field(field: Field) -> Column:
     elif field.pad:
         value = zero_pad(present, field.pad)
     elif isinstance(field.type, (T.ShortType, T.IntegerType)):
-        value = present.cast("double").cast(field.type)  # whole numbers may be spelled 40.0
+        value = whole_number(present, field.type)
     else:
         value = present.cast(field.type)
     return value.alias(field.name)
@@ -43,6 +43,27 @@ def ingest(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     return read_csv(spark, path, spec.multiline).select(*[clean_field(f) for f in spec.fields])
 
 
+def coerced_cells(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
+    """(table, column, cells): how many filled timestamp cells of a file are unreadable and become NULL."""
+    stamps = [f for f in spec.fields if isinstance(f.type, T.TimestampType)]
+    schema = "`table` string, `column` string, cells bigint"
+    if not stamps:
+        return spark.createDataFrame([], schema)
+    text = {f.name: F.col(f"`{f.header or f.name}`") for f in stamps}
+    lost = [
+        F.count_if(~c.isin(*NULL_TEXTS) & coerce_timestamp(c).isNull()).alias(name) for name, c in text.items()
+    ]
+    cells = F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("cells")) for f in stamps])
+    counted = read_csv(spark, path, spec.multiline).agg(*lost)
+    return counted.select(F.lit(spec.name).alias("table"), F.inline(cells))
+
+
+def read_series(spark: SparkSession, path: str) -> DataFrame:
+    """A daily series file with the columns day, revenue and orders, as series_id, day, value, orders."""
+    rows = spark.read.csv(path, header=True, schema="day date, revenue decimal(18,4), orders bigint", mode="FAILFAST")
+    return rows.select(F.lit("all").alias("series_id"), "day", F.col("revenue").alias("value"), "orders")
+
+
 def append_table(df: DataFrame, root: str, table: str) -> None:
     df.write.mode("append").parquet(f"{root}/{table}")
 

@@ -45,6 +45,10 @@ def _null(kind: str) -> Column:
     return F.lit(None).cast(kind)
 
 
+def _review_day(later: int) -> Column:
+    return F.expr(f"TIMESTAMP_NTZ'2018-01-01 00:00:00' + make_dt_interval(CAST(conv_id % 1000 + {later} AS INT))")
+
+
 def _arrivals(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """First ship day on or after the order day, NULL where there is none."""
     placed = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
@@ -57,12 +61,11 @@ def _arrivals(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return orders.join(first, "o_orderkey", "left")
 
 
-def load(spark: SparkSession, sf_dir: str, arrivals: bool = False, only_delivered: bool = False) -> Tables:
+def load(spark: SparkSession, sf_dir: str, arrivals: bool = False) -> Tables:
     """Open the driver's tables as logical tables.
 
-    `arrivals` derives delivery days from the lines. `only_delivered` opens the orders through a filter on the raw
-    status, which reaches the parquet scan where the mapped status would not; queries that look at delivered orders
-    alone set it.
+    `arrivals` derives delivery days from the lines. Three customer ids belong to one person. Reviews take their score
+    and dates from the turn and the number of the conversation.
     """
 
     def read(name: str) -> DataFrame:
@@ -83,7 +86,7 @@ def load(spark: SparkSession, sf_dir: str, arrivals: bool = False, only_delivere
         return _renamed(
             read("customer"),
             customer_id="c_custkey",
-            customer_unique_id="c_custkey",
+            customer_unique_id=F.expr("c_custkey div 3"),
             customer_zip_code_prefix=zero_pad(F.col("c_custkey")),
             customer_city=F.concat(F.lit("CITY_"), "c_nationkey"),
             customer_state=nation_name("c_nationkey"),
@@ -92,8 +95,6 @@ def load(spark: SparkSession, sf_dir: str, arrivals: bool = False, only_delivere
 
     def orders() -> DataFrame:
         raw = read("orders")
-        if only_delivered:
-            raw = raw.where(F.col("o_orderstatus") == "F")
         raw = _arrivals(raw, read("lineitem")) if arrivals else raw.withColumn("arrival", _null("timestamp_ntz"))
         status = F.lit(OTHER_STATUS)
         for code, label in reversed(STATUS.items()):
@@ -165,11 +166,11 @@ def load(spark: SparkSession, sf_dir: str, arrivals: bool = False, only_delivere
             read("conversations"),
             review_id="conv_id",
             order_id="turn",
-            review_score=_null("int"),
+            review_score=(F.col("turn") % 5 + 1).cast("int"),
             review_comment_title="role",
             review_comment_message="text",
-            review_creation_date=_null("timestamp_ntz"),
-            review_answer_timestamp=_null("timestamp_ntz"),
+            review_creation_date=_review_day(0),
+            review_answer_timestamp=_review_day(1),
         )
 
     return Tables(

@@ -6,14 +6,17 @@ from collections.abc import Callable
 from datetime import date
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlark.functions.columns import TIMESTAMP_FORMAT, coerce_timestamp, zero_pad
 from ledgerlark.operators import quality, ranking
 from ledgerlark.operators import series as S
+from ledgerlark.operators.boosting import DEPTH_WISE, LEAF_WISE
 from ledgerlark.operators.lineage import materialise, shared_dir
+from ledgerlark.operators.trees import Ensemble
 from ledgerlark.plans import analyses, dashboard, facts, forecast, views
 from ledgerlark.sources import ingest
 from ledgerlark.sources.schemas import SPECS, Field, TableSpec
@@ -28,7 +31,6 @@ FIRST_DAY, LAST_DAY = date(1995, 3, 1), date(2000, 12, 31)
 EVENTS = ((date(1999, 11, 26), date(1999, 11, 29)),)
 STABLE_ORDERS = 1
 LOW_ORDERS = 2
-TREES = 20
 
 
 def plain(df: DataFrame, digits: int | None = None) -> DataFrame:
@@ -68,29 +70,29 @@ def raw_query(name: str):
     return register
 
 
-SOLD = {"only_delivered": True}
-ARRIVED = {"only_delivered": True, "arrivals": True}
+ARRIVED = {"arrivals": True}
 
-query("a1_monthly_revenue", **SOLD)(analyses.monthly_revenue)
-query("a1_monthly_revenue_dense", **SOLD)(lambda t: analyses.monthly_revenue(t, dense=True))
-query("a2_revenue_by_category", **SOLD)(analyses.revenue_by_category)
-query("a3_top_customers", **SOLD)(analyses.top_customers)
-query("a4_customer_ltv", **SOLD)(analyses.customer_ltv)
-query("a5_top_products", **SOLD)(analyses.top_products)
+query("a1_monthly_revenue")(analyses.monthly_revenue)
+query("a1_monthly_revenue_dense")(lambda t: analyses.monthly_revenue(t, dense=True))
+query("a2_revenue_by_category")(analyses.revenue_by_category)
+query("a3_top_customers")(analyses.top_customers)
+query("a4_customer_ltv")(analyses.customer_ltv)
+query("a5_top_products")(analyses.top_products)
 query("a6_delivery_performance", **ARRIVED)(analyses.delivery_performance)
 query("a7_rfm")(analyses.rfm)
+query("a7_rfm_ten_tiles")(lambda t: analyses.rfm(t, tiles=10))
 query("a7_rfm_top100")(lambda t: analyses.rfm(t, n=100))
-query("a8_cohort_retention", **SOLD)(analyses.cohort_retention)
-query("daily_revenue", **SOLD)(analyses.daily_revenue)
-query("daily_revenue_by_category", **SOLD)(lambda t: analyses.daily_revenue(t, by="category"))
+query("a8_cohort_retention")(analyses.cohort_retention)
+query("daily_revenue")(analyses.daily_revenue)
+query("daily_revenue_by_category")(lambda t: analyses.daily_revenue(t, by="category"))
 
 query("view_orders_enriched", arrivals=True)(views.orders_enriched)
-query("view_monthly_revenue", **SOLD)(views.monthly_revenue_view)
+query("view_monthly_revenue")(views.monthly_revenue_view)
 query("view_customer_clv")(views.customer_clv)
 query("view_delivery_summary", **ARRIVED)(views.delivery_summary)
-query("view_category_performance", **SOLD)(views.category_performance)
-query("view_seller_performance", **SOLD)(views.seller_performance)
-query("view_payments_summary", **SOLD)(views.payments_summary)
+query("view_category_performance")(views.category_performance)
+query("view_seller_performance")(views.seller_performance)
+query("view_payments_summary")(views.payments_summary)
 query("view_delivery_times", **ARRIVED)(views.delivery_times)
 
 query("dash_kpi", **ARRIVED)(dashboard.kpi)
@@ -98,28 +100,28 @@ query("dash_worst_states", **ARRIVED)(dashboard.worst_states)
 query("dash_segments")(dashboard.segments)
 query("dash_state_ranks", **ARRIVED)(dashboard.state_ranks)
 query("dash_top_spenders")(dashboard.top_spenders)
-query("dash_clv_hist", **SOLD)(lambda t: dashboard.clv_histogram(t, width=50_000, limit=1_000_000))
-query("dash_categories", **SOLD)(lambda t: dashboard.categories(t, n=3))
+query("dash_clv_hist")(lambda t: dashboard.clv_histogram(t, width=50_000, limit=1_000_000))
+query("dash_categories")(lambda t: dashboard.categories(t, n=3))
 query("dash_delivery_hist", **ARRIVED)(dashboard.delivery_histogram)
 query("dash_on_time_trend", **ARRIVED)(dashboard.on_time_trend)
-query("dash_payment_mix", **SOLD)(dashboard.payment_mix)
-query("dash_top_sellers", **SOLD)(dashboard.top_sellers)
-query("dash_seller_states", **SOLD)(dashboard.seller_states)
-query("dash_repeat_rate", **SOLD)(dashboard.repeat_rate)
-query("dash_peak_month", **SOLD)(dashboard.peak_month)
+query("dash_payment_mix")(dashboard.payment_mix)
+query("dash_top_sellers")(dashboard.top_sellers)
+query("dash_seller_states")(dashboard.seller_states)
+query("dash_repeat_rate")(dashboard.repeat_rate)
+query("dash_peak_month")(dashboard.peak_month)
 
 
 # --- ranking ----------------------------------------------------------------------------------------------------
 
 
-@query("op_ntile_distributed", **SOLD)
+@query("op_ntile_distributed")
 def ntile_distributed(t: Tables) -> DataFrame:
     people = facts.person_metrics(t).select("customer_unique_id", "orders_count", "clv")
     measures = {"f_tile": F.col("orders_count"), "m_tile": F.col("clv")}
     return ranking.add_tiles(people, "customer_unique_id", measures, tiles=10)
 
 
-@query("op_global_rank", **SOLD)
+@query("op_global_rank")
 def global_rank(t: Tables) -> DataFrame:
     people = facts.person_metrics(t).select("customer_unique_id", "orders_count")
     return ranking.global_rank(people, "orders_count", "customer_unique_id", desc=True, tiles=5)
@@ -179,6 +181,7 @@ def _row_checks(t: Tables, check: str) -> DataFrame:
     return quality.stack_reports([quality.check_rows(t[s.name], s, (check,)) for s in SPECS])
 
 
+query("dq_not_null")(lambda t: _row_checks(t, "not_null"))
 query("dq_domain")(lambda t: _row_checks(t, "domain"))
 query("dq_length")(lambda t: _row_checks(t, "length"))
 
@@ -193,7 +196,7 @@ def ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
         TableSpec("part", (Field("p_size", long, high=25),), ("p_partkey",)),
     )
     t = adapter.load(spark, sf_dir)
-    reports = [quality.check_rows(t[s.name], s, ("range",)) for s in SPECS if s.name != "order_reviews"]
+    reports = [quality.check_rows(t[s.name], s, ("range",)) for s in SPECS]
     reports += [quality.check_rows(adapter.read_raw(spark, sf_dir, s.name), s) for s in extra]
     return quality.stack_reports(reports)
 
@@ -203,7 +206,8 @@ query("dq_unmapped_category")(quality.unmapped_categories)
 
 @raw_query("ingest_csv_roundtrip")
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the logical tables as CSV, load them through the declared specs, and count rows, cells and characters."""
+    """Write the logical tables as CSV, load them through the declared specs, and compare rows, cells, characters, sums and
+    the first and last time."""
     t = adapter.load(spark, sf_dir, arrivals=True)
     root = f"{shared_dir(spark)}/csv-{uuid4().hex}"
     reports = []
@@ -216,12 +220,21 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         csv.csv(f"{root}/{spec.name}")
         loaded = ingest.ingest(spark, spec, f"{root}/{spec.name}")
         text = [f.name for f in spec.fields if isinstance(f.type, T.StringType)]
+        numbers = [f.name for f in spec.fields if isinstance(f.type, (T.ShortType, T.IntegerType, T.DecimalType))]
+        stamps = [F.col(f.name) for f in spec.fields if isinstance(f.type, T.TimestampType)]
+        stamps = stamps * 2 if len(stamps) == 1 else stamps or [F.lit(None).cast("timestamp")] * 2
         filled = sum((F.count(f.name) for f in spec.fields), F.lit(0))
         chars = sum((F.coalesce(F.sum(F.length(c)), F.lit(0)) for c in text), F.lit(0))
+        cents = sum((F.coalesce(F.sum(F.col(c).cast("decimal(18,2)")) * 100, F.lit(0)) for c in numbers), F.lit(0))
         reports.append(
-            loaded.agg(F.count("*").alias("rows"), filled.alias("filled_cells"), chars.alias("text_chars")).withColumn(
-                "table", F.lit(spec.name)
-            )
+            loaded.agg(
+                F.count("*").alias("rows"),
+                filled.alias("filled_cells"),
+                chars.alias("text_chars"),
+                cents.cast("long").alias("number_cents"),
+                F.min(F.least(*stamps)).alias("first_stamp"),
+                F.max(F.greatest(*stamps)).alias("last_stamp"),
+            ).withColumn("table", F.lit(spec.name))
         )
     return quality.stack_reports(reports)
 
@@ -241,24 +254,24 @@ def _split(t: Tables) -> DataFrame:
     return S.split(_clean(t).select("series_id", "day", "value"))
 
 
-query("ts_panel", **SOLD)(_panel)
-query("ts_profile", **SOLD)(lambda t: S.profile(_panel(t)))
-query("ts_first_stable_day", **SOLD)(lambda t: S.first_stable_day(_panel(t), threshold=STABLE_ORDERS))
-query("ts_warmup_profile", **SOLD)(lambda t: S.warmup_profile(_panel(t), low=LOW_ORDERS))
-query("ts_missing_days", **SOLD)(lambda t: S.missing_days(S.trim(_panel(t), start=FIRST_DAY)))
-query("ts_clean_series", **SOLD)(_clean)
-query("ts_last_n_days", **SOLD)(lambda t: S.last_days(_clean(t), 14))
-query("ts_describe", digits=6, **SOLD)(lambda t: S.describe_series(_clean(t)))
-query("ts_weekday_box", digits=6, **SOLD)(lambda t: S.weekday_box(_clean(t)))
-query("ts_rolling_mean", digits=6, **SOLD)(
+query("ts_panel")(_panel)
+query("ts_profile")(lambda t: S.profile(_panel(t)))
+query("ts_first_stable_day")(lambda t: S.first_stable_day(_panel(t), threshold=STABLE_ORDERS))
+query("ts_warmup_profile")(lambda t: S.warmup_profile(_panel(t), low=LOW_ORDERS))
+query("ts_missing_days")(lambda t: S.missing_days(S.trim(_panel(t), start=FIRST_DAY)))
+query("ts_clean_series")(_clean)
+query("ts_last_n_days")(lambda t: S.last_days(_clean(t), 14))
+query("ts_describe", digits=6)(lambda t: S.describe_series(_clean(t)))
+query("ts_weekday_box", digits=6)(lambda t: S.weekday_box(_clean(t)))
+query("ts_rolling_mean", digits=6)(
     lambda t: _clean(t).select("series_id", "day", S.rolling_mean("value", 7).alias("mean_7"))
 )
-query("ts_rolling_median", digits=6, **SOLD)(
+query("ts_rolling_median", digits=6)(
     lambda t: _panel(t).select("series_id", "day", S.rolling_median("orders", 7).alias("median_7"))
 )
-query("ts_decompose", digits=6, **SOLD)(lambda t: S.decompose(_clean(t)))
-query("ts_train_test_split", **SOLD)(_split)
-query("ts_lag_features", digits=6, **SOLD)(
+query("ts_decompose", digits=6)(lambda t: S.decompose(_clean(t)))
+query("ts_train_test_split")(_split)
+query("ts_lag_features", digits=6)(
     lambda t: S.lag_features(_clean(t).select("series_id", "day", "value"), event_windows=EVENTS)
 )
 
@@ -271,48 +284,74 @@ def _baselines(t: Tables) -> DataFrame:
     return forecast.stack(forecast.naive(df), forecast.seasonal_naive(df), forecast.seasonal_naive(df, recursive=True))
 
 
-def _fitted(t: Tables, kind: str):
-    df = materialise(_split(t), "panel")
-    features = S.lag_features(df, event_windows=EVENTS)
-    depth = 5 if kind == "gbt" else 6
-    return df, forecast.fit_trees(features, kind, trees=TREES, depth=depth)
+# Fixed trees for the check of the recursion: two stumps, on the day before and on the mean of seven days.
+STUMPS = Ensemble(
+    feature=np.array([[0, 0, 0], [4, 0, 0]]),
+    threshold=np.array([[300_000.0, 0, 0], [250_000.0, 0, 0]]),
+    left=np.array([[1, 1, 2], [1, 1, 2]]),
+    right=np.array([[2, 1, 2], [2, 1, 2]]),
+    value=np.array([[0.0, 330_000.0, 180_000.0], [0.0, 90_000.0, 20_000.0]]),
+    weight=np.array([1.0, 0.5]),
+    depth=1,
+)
 
 
-def _trees(t: Tables, kind: str) -> DataFrame:
-    df, model = _fitted(t, kind)
-    return forecast.forecast_recursive(model, df, kind, event_windows=EVENTS)
+def _covered(forecasts: DataFrame) -> DataFrame:
+    """Forecast rows without their value: a fitted model has no SQL, its coverage and its actual values have."""
+    present = (F.col("forecast").isNotNull() & ~F.isnan("forecast")).alias("has_forecast")
+    return forecasts.select("series_id", "day", "model", "actual", present)
 
 
-query("fc_naive", **SOLD)(lambda t: forecast.naive(_split(t)))
-query("fc_seasonal_naive", **SOLD)(lambda t: forecast.seasonal_naive(_split(t)))
-query("fc_seasonal_naive_recursive", **SOLD)(lambda t: forecast.seasonal_naive(_split(t), recursive=True))
-query("fc_metrics", digits=6, **SOLD)(lambda t: forecast.metrics(_baselines(t)))
-query("fc_leaderboard", digits=6, **SOLD)(
+query("fc_naive")(lambda t: forecast.naive(_split(t)))
+query("fc_seasonal_naive")(lambda t: forecast.seasonal_naive(_split(t)))
+query("fc_seasonal_naive_recursive")(lambda t: forecast.seasonal_naive(_split(t), recursive=True))
+query("fc_metrics", digits=6)(lambda t: forecast.metrics(_baselines(t)))
+query("fc_leaderboard", digits=6)(
     lambda t: forecast.leaderboard(
         forecast.metrics(_baselines(t)), ["naive", "seasonal_naive", "seasonal_naive_recursive"]
     )
 )
-query("fc_walk_forward", digits=6, **SOLD)(
+query("fc_walk_forward", digits=6)(
     lambda t: forecast.metrics(forecast.walk_forward(_clean(t)), "series_id", "fold")
 )
-query("fc_monthly_rollup", digits=6, **SOLD)(lambda t: forecast.monthly_rollup(_baselines(t)))
-query("fc_trend_seasonal", **SOLD)(lambda t: forecast.trend_seasonal(_split(t)))
-query("fc_gbt", **SOLD)(lambda t: _trees(t, "gbt"))
-query("fc_rf", **SOLD)(lambda t: _trees(t, "forest"))
-query("fc_importance", **SOLD)(lambda t: forecast.importance(_fitted(t, "gbt")[1]))
+query("fc_monthly_rollup", digits=6)(lambda t: forecast.monthly_rollup(_baselines(t)))
+query("fc_recursive_stumps", digits=6)(
+    lambda t: forecast.forecast_recursive(STUMPS, _split(t), "stumps", EVENTS).drop("reason")
+)
+query("fc_trend_seasonal")(lambda t: _covered(forecast.trend_seasonal(_split(t))))
+query("fc_gbt")(lambda t: _covered(forecast.boosted(_split(t), "gbt", LEAF_WISE, EVENTS)))
+query("fc_gbt_depth_6")(lambda t: _covered(forecast.boosted(_split(t), "gbt_depth_6", DEPTH_WISE, EVENTS)))
+
+
+@query("fc_importance", digits=6)
+def importances(t: Tables) -> DataFrame:
+    """The features, that each has a share, and the sum of the shares."""
+    shares = forecast.importance(_split(t), event_windows=EVENTS)
+    known = F.col("gain").between(0, 1).alias("is_share")
+    return shares.select("feature", known, F.sum("gain").over(Window.partitionBy()).alias("total"))
 
 
-@query("fc_all_models", digits=6, **SOLD)
+@query("fc_all_models")
 def all_models(t: Tables) -> DataFrame:
-    """All models side by side on one panel."""
-    df, gbt = _fitted(t, "gbt")
-    forest = forecast.fit_trees(S.lag_features(df, event_windows=EVENTS), "forest", trees=TREES, depth=6)
+    """All models side by side on one panel: days forecast, and whether each model is there."""
+    df = materialise(_split(t), "panel")
     forecasts = forecast.stack(
         forecast.naive(df),
         forecast.seasonal_naive(df),
         forecast.trend_seasonal(df),
-        forecast.forecast_recursive(gbt, df, "gbt", EVENTS),
-        forecast.forecast_recursive(forest, df, "forest", EVENTS),
+        forecast.boosted(df, "gbt", LEAF_WISE, EVENTS),
+        forecast.boosted(df, "gbt_depth_6", DEPTH_WISE, EVENTS),
     )
-    models = ["naive", "seasonal_naive", "trend_seasonal", "gbt", "forest"]
-    return forecast.leaderboard(forecast.metrics(forecasts), models)
+    models = ["naive", "seasonal_naive", "trend_seasonal", "gbt", "gbt_depth_6"]
+    board = forecast.leaderboard(forecast.metrics(forecasts), models)
+    return board.select("series_id", "metric", *[F.col(m).isNotNull().alias(m) for m in models])
+
+
+@raw_query("ingest_daily_series")
+def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One panel series written as a CSV file of day, revenue, orders, and read back."""
+    t = adapter.load(spark, sf_dir)
+    panel = _panel(t).where("series_id = 'ASIA'").select("day", F.col("value").alias("revenue"), "orders")
+    path = f"{shared_dir(spark)}/series-{uuid4().hex}"
+    panel.write.csv(path, header=True)
+    return ingest.read_series(spark, path)

@@ -16,7 +16,7 @@ ARRIVAL = """
 
 TABLES = {
     "t_customers": """
-        SELECT c_custkey AS customer_id, c_custkey AS customer_unique_id, 'CITY_' || c_nationkey AS customer_city,
+        SELECT c_custkey AS customer_id, c_custkey // 3 AS customer_unique_id, 'CITY_' || c_nationkey AS customer_city,
                lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(5, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0')
                    AS customer_zip_code_prefix,
                n_name AS customer_state, r_name AS customer_region
@@ -78,6 +78,17 @@ TABLES = {
                     WHEN r_score < 3 AND f_score > 3 THEN 'At Risk'
                     WHEN r_score < 3 THEN 'Lost' ELSE 'Needs Attention' END AS segment
         FROM dated p""",
+    "rfm_ten": """
+        SELECT p.*,
+               ntile(10) OVER (ORDER BY recency_days DESC, customer_unique_id) AS r_score,
+               ntile(10) OVER (ORDER BY n_orders, customer_unique_id) AS f_score,
+               ntile(10) OVER (ORDER BY spent, customer_unique_id) AS m_score,
+               CASE WHEN r_score >= 8 AND f_score >= 8 AND m_score >= 8 THEN 'Champions'
+                    WHEN r_score >= 8 AND f_score >= 4 THEN 'Loyal'
+                    WHEN r_score >= 8 THEN 'Promising'
+                    WHEN r_score <= 4 AND f_score >= 8 THEN 'At Risk'
+                    WHEN r_score <= 4 THEN 'Lost' ELSE 'Needs Attention' END AS segment
+        FROM dated p""",
     "months": "SELECT month, sum(value_u) AS rev FROM sold GROUP BY month",
     "by_category": """
         SELECT category, count(DISTINCT order_id) AS orders, count(*) AS items_sold, sum(value_u) AS rev
@@ -236,10 +247,36 @@ def _checks(kind: str) -> str:
         add("products", "product_weight_g", "p_size < 0", "part")
         for side in ("length", "height", "width"):
             add("products", f"product_{side}_cm", "false")
+        add("order_reviews", "review_score", "turn % 5 + 1 NOT BETWEEN 1 AND 5", "conversations")
         add("customer", "c_acctbal", "c_acctbal < 0", "customer")
         add("labels", "quality", "quality NOT BETWEEN 1 AND 5", "labels")
         add("labels", "toxic", "toxic NOT BETWEEN 0 AND 1", "labels")
         add("part", "p_size", "p_size > 25", "part")
+    elif kind == "not_null":
+        for column in ("customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"):
+            add("customers", column, f"{column} IS NULL")
+        for column in ("product_category_name", "product_category_name_english"):
+            add("product_category_translation", column, f"{column} IS NULL")
+        add("products", "product_id", "product_id IS NULL")
+        sellers = {"seller_id": "s_suppkey", "seller_zip_code_prefix": "s_suppkey", "seller_city": "s_nationkey", "seller_state": "n_name"}
+        for column, raw in sellers.items():
+            add("sellers", column, f"{raw} IS NULL", "supplier LEFT JOIN nation ON n_nationkey = s_nationkey")
+        orders = {"order_id": "order_id", "customer_id": "customer_id", "order_status": "order_status",
+                  "order_purchase_timestamp": "purchased_at", "order_estimated_delivery_date": "estimated_at"}
+        for column, raw in orders.items():
+            add("orders", column, f"{raw} IS NULL")
+        items = {"order_id": "l_orderkey", "order_item_id": "l_linenumber", "product_id": "l_partkey", "seller_id": "l_suppkey",
+                 "shipping_limit_date": "l_shipdate", "price": "l_extendedprice", "freight_value": "l_extendedprice * l_tax"}
+        for column, raw in items.items():
+            add("order_items", column, f"{raw} IS NULL", "lineitem")
+        payments = {"order_id": "event_id", "payment_sequential": "event_id", "payment_type": "event_type",
+                    "payment_installments": "user_id", "payment_value": "value"}
+        for column, raw in payments.items():
+            add("order_payments", column, f"{raw} IS NULL", "events")
+        reviews = {"review_id": "conv_id", "order_id": "turn", "review_score": "turn", "review_creation_date": "conv_id",
+                   "review_answer_timestamp": "conv_id"}
+        for column, raw in reviews.items():
+            add("order_reviews", column, f"{raw} IS NULL", "conversations")
     else:
         for column, limit in (
             ("customer_id", 32), ("customer_unique_id", 32), ("customer_zip_code_prefix", 5), ("customer_city", 50),
@@ -318,31 +355,54 @@ def _null_counts() -> str:
 
 
 def _roundtrip() -> str:
-    def part(table: str, relation: str, filled: str, chars: str) -> str:
+    def part(table: str, relation: str, filled: str, chars: str, cents: str = "0", stamps: str = "CAST(NULL AS TIMESTAMP)") -> str:
         return f"""SELECT '{table}' AS "table", count(*) AS "rows", CAST({filled} AS BIGINT) AS filled_cells,
-            CAST({chars} AS BIGINT) AS text_chars FROM {relation}"""
+            CAST({chars} AS BIGINT) AS text_chars, CAST(coalesce(sum({cents}), 0) AS BIGINT) AS number_cents,
+            strftime(min(least({stamps})), '%Y-%m-%d %H:%M:%S') AS first_stamp,
+            strftime(max(greatest({stamps})), '%Y-%m-%d %H:%M:%S') AS last_stamp FROM {relation}"""
 
     def text(*columns: str) -> str:
         return " + ".join(f"coalesce(sum(length(CAST({c} AS VARCHAR))), 0)" for c in columns)
 
+    reviewed = "TIMESTAMP '2018-01-01' + CAST(conv_id % 1000 AS INTEGER) * INTERVAL 1 DAY"
     return "\nUNION ALL\n".join((
         part("customers", "t_customers", "5 * count(*)",
-             text("customer_id", "customer_id", "customer_zip_code_prefix", "customer_city", "customer_state")),
+             text("customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state")),
         part("product_category_translation", "t_translation", "2 * count(*)",
              text("product_category_name", "product_category_name_english")),
-        part("products", "t_products", "3 * count(*) + count(product_category_name)",
-             text("product_id", "product_category_name")),
+        part("products", "part", "3 * count(*) + count(nullif(p_type, 'SMALL'))", text("p_partkey", "nullif(p_type, 'SMALL')"),
+             "100 * (length(p_name) + p_size)"),
         part("sellers", "t_sellers", "4 * count(*)",
              text("seller_id", "seller_city", "seller_state",
                   "lpad(CAST(seller_id AS VARCHAR), CAST(greatest(5, length(CAST(seller_id AS VARCHAR))) AS INTEGER), '0')")),
         part("orders", "t_orders", "6 * count(*) + 2 * count(arrived_at)",
-             text("order_id", "customer_id", "order_status")),
-        part("order_items", "t_items", "7 * count(*)", text("order_id", "product_id", "seller_id")),
-        part("order_payments", "t_payments", "5 * count(*)", text("order_id", "payment_type")),
-        part("order_reviews", "conversations", "3 * count(*) + count(text)", text("conv_id", "turn", "role", "text")),
+             text("order_id", "customer_id", "order_status"), stamps="purchased_at, estimated_at, arrived_at"),
+        part("order_items", "t_items JOIN lineitem ON l_orderkey = order_id AND l_linenumber = order_item_id", "7 * count(*)",
+             text("order_id", "product_id", "seller_id"), "100 * order_item_id + price_u // 100 + (freight_u + 50) // 100",
+             "l_shipdate"),
+        part("order_payments", "t_payments", "5 * count(*)", text("order_id", "payment_type"),
+             "100 * (payment_sequential + payment_installments) + value_u // 100"),
+        part("order_reviews", "conversations", "6 * count(*) + count(text)", text("conv_id", "turn", "role", "text"),
+             "100 * (turn % 5 + 1)", f"{reviewed}, {reviewed} + INTERVAL 1 DAY"),
     ))
 
 
+RECURSION = f"""
+    numbers AS (
+        SELECT series_id, day, CAST(u AS DOUBLE) / {UNITS} AS v, is_test,
+               row_number() OVER (PARTITION BY series_id ORDER BY day DESC) AS back FROM split
+    ),
+    steps AS (
+        SELECT series_id, 0 AS step, list(v ORDER BY day) AS h, CAST(NULL AS DOUBLE) AS f
+        FROM numbers WHERE back BETWEEN 61 AND 67 GROUP BY series_id
+        UNION ALL
+        SELECT series_id, step + 1, list_append(h[2:7], g), g
+        FROM (SELECT series_id, step, h,
+                     CASE WHEN h[7] <= 300000 THEN 330000 ELSE 180000 END
+                     + CASE WHEN list_sum(h) / 7 <= 250000 THEN 90000 ELSE 20000 END * 0.5e0 AS g
+              FROM steps WHERE step < 60)
+    )"""
+
 BOX = """
     boxed AS (
         SELECT series_id, dayname(day) AS weekday, CAST(u AS DOUBLE) / 10000 AS v,
@@ -364,10 +424,15 @@ PARTS = """
     centred AS (SELECT series_id, dow, m - avg(m) OVER (PARTITION BY series_id) AS seasonal FROM cycle)"""
 
 
-def _with_extra(extra: str, body: str) -> str:
+def _with_extra(extra: str, body: str, recursive: bool = False) -> str:
     full = sql(extra + " " + body)
     head, _, _ = full.partition(extra)
-    return head.rstrip() + ",\n" + extra + "\n" + body
+    text = head.rstrip() + ",\n" + extra + "\n" + body
+    return text.replace("WITH ", "WITH RECURSIVE ", 1) if recursive else text
+
+
+def _covered_rows(model: str) -> str:
+    return sql(f"SELECT series_id, day, '{model}' AS model, v AS actual, 1 AS has_forecast FROM split WHERE is_test")
 
 
 ORACLE = {
@@ -397,6 +462,7 @@ ORACLE = {
         WHERE rank_in_category <= 3"""),
     "a6_delivery_performance": sql(f"SELECT {STATE} FROM by_state"),
     "a7_rfm": sql(f"SELECT {RFM} FROM rfm"),
+    "a7_rfm_ten_tiles": sql(f"SELECT {RFM} FROM rfm_ten"),
     "a7_rfm_top100": sql(f"SELECT {RFM} FROM rfm ORDER BY spent DESC, customer_unique_id LIMIT 100"),
     "a8_cohort_retention": _with_extra(
         """visits AS (
@@ -603,4 +669,19 @@ ORACLE = {
         SELECT series_id, model, CAST(date_trunc('month', day) AS DATE) AS month, count(*) AS days,
                round({units('sum(a)')}, 6) AS actual, round({units('sum(f)')}, 6) AS forecast
         FROM forecasts GROUP BY 1, 2, 3"""),
+    "dq_not_null": sql(_checks("not_null")),
+    "fc_recursive_stumps": _with_extra(
+        RECURSION,
+        """SELECT n.series_id, n.day, 'stumps' AS model, round(n.v, 6) AS actual, round(s.f, 6) AS forecast
+           FROM numbers n JOIN steps s ON s.series_id = n.series_id AND s.step = 61 - n.back WHERE n.is_test""",
+        recursive=True,
+    ),
+    **{f"fc_{name}": _covered_rows(name) for name in ("trend_seasonal", "gbt", "gbt_depth_6")},
+    "fc_importance": """SELECT unnest(['lag_1', 'lag_7', 'lag_14', 'lag_28', 'roll_7', 'roll_28', 'dow', 'month', 'dom', 'is_event'])
+        AS feature, 1 AS is_share, CAST(1 AS DOUBLE) AS total""",
+    "fc_all_models": sql("""
+        SELECT series_id, metric, 1 AS naive, 1 AS seasonal_naive, 1 AS trend_seasonal, 1 AS gbt, 1 AS gbt_depth_6
+        FROM (SELECT DISTINCT series_id FROM split WHERE is_test), (VALUES ('mae'), ('rmse'), ('mape')) AS m(metric)"""),
+    "ingest_daily_series": sql(f"""
+        SELECT 'all' AS series_id, day, {units('u')} AS value, n AS orders FROM panel WHERE series_id = 'ASIA'"""),
 }

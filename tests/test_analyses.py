@@ -88,6 +88,15 @@ def test_segment_rules(spark):
     assert {(x.r, x.f, x.m): x.s for x in got} == cases
 
 
+def test_segments_scale_with_the_tiles(spark):
+    from pyspark.sql import functions as F
+
+    cases = {(9, 9, 9): "Champions", (8, 7, 9): "Loyal", (10, 3, 10): "Promising", (4, 8, 1): "At Risk", (1, 1, 1): "Lost", (5, 9, 9): "Needs Attention"}
+    df = spark.createDataFrame(list(cases), "r int, f int, m int")
+    got = df.select("r", "f", "m", facts.segment(F.col("r"), F.col("f"), F.col("m"), 10).alias("s")).collect()
+    assert {(x.r, x.f, x.m): x.s for x in got} == cases
+
+
 def test_cohorts_cross_the_year_and_stop_after_six_months(shop):
     got = rows(analyses.cohort_retention(shop))
     assert got == [
@@ -143,8 +152,8 @@ def test_dashboard_numbers(shop):
     assert (top.seller_id, top.orders, top.orders_pct, top.top_in_state) == ("s1", 3, d("50.00"), 1)
 
 
-def test_registered_views_answer_sql(spark, shop):
-    views.register_views(shop)
+def test_registered_views_answer_sql(spark, shop, tmp_path):
+    views.register_views(shop, f"{tmp_path}/views")
     got = spark.sql("SELECT sum(revenue) AS r FROM vw_seller_performance").first().r
     assert got == d("205.05")
     assert spark.sql("SELECT count(*) AS n FROM vw_customer_clv").first().n == 3

@@ -75,6 +75,14 @@ def test_series_chains_exchange_once(spark, op):
     assert plan(op(df)).count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize("op", [facts.seller_totals, facts.category_totals])
+def test_lines_are_folded_per_order_before_the_orders_are_joined(store, conf, op):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(op(store))
+    assert "partial_count" in text and "count(distinct" not in text
+    assert text.index("SortMergeJoin") < text.rindex("partial_sum")
+
+
 def test_totals_of_the_seller_list_reuse_the_fold(store):
     df = dashboard.top_sellers(store)
     df.collect()
@@ -84,11 +92,12 @@ def test_totals_of_the_seller_list_reuse_the_fold(store):
 def test_contract_names(spark):
     queries, oracle = contract.queries(), contract.oracle_sql()
     assert set(oracle) <= set(queries)
-    assert set(queries) - set(oracle) == {"fc_trend_seasonal", "fc_gbt", "fc_rf", "fc_importance", "fc_all_models"}
+    llm = {name for name in queries if name.startswith("op") and name[2].isdigit()} | {"pipeline"}
+    assert not set(queries) - set(oracle) - llm
 
 
 LIGHT = sorted(
-    name for name in contract.oracle_sql() if name.startswith(("a", "view", "dash", "ts", "fc", "clean", "rank", "daily"))
+    name for name in contract.oracle_sql() if name.startswith(("a", "view", "dash", "ts", "clean", "rank", "daily"))
 )
 
 
@@ -111,7 +120,8 @@ def duck():
         "a1_monthly_revenue", "a2_revenue_by_category", "a3_top_customers", "a5_top_products", "a6_delivery_performance",
         "a7_rfm", "a8_cohort_retention", "view_orders_enriched", "dash_state_ranks", "dash_clv_hist", "dq_foreign_key",
         "dq_null_counts", "op_global_rank", "ts_clean_series", "ts_lag_features", "ts_decompose", "fc_leaderboard",
-        "fc_walk_forward", "ingest_csv_roundtrip",
+        "fc_walk_forward", "fc_recursive_stumps", "fc_gbt_depth_6", "a7_rfm_ten_tiles", "view_monthly_revenue",
+        "view_seller_performance", "dash_kpi", "dq_not_null", "ingest_daily_series", "ingest_csv_roundtrip",
     ],
 )
 def test_matches_check_sql(spark, duck, name):

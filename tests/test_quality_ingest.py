@@ -2,12 +2,13 @@ from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerlark.functions.columns import coerce_timestamp, zero_pad
+from ledgerlark.functions.columns import coerce_timestamp, whole_number, zero_pad
 from ledgerlark.operators import quality
 from ledgerlark.operators.quality import ConstraintError
 from ledgerlark.sources import ingest
-from ledgerlark.sources.schemas import SPEC, SPECS
+from ledgerlark.sources.schemas import SPEC, SPECS, Field, TableSpec
 from ledgerlark.sources.tables import read_tables, save_bucketed
 from tests.shop import CUSTOMERS, ITEMS, ORDERS, REVIEWS, make_shop, rows
 
@@ -156,17 +157,45 @@ def test_forecast_job(spark, tmp_path):
     )
     for name, df in shop.items():
         df.write.parquet(f"{tmp_path}/store/{name}")
-    main(["forecast", f"{tmp_path}/store", f"{tmp_path}/out", "--by", "customer_state", "--test-days", "14", "--trees", "3"])
+    main(["forecast", f"{tmp_path}/store", f"{tmp_path}/out", "--by", "customer_state", "--test-days", "14"])
     scores = {r.model: r for r in spark.read.parquet(f"{tmp_path}/out/scores").collect()}
     assert set(scores) == {
-        "naive", "seasonal_naive", "seasonal_naive_recursive", "trend_seasonal", "gbt", "forest",
+        "naive", "seasonal_naive", "seasonal_naive_recursive", "trend_seasonal", "boosted", "boosted_depth_6",
     }
     assert all(r.days == 14 for r in scores.values())
-    assert scores["seasonal_naive"].mae == 0 and scores["trend_seasonal"].mae < 5 and scores["gbt"].mae < scores["naive"].mae
+    assert scores["seasonal_naive"].mae == 0 and scores["trend_seasonal"].mae < 5 and scores["boosted_depth_6"].mae < scores["naive"].mae
     months = spark.read.parquet(f"{tmp_path}/out/monthly").where("model = 'naive'").count()
     assert months == 2
 
 
+@pytest.mark.parametrize("cell", ["40.7", "-0.9"])
+def test_a_fraction_in_a_whole_number_fails(spark, cell):
+    df = spark.createDataFrame([(cell,)], "t string")
+    with pytest.raises(Exception, match="not a whole number"):
+        df.select(whole_number(F.col("t"), T.IntegerType())).collect()
+    good = spark.createDataFrame([("40.0",), ("-3",), (None,)], "t string")
+    assert [r[0] for r in good.select(whole_number(F.col("t"), T.IntegerType())).collect()] == [40, -3, None]
+
+
+@pytest.mark.parametrize("cell", ["2017-10-02T11:07:00", "2017-10-02 11:07", "2017-10-02 11:07:00", "2017-10-02 11:07:00.000"])
+def test_other_spellings_of_a_time(spark, cell):
+    df = spark.createDataFrame([(cell,)], "t string")
+    assert df.select(coerce_timestamp(F.col("t")).cast("string")).first()[0] == "2017-10-02 11:07:00"
+
+
+def test_unreadable_times_are_counted(spark, tmp_path):
+    spec = TableSpec("stamps", (Field("a", T.TimestampType()), Field("b", T.TimestampType())), ("a",))
+    (tmp_path / "stamps.csv").write_text("a,b\n2017-10-02,never\n,2017-10-02T11:07:00\nsoon,\n")
+    got = ingest.coerced_cells(spark, spec, f"{tmp_path}/stamps.csv")
+    assert sorted(map(tuple, got.collect())) == [("stamps", "a", 1), ("stamps", "b", 1)]
+
+
+def test_series_file_is_read(spark, tmp_path):
+    (tmp_path / "d.csv").write_text("day,revenue,orders\n2018-01-01,10.50,3\n2018-01-03,7,1\n")
+    got = [tuple(map(str, r)) for r in ingest.read_series(spark, f"{tmp_path}/d.csv").orderBy("day").collect()]
+    assert got == [("all", "2018-01-01", "10.5000", "3"), ("all", "2018-01-03", "7.0000", "1")]
+
+
 def test_bad_number_fails_the_load(spark, tmp_path):
     src = write_csv(tmp_path, order_payments=CSV["order_payments"].replace("72.19", "much"))
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):

@@ -74,6 +74,12 @@ def test_hot_keys_are_found_and_others_are_not(spark):
     assert hot_keys(spark.range(100_000).withColumnRenamed("id", "k"), "k") == []
 
 
+def test_many_hot_keys_are_all_found(spark, conf):
+    conf("spark.sql.shuffle.partitions", "200")
+    df = spark.range(0, 90_000, 1, 4).select((F.col("id") % 300).alias("k"))
+    assert set(hot_keys(df, "k")) == set(range(300))
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_join_equals_plain_join(spark, conf, how):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import series as S
-from ledgerlark.operators.trees import flatten
+from ledgerlark.operators.boosting import DEPTH_WISE, LEAF_WISE, Boosting, fit
+from ledgerlark.operators.trees import Ensemble
 from ledgerlark.plans import forecast
 from tests.shop import rows
 
@@ -138,35 +139,49 @@ def test_trend_and_cycle_are_recovered(spark):
     assert scores["trend_seasonal"] < 2 < scores["naive"]
 
 
-@pytest.fixture(scope="module")
-def fitted(spark):
-    df = S.split(weekly(spark, 160, noise=1.0).union(series(spark, [50 - w for w in WEEK] * 20, name="b")), 21).cache()
-    features = S.lag_features(df)
-    return df, forecast.fit_trees(features, "gbt", trees=5, depth=3), forecast.fit_trees(features, "forest", trees=5, depth=3)
-
-
-def test_array_trees_equal_sparks_prediction(spark, fitted):
-    from pyspark.ml.feature import VectorAssembler
-
-    df, *models = fitted
-    features = VectorAssembler(inputCols=S.feature_names(), outputCol="features").transform(S.lag_features(df))
-    for model in models:
-        got = model.transform(features).select(*S.feature_names(), "prediction").toPandas()
-        mine = flatten(model).predict(got[S.feature_names()].to_numpy(dtype=float))
-        assert np.allclose(mine, got["prediction"])
+SMALL = Boosting(trees=20, rate=0.2, leaves=8, least_rows=5)
 
 
-def test_worker_code_needs_no_installed_package(fitted, tmp_path):
+@pytest.fixture(scope="module")
+def panel(spark):
+    a = weekly(spark, 160, noise=1.0)
+    b = series(spark, [50 - w for w in WEEK] * 20, name="b")
+    short = series(spark, range(1, 31), name="short")
+    gappy = weekly(spark, 160, noise=1.0).where("dayofmonth(day) <> 13").withColumn("series_id", F.lit("gappy"))
+    return S.split(a.union(b).union(short).union(gappy), 21).cache()
+
+
+def test_fitted_trees_follow_their_rows():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 3))
+    y = np.where(x[:, 1] > 0.3, 5.0, -2.0) + 0.01 * x[:, 0]
+    trees, share = fit(x, y, Boosting(trees=60, rate=0.2))
+    assert np.abs(trees.predict(x) - y).max() < 0.1
+    assert share.argmax() == 1 and share.sum() == pytest.approx(1)
+    one, _ = fit(x, y, Boosting(trees=1, rate=1.0, leaves=2))
+    assert set(np.round(one.predict(x), 6)) == {round(y[x[:, 1] > 0.3].mean(), 6), round(y[x[:, 1] <= 0.3].mean(), 6)}
+    deep, _ = fit(x, y, Boosting(trees=3, leaves=64, depth=2, least_rows=1))
+    assert deep.depth <= 2
+    flat, share = fit(x, np.full(300, 7.0), SMALL)
+    assert set(flat.predict(x)) == {7.0} and not share.any()
+
+
+def test_published_settings():
+    assert (LEAF_WISE.trees, LEAF_WISE.rate, LEAF_WISE.leaves) == (500, 0.05, 31)
+    assert (DEPTH_WISE.trees, DEPTH_WISE.rate, DEPTH_WISE.depth) == (500, 0.05, 6)
+
+
+def test_worker_code_needs_no_installed_package(tmp_path):
     """Executors unpickle the trees and the fit without this package on their path."""
     from pyspark import cloudpickle
 
     payload = tmp_path / "payload"
-    payload.write_bytes(cloudpickle.dumps((flatten(fitted[1]), forecast._fit_predict)))
+    payload.write_bytes(cloudpickle.dumps((fit, SMALL, forecast._fit_predict)))
     code = (
         "import sys, pickle, numpy as np\n"
         "from pyspark import cloudpickle\n"
-        "trees, fit = pickle.loads(open(sys.argv[1], 'rb').read())\n"
-        "assert trees.predict(np.zeros((2, 10))).shape == (2,)\n"
+        "boost, how, fit = pickle.loads(open(sys.argv[1], 'rb').read())\n"
+        "assert boost(np.arange(60.0)[:, None], np.arange(60.0), how)[0].predict(np.zeros((2, 1))).shape == (2,)\n"
         "assert fit(np.arange(50.0), 3, 2, 3, 7, 1.0).shape == (3,)\n"
         "assert 'ledgerlark' not in sys.modules\n"
     )
@@ -174,37 +189,54 @@ def test_worker_code_needs_no_installed_package(fitted, tmp_path):
     assert done.returncode == 0, done.stderr
 
 
-def test_recursive_forecast_feeds_predictions_back(spark, fitted):
+def test_recursive_forecast_feeds_predictions_back(spark, panel):
     """Against a plain loop over the horizon for one series, with the features recomputed by the feature operator."""
-    df, gbt, forest = fitted
-    got = [r[0] for r in rows(forecast.forecast_recursive(gbt, df, "gbt").where("series_id = 'a'").orderBy("day"), "forecast")]
-    ensemble = flatten(gbt)
-    history = [r[0] for r in rows(df.where("series_id = 'a' AND NOT is_test").orderBy("day"), "value")]
+    features = S.lag_features(panel).where("NOT is_test AND series_id = 'a'").orderBy("day").toPandas()
+    names = S.feature_names()
+    trees, _ = fit(features[names].to_numpy(dtype=float), features["value"].to_numpy(dtype=float), SMALL)
+    got = [r[0] for r in rows(forecast.boosted(panel, "m", SMALL).where("series_id = 'a'").orderBy("day"), "forecast")]
+    fixed = [r[0] for r in rows(forecast.forecast_recursive(trees, panel, "m").where("series_id = 'a'").orderBy("day"), "forecast")]
+    history = [float(r[0]) for r in rows(panel.where("series_id = 'a' AND NOT is_test").orderBy("day"), "value")]
     first = START + timedelta(len(history))
     for step in range(21):
         day = first + timedelta(step)
         x = [history[-k] for k in S.LAGS] + [np.mean(history[-k:]) for k in S.ROLLS]
         x += [day.weekday(), day.month, day.day, 0]
-        history.append(float(ensemble.predict(np.array([x]))[0]))
-    assert got == pytest.approx(history[-21:])
-    scores = forecast.metrics(
-        forecast.stack(
-            forecast.naive(df), forecast.forecast_recursive(gbt, df, "gbt"), forecast.forecast_recursive(forest, df, "forest")
-        ),
-        "model",
-    ).select("model", "mae").collect()
-    mae = {r.model: r.mae for r in scores}
-    assert mae["gbt"] < mae["naive"] and mae["forest"] < mae["naive"]
-    assert abs(mae["gbt"] - mae["forest"]) < 0.5 * mae["naive"]
-
-
-def test_importance_is_sorted_and_complete(fitted):
-    got = forecast.importance(fitted[1]).collect()
+        history.append(float(trees.predict(np.array([x], dtype=float))[0]))
+    assert got == pytest.approx(history[-21:]) and fixed == pytest.approx(history[-21:])
+
+
+def test_every_series_gets_every_day(panel):
+    out = forecast.boosted(panel, "m", SMALL).toPandas()
+    assert out.groupby("series_id").size().to_dict() == {"a": 21, "b": 21, "short": 21, "gappy": 21}
+    assert out["forecast"].notna().all()
+    assert set(out.loc[out["series_id"] == "short", "reason"]) == {"short"}
+    assert out.loc[out["series_id"] != "short", "reason"].isna().all()
+    mae = (out["forecast"] - out["actual"]).abs().groupby(out["series_id"]).mean()
+    assert mae["a"] < 5 and mae["b"] < 5
+
+
+def test_forecasts_do_not_depend_on_partitions(panel, conf):
+    seen = []
+    for n in ("1", "3", "8"):
+        conf("spark.sql.shuffle.partitions", n)
+        seen.append(forecast.boosted(panel.repartition(int(n)), "m", SMALL).orderBy("series_id", "day").toPandas())
+    assert seen[0].equals(seen[1]) and seen[0].equals(seen[2])
+
+
+def test_importance_is_sorted_and_complete(panel):
+    got = forecast.importance(panel, SMALL).collect()
     assert {r.feature for r in got} == set(S.feature_names())
     gains = [r.gain for r in got]
     assert gains == sorted(gains, reverse=True) and sum(gains) == pytest.approx(1)
 
 
+def test_ensemble_walks_to_the_leaf():
+    one = Ensemble(np.array([[0, 0, 0]]), np.array([[1.5, 0, 0]]), np.array([[1, 1, 2]]), np.array([[2, 1, 2]]),
+                   np.array([[0.0, 10.0, 20.0]]), np.array([0.5]), 1)
+    assert one.predict(np.array([[1.5], [1.6]])).tolist() == [5.0, 10.0]
+
+
 def test_monthly_rollup_adds_up(spark):
     daily = forecast.naive(S.split(series(spark, range(60)), 40))
     months = forecast.monthly_rollup(daily).orderBy("month").collect()
