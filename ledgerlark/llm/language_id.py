@@ -50,7 +50,8 @@ class Grams:
         found, text = np.zeros(0, dtype=np.uint64), (text or "").lower()
         for at in range(0, len(text), WINDOW):
             codes = self._codes(text[max(at - max(N), 0) : at + WINDOW])
-            codes = np.concatenate([[np.uint64(1)], codes, [np.uint64(1)]])
+            blank = np.ones(1, dtype=np.uint64)
+            codes = np.concatenate([blank[at > 0 :], codes, blank[at + WINDOW < len(text) :]])
             keep = np.concatenate([[True], (codes[1:] != 1) | (codes[:-1] != 1)])
             codes, parts = codes[keep], [found]
             if len(codes) < 2:
