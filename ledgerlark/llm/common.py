@@ -168,6 +168,22 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
 
 
 
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """`df`, after bounding what its session sends to a Python worker at a time: both sides hold whole batches outside
+    the heap, and the default sizes are meant for short rows. Smaller settings stay."""
+    conf = df.sparkSession.conf
+    rows = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < rows <= BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    size = (conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) or "").rstrip("b")
+    if not (size.isdigit() and 0 < int(size) <= BATCH_BYTES):
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def text_key(doc_id: str, text: str) -> Column:
     """Finds the text of a row again; rows of equal id and text share it."""
     return F.xxhash64(F.col(doc_id), F.coalesce(text, F.lit(""))).alias("text_key")

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import PUNCTUATED, Words, grams, slices, text_key
+from ledgerlark.llm.common import PUNCTUATED, Words, grams, slices, small_batches, text_key
 from ledgerlark.operators.lineage import materialise
 
 PARTING = "[\\x00-\\x2f\\x3a-\\x40\\x5b-\\x60\\x7b-\\x7f]+"
@@ -165,7 +165,7 @@ def leaks(
     spark = docs.sparkSession
     pieces = materialise(pieces_of(benchmark, how, item_id, item_text), "pieces")
     blocks = 1 + int(pieces.agg(F.sum(F.size("words"))).first()[0] or 0) // how.block_words
-    rows = docs.select(text_key(doc_id, text), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(text_key(doc_id, text), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = WINDOW.format(id=rows.schema["doc_id"].dataType.simpleString())
     found = None
     for block in range(blocks):

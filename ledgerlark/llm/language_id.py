@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import crc_fold, rows_of, text_key
+from ledgerlark.llm.common import crc_fold, rows_of, small_batches, text_key
 from ledgerlark.operators.lineage import materialise
 
 N = (2, 3)
@@ -121,7 +121,7 @@ def fit_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     Rows without a language or without a letter are not learned from. Without any the result is None. The number of
     languages must fit the driver; the number of rows need not.
     """
-    labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    labelled = small_batches(docs).where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     long = (F.length(text) > LONG).alias("long")
     keyed = labelled.select(text_key(doc_id, text), F.col(lang).cast("string").alias("lang"), long)
     first = Window.partitionBy("lang").orderBy("long", "text_key")
@@ -151,7 +151,7 @@ def predict_languages(
     are ignored. An empty table gives an empty result.
     """
     held_out = (crc_fold(F.col(doc_id), folds) == held_out_fold).alias("held_out")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), held_out, F.col(text).alias("text"))
+    rows = small_batches(docs).select(F.col(doc_id).alias("doc_id"), held_out, F.col(text).alias("text"))
 
     def predict(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Grams()

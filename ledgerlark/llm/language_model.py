@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import Words, blocks_for, crc_fold, mix
+from ledgerlark.llm.common import Words, blocks_for, crc_fold, mix, small_batches
 from ledgerlark.operators.lineage import materialise
 
 BLOCK_BYTES = 16 << 20
@@ -148,7 +148,7 @@ def score_texts(
     """
     blocks = LEAST_BLOCKS + blocks_for(docs, text, BLOCK_BYTES) - 1
     held_out = crc_fold(F.col(doc_id), folds) == held_out_fold
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), held_out.alias("held_out"))
+    rows = small_batches(docs).select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), held_out.alias("held_out"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import Words, mix, rows_of, shingle_sets, slices, text_key
+from ledgerlark.llm.common import Words, mix, rows_of, shingle_sets, slices, small_batches, text_key
 from ledgerlark.llm.components import components
 from ledgerlark.operators.lineage import materialise
 
@@ -100,7 +100,7 @@ def most_differing(how: Linking) -> int:
 
 def sketches(docs: DataFrame, how: Linking, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One written row per document: row_id, doc_id, text_key, set size and digest, band keys, odd sketch."""
-    rows = docs.select(text_key(doc_id, text), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(text_key(doc_id, text), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = SKETCHED.format(id=rows.schema["doc_id"].dataType.simpleString())
 
     def reduce(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.additive import AdditiveModel, Boosting, fit
-from ledgerlark.llm.common import BROADCAST_ROWS, Words, crc_fold, slices, utf8
+from ledgerlark.llm.common import BROADCAST_ROWS, Words, crc_fold, slices, small_batches, utf8
 
 SAMPLE = 20_000  # labelled rows that the model is fitted on, those with the smallest hash of their id
 CLASSES = ("lower", "upper", "digit", "blank", "newline", "stop", "comma", "bang", "pipe", "symbol", "other", "lead", "inner")
@@ -108,7 +108,7 @@ def fit_quality(
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("doc_id"))
     known = known.agg(F.max(label).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(min(sample, BROADCAST_ROWS))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = small_batches(docs).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Features()
@@ -131,7 +131,7 @@ def score_quality(docs: DataFrame, model: AdditiveModel, doc_id: str = "doc_id",
     scores. Other columns are ignored. An empty table gives an empty result.
     """
     held_out = (crc_fold(F.col(doc_id), folds) == held_out_fold).alias("held_out")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), held_out, F.col(text).alias("text"))
+    rows = small_batches(docs).select(F.col(doc_id).alias("doc_id"), held_out, F.col(text).alias("text"))
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Features()
@@ -154,4 +154,4 @@ def keep_good(docs: DataFrame, model: AdditiveModel, text: str = "text") -> Data
             for piece in slices(part, text):
                 yield piece.filter(pa.array(model.probability(own(piece.column(text))) >= 0.5))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return small_batches(docs).mapInArrow(keep, docs.schema)

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import Words, blocks_for, shingle_sets, slices
+from ledgerlark.llm.common import Words, blocks_for, shingle_sets, slices, small_batches
 from ledgerlark.operators.lineage import materialise
 
 BITS = 64
@@ -77,7 +77,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     Rows are range-partitioned and sorted once. A task pairs the neighbours it holds, and hands on its first and last
     row; the last row of each partition then meets the first row of the next one, and the very last the very first.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = small_batches(docs).select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text").asc()]
     ordered = rows.repartitionByRange(blocks_for(rows, "text", RANGE_BYTES), *order).sortWithinPartitions(*order)
     schema = ROW.format(id=rows.schema["doc_id"].dataType.simpleString())

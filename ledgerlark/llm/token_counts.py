@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import rows_of
+from ledgerlark.llm.common import rows_of, small_batches
 from ledgerlark.llm.wordpieces import Encoder, word_wise
 from ledgerlark.operators.lineage import materialise
 
@@ -53,7 +53,7 @@ def token_counts(
     where the tokenizer drops it, and not at all otherwise.
     """
     spark, version, by_word = docs.sparkSession, tokenizer_version(tokenizer), word_wise(tokenizer)
-    texts = docs.select(
+    texts = small_batches(docs).select(
         F.xxhash64(doc_id).alias("row_key"), F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")
     )
     content = F.regexp_replace("text", "[ \\t\\n\\r]+", " ") if by_word else F.col("text")

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import blocks_for
+from ledgerlark.llm.common import blocks_for, small_batches
 from ledgerlark.llm.wavelet import WaveletMatrix
 from ledgerlark.llm.wordpieces import Encoder, word_wise
 from ledgerlark.operators.lineage import materialise
@@ -68,7 +68,7 @@ def write_shards(
     by text. A document of any length stays in one shard. An empty table writes no shard. Other columns are ignored.
     """
     by_word = word_wise(tokenizer)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     ordered = rows.repartitionByRange(blocks_for(rows, "text", RANGE_BYTES), "doc_id").sortWithinPartitions("doc_id", "text")
     end = np.array([end_id], dtype=np.uint32)
 
