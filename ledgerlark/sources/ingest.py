@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +12,7 @@ from ledgerlark.functions.columns import coerce_timestamp, whole_number, zero_pa
 from ledgerlark.operators import quality
 from ledgerlark.operators.lineage import copies_written, discard_copies, materialise
 from ledgerlark.sources.schemas import SPECS, Field, TableSpec
-from ledgerlark.sources.tables import Tables
+from ledgerlark.sources.tables import LOADS, Tables, finished_loads, read_tables
 
 # Texts that a CSV cell may hold for "no value".
 NULL_TEXTS = (
@@ -64,14 +66,8 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.lit("all").alias("series_id"), "day", F.col("revenue").alias("value"), "orders")
 
 
-def append_table(df: DataFrame, root: str, table: str) -> None:
-    df.write.mode("append").parquet(f"{root}/{table}")
-
-
-def _existing(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{spec.name}")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-    return spark.read.schema(spec.schema).parquet(f"{root}/{spec.name}") if found else None
+def write_load(df: DataFrame, root: str, table: str, load: str) -> None:
+    df.write.parquet(f"{root}/{table}/{load}")
 
 
 def load_all(
@@ -81,23 +77,27 @@ def load_all(
     file_pattern: str = "{table}.csv",
     files: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Load the eight CSV tables and append them to the store (an action). Returns the row counts of the batch.
+    """Load the eight CSV tables into the store (an action). Returns the row counts of the batch.
 
-    Each file is parsed once into a parquet copy in the shared folder. The constraints are checked on that copy
-    together with what the store already holds, and only then is anything appended: a violation leaves the store as
-    it was.
+    Each file is parsed once into a parquet copy in the shared folder, and the constraints of the batch are checked
+    against itself and the store. Then every table is written to a directory of this load, and last the load is named
+    as finished. Readers see finished loads only, so a violation or a failure half-way changes nothing for them; what a
+    failed load left is never read.
     """
-    kept = copies_written()
+    kept, load = copies_written(), f"load-{uuid4().hex}"
     try:
-        batch, whole = {}, {}
+        batch, loads = {}, finished_loads(spark, dst_dir)
         for spec in SPECS:
             name = (files or {}).get(spec.name) or file_pattern.format(table=spec.name)
             batch[spec.name] = materialise(ingest(spark, spec, f"{src_dir}/{name}"), f"load-{spec.name}")
-            stored = _existing(spark, dst_dir, spec)
-            whole[spec.name] = batch[spec.name] if stored is None else stored.unionByName(batch[spec.name])
-        quality.assert_valid(quality.validate(Tables(**whole)))
+        if loads:
+            report = quality.validate_batch(Tables(**batch), read_tables(spark, dst_dir))
+        else:
+            report = quality.validate(Tables(**batch))
+        quality.assert_valid(report)
         for spec in SPECS:
-            append_table(batch[spec.name], dst_dir, spec.name)
+            write_load(batch[spec.name], dst_dir, spec.name, load)
+        spark.createDataFrame([(load,)], "load string").coalesce(1).write.mode("append").json(f"{dst_dir}/{LOADS}")
         counts = quality.row_counts(Tables(**batch))
         return spark.createDataFrame(counts.collect(), counts.schema)  # one row per table
     finally:

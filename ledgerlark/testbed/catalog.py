@@ -174,13 +174,14 @@ def foreign_keys(t: Tables) -> DataFrame:
 
 @query("dq_null_counts", arrivals=True)
 def nulls(t: Tables) -> DataFrame:
-    return quality.stack_reports([quality.null_counts(t[n], n) for n in ("orders", "products", "order_payments")])
+    return quality.stack_reports([quality.null_counts(t[s.name].select(*s.schema.names), s.name) for s in SPECS])
 
 
 def _row_checks(t: Tables, check: str) -> DataFrame:
     return quality.stack_reports([quality.check_rows(t[s.name], s, (check,)) for s in SPECS])
 
 
+query("dq_validate", arrivals=True)(quality.validate)
 query("dq_not_null")(lambda t: _row_checks(t, "not_null"))
 query("dq_domain")(lambda t: _row_checks(t, "domain"))
 query("dq_length")(lambda t: _row_checks(t, "length"))

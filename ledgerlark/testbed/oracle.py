@@ -31,6 +31,7 @@ TABLES = {
         FROM orders o""",
     "t_items": f"""
         SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id, l_suppkey AS seller_id,
+               l_shipdate AS shipped_at,
                CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT) * 100 AS price_u,
                CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT)
                    * CAST(CAST(l_tax AS DECIMAL(4,2)) * 100 AS BIGINT) AS freight_u,
@@ -220,7 +221,7 @@ def _full_mean(n: int, shift: int) -> str:
     return f"round(CASE WHEN count(u) {frame} = {n} THEN ({units(f'sum(u) {frame}')}) / {n} END, 6)"
 
 
-def _checks(kind: str) -> str:
+def _checks(kind: str, extra: bool = True) -> str:
     """Report rows of the per-row checks, spelled per column."""
     source = {
         "customers": "t_customers", "products": "t_products", "orders": "t_orders", "order_items": "t_items",
@@ -248,10 +249,11 @@ def _checks(kind: str) -> str:
         for side in ("length", "height", "width"):
             add("products", f"product_{side}_cm", "false")
         add("order_reviews", "review_score", "turn % 5 + 1 NOT BETWEEN 1 AND 5", "conversations")
-        add("customer", "c_acctbal", "c_acctbal < 0", "customer")
-        add("labels", "quality", "quality NOT BETWEEN 1 AND 5", "labels")
-        add("labels", "toxic", "toxic NOT BETWEEN 0 AND 1", "labels")
-        add("part", "p_size", "p_size > 25", "part")
+        if extra:
+            add("customer", "c_acctbal", "c_acctbal < 0", "customer")
+            add("labels", "quality", "quality NOT BETWEEN 1 AND 5", "labels")
+            add("labels", "toxic", "toxic NOT BETWEEN 0 AND 1", "labels")
+            add("part", "p_size", "p_size > 25", "part")
     elif kind == "not_null":
         for column in ("customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"):
             add("customers", column, f"{column} IS NULL")
@@ -339,6 +341,11 @@ def _foreign_keys() -> str:
 
 def _null_counts() -> str:
     never = {
+        "customers": ("customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"),
+        "product_category_translation": ("product_category_name", "product_category_name_english"),
+        "sellers": ("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"),
+        "order_items": ("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"),
+        "order_reviews": ("review_id", "order_id", "review_score", "review_creation_date", "review_answer_timestamp"),
         "orders": ("order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
                    "order_estimated_delivery_date"),
         "products": ("product_id", "product_name_length", "product_weight_g"),
@@ -351,6 +358,8 @@ def _null_counts() -> str:
     rows += ["SELECT 'products', 'product_category_name', count(*) FROM part WHERE p_type = 'SMALL'"]
     rows += [f"SELECT 'orders', '{c}', count(*) FROM t_orders WHERE arrived_at IS NULL"
              for c in ("order_delivered_carrier_date", "order_delivered_customer_date")]
+    rows += [f"SELECT 'order_reviews', '{c}', count(*) FILTER ({raw} IS NULL) FROM conversations"
+             for c, raw in (("review_comment_title", "role"), ("review_comment_message", "text"))]
     return "\nUNION ALL\n".join(rows)
 
 
@@ -377,9 +386,9 @@ def _roundtrip() -> str:
                   "lpad(CAST(seller_id AS VARCHAR), CAST(greatest(5, length(CAST(seller_id AS VARCHAR))) AS INTEGER), '0')")),
         part("orders", "t_orders", "6 * count(*) + 2 * count(arrived_at)",
              text("order_id", "customer_id", "order_status"), stamps="purchased_at, estimated_at, arrived_at"),
-        part("order_items", "t_items JOIN lineitem ON l_orderkey = order_id AND l_linenumber = order_item_id", "7 * count(*)",
+        part("order_items", "t_items", "7 * count(*)",
              text("order_id", "product_id", "seller_id"), "100 * order_item_id + price_u // 100 + (freight_u + 50) // 100",
-             "l_shipdate"),
+             "shipped_at"),
         part("order_payments", "t_payments", "5 * count(*)", text("order_id", "payment_type"),
              "100 * (payment_sequential + payment_installments) + value_u // 100"),
         part("order_reviews", "conversations", "6 * count(*) + count(text)", text("conv_id", "turn", "role", "text"),
@@ -669,6 +678,9 @@ ORACLE = {
         SELECT series_id, model, CAST(date_trunc('month', day) AS DATE) AS month, count(*) AS days,
                round({units('sum(a)')}, 6) AS actual, round({units('sum(f)')}, 6) AS forecast
         FROM forecasts GROUP BY 1, 2, 3"""),
+    "dq_validate": sql("\nUNION ALL\n".join(
+        [_checks(kind, extra=False) for kind in ("not_null", "domain", "range", "length")] + [_primary_keys(), _foreign_keys()]
+    )),
     "dq_not_null": sql(_checks("not_null")),
     "fc_recursive_stumps": _with_extra(
         RECURSION,

@@ -127,6 +127,26 @@ def test_violation_leaves_the_store_untouched(spark, tmp_path):
     assert read_tables(spark, f"{tmp_path}/store").orders.count() == 2
 
 
+def test_failure_between_tables_leaves_the_store_untouched(spark, tmp_path, monkeypatch):
+    src, store = write_csv(tmp_path), f"{tmp_path}/store"
+    real = ingest.write_load
+
+    def fail_at_orders(df, root, table, load):
+        if table == "orders":
+            raise OSError("disk gone")
+        real(df, root, table, load)
+
+    monkeypatch.setattr(ingest, "write_load", fail_at_orders)
+    with pytest.raises(OSError, match="disk gone"):
+        ingest.load_all(spark, src, store)
+    monkeypatch.setattr(ingest, "write_load", real)
+    ingest.load_all(spark, src, store)
+    assert {name: df.count() for name, df in read_tables(spark, store).items()} == {
+        "customers": 2, "product_category_translation": 1, "products": 2, "sellers": 1, "orders": 2, "order_items": 1,
+        "order_payments": 1, "order_reviews": 2,
+    }
+
+
 def test_jobs_load_and_report(spark, tmp_path):
     from ledgerlark.__main__ import main
     from ledgerlark.operators.lineage import copies_written
