@@ -24,7 +24,8 @@ class WaveletMatrix:
 
     @staticmethod
     def build(ids: np.ndarray) -> WaveletMatrix:
-        n, occurs = len(ids), np.bincount(ids) > 0 if len(ids) else np.zeros(1, dtype=bool)
+        n, occurs = len(ids), np.zeros(int(ids.max()) + 1 if len(ids) else 1, dtype=bool)
+        occurs[ids] = True
         symbols = np.flatnonzero(occurs).astype(np.uint32)
         planes = max(len(symbols) - 1, 1).bit_length()
         ids = (np.cumsum(occurs) - 1).astype(np.uint16 if planes <= 16 else np.uint32)[ids] if n else ids.astype(np.uint16)

@@ -14,6 +14,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from xxhash import xxh3_64_intdigest
 
 from ledgerlark.llm.common import Words, slices, utf8
 
@@ -58,49 +59,66 @@ def word_wise(path: str) -> bool:
     return shape and "Lowercase" in first and bool(getattr(tokenizer.model, "end_of_word_suffix", None))
 
 
-def special_strings(path: str) -> list[str]:
-    return sorted(t.content.lower() for t in _library(path).get_added_tokens_decoder().values())
-
-
 class Encoder:
     """Ids of the texts of string columns, in order."""
 
     def __init__(self, path: str, by_word: bool) -> None:
-        self.encode, self.by_word = encoder(path), by_word
-        if by_word:
-            tokenizer = _library(path)
-            self.ends = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)  # ids that end a run
-            for piece, i in tokenizer.get_vocab(with_added_tokens=False).items():
-                self.ends[i] = piece.endswith(tokenizer.model.end_of_word_suffix)
-            self.special, self.words = special_strings(path), Words()
-            self._forget()
+        self.by_word = by_word
+        if not by_word:
+            self.encode = encoder(path)
+            return
+        tokenizer = _library(path)
+        self.encode = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.ends = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)  # ids that end a run
+        for piece, i in tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends[i] = piece.endswith(tokenizer.model.end_of_word_suffix)
+        self.special = sorted(t.content.lower() for t in tokenizer.get_added_tokens_decoder().values())
+        self.words = Words()
+        self._forget()
 
     def _forget(self) -> None:
-        self.keys = np.zeros(0, dtype=np.uint64)  # words seen, sorted
-        self.core, self.tail = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)  # their two parts
-        self.parts: dict[str, int] = {"": 0}
-        self.ids, self.first = np.zeros(0, dtype=np.int32), np.zeros(2, dtype=np.int64)  # ids of the parts
+        none = np.zeros(0, dtype=np.uint64)
+        self.keys, self.core, self.tail = none, none.astype(np.int32), none.astype(np.int32)  # words seen, and their parts
+        self.part_keys, self.part_at = none, none.astype(np.int32)  # parts by the hash of their text, and their places
+        self.ids, self.first = none.astype(np.int32), np.zeros(2, dtype=np.int64)  # ids by place; place 0 is no part
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
         """Remember new words by their keys (sorted)."""
         if len(self.keys) + len(keys) > MEMO and len(self.keys):
             raise MemoryError
-        parts, core, tail, known = self.parts, [], [], len(self.parts)
-        for word in words:
+        cores, tails, tailed = [], [], []
+        for i, word in enumerate(words):
             letters = word.rstrip(PUNCTUATION)
             if letters.isalpha() and (len(letters) == len(word) or letters[-1] < LATIN):
-                core.append(parts.setdefault(letters.lower() if letters.isascii() else letters, len(parts)))
-                tail.append(parts.setdefault(word[len(letters) :], len(parts)) if len(letters) < len(word) else 0)
+                cores.append(letters.lower() if letters.isascii() else letters)
+                if len(letters) < len(word):
+                    tails.append(word[len(letters) :])
+                    tailed.append(i)
             else:
-                core.append(parts.setdefault(word, len(parts)))
-                tail.append(0)
-        ids, n = self._encode_parts(list(parts)[known:])
-        self.ids = np.concatenate([self.ids, ids])
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(n)])
+                cores.append(word)
+        places = self._part_places(cores + tails)
+        core, tail = places[: len(cores)], np.zeros(len(cores), dtype=np.int32)
+        tail[tailed] = places[len(cores) :]
         order = np.argsort(np.concatenate([self.keys, keys]), kind="stable")
         self.keys = np.concatenate([self.keys, keys])[order]
-        self.core = np.concatenate([self.core, np.array(core, dtype=np.int32)])[order]
-        self.tail = np.concatenate([self.tail, np.array(tail, dtype=np.int32)])[order]
+        self.core, self.tail = np.concatenate([self.core, core])[order], np.concatenate([self.tail, tail])[order]
+
+    def _part_places(self, parts: list[str]) -> np.ndarray:
+        """Where the ids of the parts are kept, after encoding those that are new."""
+        hashed = np.fromiter(map(xxh3_64_intdigest, parts), np.uint64, len(parts))
+        order = np.argsort(hashed, kind="stable")
+        ordered = hashed[order]
+        begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(parts) else order
+        distinct, spots = ordered[begin], order[begin]
+        unknown = ~_in_sorted(distinct, self.part_keys)
+        if unknown.any():
+            ids, n = self._encode_parts([parts[i] for i in spots[unknown].tolist()])
+            places = len(self.first) - 1 + np.arange(len(n), dtype=np.int32)
+            self.ids, self.first = np.concatenate([self.ids, ids]), np.concatenate([self.first, self.first[-1] + np.cumsum(n)])
+            merged = np.concatenate([self.part_keys, distinct[unknown]])
+            order = np.argsort(merged, kind="stable")
+            self.part_keys, self.part_at = merged[order], np.concatenate([self.part_at, places])[order]
+        return self.part_at[np.searchsorted(self.part_keys, hashed)]
 
     def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the parts one after the other, and how many each has. Runs of letters go to the library together, and
@@ -135,10 +153,7 @@ class Encoder:
         ordered = keys[order]
         new = np.concatenate([[True], ordered[1:] != ordered[:-1]]) if len(keys) else np.zeros(0, dtype=bool)
         distinct = ordered[new]
-        at = np.searchsorted(self.keys, distinct)
-        unknown = np.ones(len(distinct), dtype=bool)
-        inside = at < len(self.keys)
-        unknown[inside] = self.keys[at[inside]] != distinct[inside]
+        unknown = ~_in_sorted(distinct, self.keys)
         if unknown.any():
             data, offsets = utf8(piece)
             spots, raw = order[np.flatnonzero(new)[unknown]], data[offsets[0] : offsets[-1]].tobytes()
@@ -149,7 +164,7 @@ class Encoder:
             except MemoryError:  # start again with the words of this slice alone
                 self._forget()
                 return self._places(piece)
-            at = np.searchsorted(self.keys, distinct)
+        at = np.searchsorted(self.keys, distinct)
         word = np.empty(len(keys), dtype=np.int64)
         word[order] = at[np.cumsum(new) - 1]
         return self.core[word], self.tail[word], first
@@ -180,6 +195,15 @@ class Encoder:
         return np.concatenate([np.zeros(0, dtype=np.int64), *[n for n, _ in self.tokens(column, ids=False)]])
 
 
+def _in_sorted(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which values occur in a sorted array."""
+    at = np.searchsorted(among, values)
+    found = np.zeros(len(values), dtype=bool)
+    inside = at < len(among)
+    found[inside] = among[at[inside]] == values[inside]
+    return found
+
+
 def _gathered(ids: np.ndarray, begin: np.ndarray, length: np.ndarray, where: np.ndarray) -> np.ndarray:
     """The id lists at the places `where`, one after the other."""
     n = length[where]
