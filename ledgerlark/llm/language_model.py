@@ -1,6 +1,6 @@
 """Scores of whole texts under a deleted-interpolation n-gram model of the corpus.
 
-Texts are dealt into blocks by hash. A block lists its distinct n-grams once, as sorted 56-bit keys with their
+Texts are dealt into blocks by hash. A block lists its distinct n-grams once, as sorted keys of 56 or 48 bits with their
 training counts; the lists are cut into hash ranges, every range is summed over all blocks, and the totals go back to
 the blocks that asked. So a frequent n-gram travels once per block, whatever its count. One block in DELETED is left
 out of the maximum-likelihood counts to learn the mixture weights from it by expectation-maximisation.
@@ -22,7 +22,11 @@ DELETED = 10
 STEPS = 8  # probabilities are binned at 2**(1/STEPS) for the held-out table
 ROUNDS = 60
 END, BOS = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-NARROW = np.uint64(8)  # keys keep 56 bits
+WORD_BITS, GRAM_BITS = 56, 48  # of the hash that are kept as key: words are counted exactly, longer n-grams may be fewer
+
+
+def bits_of(order: int) -> int:
+    return WORD_BITS if order == 1 else GRAM_BITS
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -59,7 +63,7 @@ class Block:
                 earlier[place < k - 1] = BOS
                 gram = mix(gram * np.uint64(2 * k + 1) + earlier)
                 start = mix(start * np.uint64(2 * k + 1) + BOS)
-            every = np.concatenate([gram, np.repeat(start, len(n))]) >> NARROW  # the start counts once per text
+            every = np.concatenate([gram, np.repeat(start, len(n))]) >> np.uint64(64 - bits_of(k))  # the start counts once per text
             weight = np.concatenate([in_train, self.train])
             by_key = np.argsort(every, kind="stable")
             ordered = every[by_key]
@@ -86,7 +90,7 @@ def start_key(order: int) -> int:
     start = mix(np.full(1, BOS))
     for k in range(2, order + 1):
         start = mix(start * np.uint64(2 * k + 1) + BOS)
-    return int(start[0] >> NARROW)
+    return int(start[0] >> np.uint64(64 - bits_of(order)))
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -138,7 +142,7 @@ def _binned(p: np.ndarray) -> np.ndarray:
 
 
 def score_texts(
-    docs: DataFrame, order: int = 2, folds: int = 7, held_out_fold: int = 2, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, order: int = 3, folds: int = 7, held_out_fold: int = 2, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of `docs` (an action).
 
@@ -155,7 +159,7 @@ def score_texts(
     def ask(key: tuple, table: pa.Table) -> pa.Table:
         block, out = Block(table, order), []
         for k, (keys, counts) in enumerate(zip(block.keys, block.counts, strict=True)):
-            part = ((keys >> np.uint64(24)) * np.uint64(blocks)) >> np.uint64(32)
+            part = ((keys >> np.uint64(bits_of(k + 1) - 32)) * np.uint64(blocks)) >> np.uint64(32)
             cuts = np.searchsorted(part, np.arange(blocks + 1, dtype=np.uint64))
             for r in np.flatnonzero(np.diff(cuts)).tolist():
                 mine = keys[cuts[r] : cuts[r + 1]]
