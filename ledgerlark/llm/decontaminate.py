@@ -29,13 +29,14 @@ MASK = np.uint64((1 << 20) - 1)
 class Leaks:
     """An item shorter than `least` words is not looked for. An n-gram is rare if it is no more frequent than the
     median of its piece, or occurs in at most `rare` windows. Scores: match 2, mismatch -1, gap -1; a passage is a copy
-    if it reaches `share` of its piece's full score."""
+    if it reaches `share` of its piece's full score, or the full score of `long` words."""
 
     n: int = 3
     least: int = 8
     piece: int = 400
     rare: int = 10
     share: float = 0.6
+    long: int = 25
     block_words: int = 400_000  # of benchmark text looked for in one pass over the texts
 
 
@@ -226,4 +227,4 @@ def _aligned(windows: DataFrame, pieces: DataFrame, how: Leaks) -> DataFrame:
 
     ids = {f.name: f.dataType.simpleString() for f in joined.schema.fields}
     kind = f"text_key long, doc_id {ids['doc_id']}, item_id {ids['item_id']}, score int, share double, passage string"
-    return joined.select("text_key", "doc_id", "item_id", "words", "passage").mapInArrow(score, kind).where(F.col("share") >= how.share)
+    return joined.select("text_key", "doc_id", "item_id", "words", "passage").mapInArrow(score, kind).where((F.col("share") >= how.share) | (F.col("score") >= 2 * how.long))

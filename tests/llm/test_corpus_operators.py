@@ -186,10 +186,17 @@ def test_leaks_equal_an_alignment_of_everything(leaky, block_words):
         for i, item in items.items():
             if len(item) >= how.least:
                 score = smith_waterman(clean(" ".join(item)), clean(text))
-                assert ((d, i) in got) == (score >= how.share * 2 * len(item))
+                assert ((d, i) in got) == (score >= min(how.share * 2 * len(item), 2 * how.long))
                 assert got.get((d, i), score) == score
 
 
+def test_part_of_an_item_is_found(spark):
+    item = words(12, 60, 4000)
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    docs = [(d, " ".join(words(700 + d, 40, 4000) + item[:n] + words(800 + d, 40, 4000))) for d, n in ((1, 26), (2, 10))]
+    assert [r.doc_id for r in decontaminate.leaks(spark.createDataFrame(docs, DOCS), bench).collect()] == [1]
+
+
 def test_long_items_are_looked_for_in_pieces(spark):
     long = words(4, 1000, 5000)
     bench = spark.createDataFrame([(1, " ".join(long))], "item_id long, text string")
