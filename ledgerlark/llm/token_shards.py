@@ -22,7 +22,7 @@ from ledgerlark.llm.wordpieces import Encoder, word_wise
 from ledgerlark.operators.lineage import materialise
 
 RANGE_BYTES = 64 << 20  # text per range of documents
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 21
 SHARD = (
     "range int, shard int, n_tokens long, doc_ids array<long>, starts array<long>, symbols binary, zeros array<long>, "
     "bits array<binary>, ones array<binary>"

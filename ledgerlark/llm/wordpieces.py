@@ -20,7 +20,7 @@ from ledgerlark.llm.common import Words, slices, utf8
 
 MEMO = 600_000  # words remembered per task, then the memo starts again
 JOINED = 64  # runs of letters encoded at a time
-SLICE = 2 << 20  # bytes of text looked up at a time
+SLICE = 1 << 20  # bytes of text looked up at a time
 PUNCTUATION = ".,;:!?\"()[]{}*%&$#|-_/<>=+~^`@\\"
 LATIN = "\u0130"  # letters below stay letters when the tokenizer normalises them
 

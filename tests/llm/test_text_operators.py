@@ -124,7 +124,7 @@ def test_wavelet_matrix(n, k):
         assert [matrix.locate(token, j) for j in range(0, len(at), 7)] == at[::7].tolist()
 
 
-@pytest.mark.parametrize("size", [1 << 22, 50])
+@pytest.mark.parametrize("size", [1 << 21, 50])
 def test_shards_hold_every_token_in_order(spark, odd, odd_rows, tmp_path, monkeypatch, size):
     monkeypatch.setattr("ledgerlark.llm.token_shards.SHARD_TOKENS", size)
     path = f"{tmp_path}/shards"
