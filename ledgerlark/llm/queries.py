@@ -182,5 +182,51 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op10_chat_format": op10_chat_format, "op5_source_mix": op5_source_mix, "op6_simhash": op6_simhash, "op3_language_id": op3_language_id, "op2_quality": op2_quality, "op1_decontaminate": op1_decontaminate, "op8_near_dup": op8_near_dup, "op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
-ORACLE: dict[str, str] = {"op5_source_mix": SOURCE_MIX_SQL, "op10_chat_format": CHAT_SQL}
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of all texts, and of the texts that the ids give again."""
+    import public_tokenizers
+
+    from ledgerlark.llm.byte_bpe import decode_ids, encode_texts
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    both = decode_ids(encode_texts(table(spark, sf_dir, "documents"), path), path)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+HARD_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c, row_number() OVER () AS at
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.at AS anchor_at, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.c, b.c) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.at <> b.at WHERE a.vec_id % 100 = 0),
+positive AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_at ORDER BY score DESC, other_id NULLS LAST) AS place
+  FROM scored WHERE same QUALIFY place <= 5),
+met AS (
+  SELECT p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_at, p.place ORDER BY n.score DESC, n.other_id NULLS LAST) AS INT) AS rank
+  FROM positive p JOIN scored n ON p.anchor_at = n.anchor_at
+  WHERE NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score QUALIFY rank <= 10)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM met
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlark.llm.hard_negatives import hard_negatives
+
+    rows, seventh = table(spark, sf_dir, "embeddings"), F.col("vec_id") % 7 == 0
+    rows = rows.withColumn("label", F.when(seventh, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {"op12_byte_bpe": op12_byte_bpe, "op13_hard_negatives": op13_hard_negatives, "op10_chat_format": op10_chat_format, "op5_source_mix": op5_source_mix, "op6_simhash": op6_simhash, "op3_language_id": op3_language_id, "op2_quality": op2_quality, "op1_decontaminate": op1_decontaminate, "op8_near_dup": op8_near_dup, "op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
+ORACLE: dict[str, str] = {"op5_source_mix": SOURCE_MIX_SQL, "op10_chat_format": CHAT_SQL, "op13_hard_negatives": HARD_NEGATIVES_SQL}
