@@ -228,5 +228,49 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(rows, F.col("vec_id") % 100 == 0)
 
 
-QUERIES = {"op12_byte_bpe": op12_byte_bpe, "op13_hard_negatives": op13_hard_negatives, "op10_chat_format": op10_chat_format, "op5_source_mix": op5_source_mix, "op6_simhash": op6_simhash, "op3_language_id": op3_language_id, "op2_quality": op2_quality, "op1_decontaminate": op1_decontaminate, "op8_near_dup": op8_near_dup, "op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
-ORACLE: dict[str, str] = {"op5_source_mix": SOURCE_MIX_SQL, "op10_chat_format": CHAT_SQL, "op13_hard_negatives": HARD_NEGATIVES_SQL}
+PREFIX_TRIE_SQL = """
+WITH steps AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY i) AS crc
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)),
+own AS (
+  SELECT conv_id, list(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) ORDER BY o) AS ids,
+         list(length(coalesce(text, '')) ORDER BY o) AS chars
+  FROM (SELECT *, row_number() OVER (ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS o
+        FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id),
+h AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, ids, chars,
+         xor(list_reduce([4294967295] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                         lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % 6 AS h
+  FROM own, steps),
+whole AS (
+  SELECT h.conv_id, coalesce(b.ids[1:h.h], []) || h.ids[h.h + 1:] AS ids, coalesce(b.chars[1:h.h], []) || h.chars[h.h + 1:] AS chars
+  FROM h LEFT JOIN own b ON h.base = b.conv_id),
+path AS (
+  SELECT conv_id, d AS depth, sha256(array_to_string(ids[1:d], ',')) AS node, len(ids) = d AS ending,
+         CASE WHEN d > 0 THEN sha256(array_to_string(ids[1:d - 1], ',')) END AS above, CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS chars
+  FROM (SELECT *, unnest(range(len(ids) + 1)) AS d FROM whole)),
+node AS (
+  SELECT node, depth, any_value(above) AS above, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ending), '')) AS ends_sha256
+  FROM path GROUP BY node, depth),
+kids AS (SELECT above AS node, count(*) AS n_children FROM node WHERE above IS NOT NULL GROUP BY above),
+full_ AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (node)),
+below AS (
+  SELECT a.node, sum(CASE WHEN f.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((f.n_convs - 1) * f.chars) AS saved_tokens
+  FROM full_ f JOIN path p ON p.conv_id = f.conv_id AND p.depth = f.depth JOIN path a ON a.conv_id = p.conv_id AND a.depth <= f.depth
+  GROUP BY a.node)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, CAST(f.n_convs AS BIGINT) AS n_convs,
+       CAST(f.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM full_ f JOIN below USING (node) LEFT JOIN node up ON f.above = up.node
+"""
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlark.llm.prefix_trie import prefix_trie, rebuilt
+
+    return prefix_trie(rebuilt(table(spark, sf_dir, "conversations")))
+
+
+QUERIES = {"op11_prefix_trie": op11_prefix_trie, "op12_byte_bpe": op12_byte_bpe, "op13_hard_negatives": op13_hard_negatives, "op10_chat_format": op10_chat_format, "op5_source_mix": op5_source_mix, "op6_simhash": op6_simhash, "op3_language_id": op3_language_id, "op2_quality": op2_quality, "op1_decontaminate": op1_decontaminate, "op8_near_dup": op8_near_dup, "op4_lm_score": op4_lm_score, "op7_wavelet_shards": op7_wavelet_shards, "op9_token_counts": op9_token_counts}
+ORACLE: dict[str, str] = {"op5_source_mix": SOURCE_MIX_SQL, "op11_prefix_trie": PREFIX_TRIE_SQL, "op10_chat_format": CHAT_SQL, "op13_hard_negatives": HARD_NEGATIVES_SQL}
