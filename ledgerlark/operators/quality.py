@@ -107,25 +107,37 @@ def validate(t: Tables, specs: tuple[TableSpec, ...] = SPECS) -> DataFrame:
     return stack_reports(reports).select(*REPORT)
 
 
-def validate_batch(batch: Tables, stored: Tables, specs: tuple[TableSpec, ...] = SPECS) -> DataFrame:
+def _again(own: DataFrame, spec: TableSpec, stored: DataFrame) -> DataFrame:
+    """Rows of a batch whose key is stored already."""
+    key = list(spec.key)
+    again = own.select(*key).join(stored.select(*key), key, "left_semi")
+    return _report_row(again, spec.name, "primary_key", f"{', '.join(key)} (stored)", F.count("*"))
+
+
+def validate_batch(batch: Tables, stored: Tables | dict[str, DataFrame], specs: tuple[TableSpec, ...] = SPECS) -> DataFrame:
     """The constraints of a batch that is to join a store whose own rows were checked when they came.
 
     Only rows of the batch are counted: its keys against themselves and against the stored keys, its references against
-    the stored and its own parents. The stored tables are read by their key columns alone.
+    the stored and its own parents. `stored` needs the key columns alone, and only those keys that the batch adds or
+    refers to.
     """
     reports = []
     for spec in specs:
-        own, key = batch[spec.name], list(spec.key)
+        own = batch[spec.name]
         reports.append(check_rows(own, spec))
         reports.append(check_key(own, spec.name, spec.key))
-        again = own.select(*key).join(stored[spec.name].select(*key), key, "left_semi")
-        reports.append(_report_row(again, spec.name, "primary_key", f"{', '.join(key)} (stored)", F.count("*")))
+        reports.append(_again(own, spec, stored[spec.name]))
         for column, (parent, parent_key) in spec.references.items():
             parents = stored[parent].select(parent_key).union(batch[parent].select(parent_key))
             reports.append(check_reference(own, spec.name, column, parents, parent, parent_key))
     return stack_reports(reports).select(*REPORT)
 
 
+def repeated_keys(batch: Tables, stored: Tables | dict[str, DataFrame], specs: tuple[TableSpec, ...] = SPECS) -> DataFrame:
+    """Of the checks of a batch those that rows stored since can break."""
+    return stack_reports([_again(batch[spec.name], spec, stored[spec.name]) for spec in specs]).select(*REPORT)
+
+
 def assert_valid(report: DataFrame) -> None:
     """Raise if any check found a violation (an action; the report has one row per declared constraint)."""
     broken = report.where(F.col("violations") > 0).collect()

@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 from ledgerlark.functions.columns import coerce_timestamp, whole_number, zero_pad
 from ledgerlark.operators import quality
 from ledgerlark.operators.lineage import copies_written, discard_copies, materialise
+from ledgerlark.sources import store
 from ledgerlark.sources.schemas import SPECS, Field, TableSpec
-from ledgerlark.sources.tables import LOADS, Tables, finished_loads, read_tables
+from ledgerlark.sources.tables import Tables
 
 # Texts that a CSV cell may hold for "no value".
 NULL_TEXTS = (
@@ -67,7 +68,7 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_load(df: DataFrame, root: str, table: str, load: str) -> None:
-    df.write.parquet(f"{root}/{table}/{load}")
+    store.write_table(df, root, table, load)
 
 
 def load_all(
@@ -80,25 +81,40 @@ def load_all(
     """Load the eight CSV tables into the store (an action). Returns the row counts of the batch.
 
     Each file is parsed once into a parquet copy in the shared folder, and the constraints of the batch are checked
-    against itself and the store. Then every table is written to a directory of this load, and last the load is named
-    as finished. Readers see finished loads only, so a violation or a failure half-way changes nothing for them; what a
-    failed load left is never read.
+    against itself and the store; of the stored rows only the keys that its filters admit are read. Then every table is
+    written to a directory of this load, and last the load is published by the next manifest. Readers see published
+    loads only, so a violation or a failure half-way changes nothing for them; what a failed load left is never read.
+    Another load that was published meanwhile is checked too before this one can be, so two loads at once cannot
+    both bring the same key.
     """
     kept, load = copies_written(), f"load-{uuid4().hex}"
     try:
-        batch, loads = {}, finished_loads(spark, dst_dir)
+        batch = {}
         for spec in SPECS:
             name = (files or {}).get(spec.name) or file_pattern.format(table=spec.name)
             batch[spec.name] = materialise(ingest(spark, spec, f"{src_dir}/{name}"), f"load-{spec.name}")
-        if loads:
-            report = quality.validate_batch(Tables(**batch), read_tables(spark, dst_dir))
-        else:
-            report = quality.validate(Tables(**batch))
-        quality.assert_valid(report)
+        return publish_batch(spark, batch, dst_dir, load)
+    finally:
+        discard_copies(spark, since=kept)
+
+
+def publish_batch(spark: SparkSession, batch: dict[str, DataFrame], dst_dir: str, load: str | None = None) -> DataFrame:
+    """The part of load_all after parsing, for eight frames of the declared schemas that can be read repeatedly (an action)."""
+    kept, load = copies_written(), load or f"load-{uuid4().hex}"
+    try:
+        seen = store.newest(spark, dst_dir) or store.Manifest()
+        tables = Tables(**batch)
+        quality.assert_valid(quality.validate_batch(tables, store.stored_keys(spark, dst_dir, batch, seen.loads)))
+        stats = store.stats_of(batch)
         for spec in SPECS:
             write_load(batch[spec.name], dst_dir, spec.name, load)
-        spark.createDataFrame([(load,)], "load string").coalesce(1).write.mode("append").json(f"{dst_dir}/{LOADS}")
-        counts = quality.row_counts(Tables(**batch))
-        return spark.createDataFrame(counts.collect(), counts.schema)  # one row per table
+        store.write_filters(batch, stats, dst_dir, load)
+
+        def recheck(fresh: list[store.Load]) -> None:
+            stored = store.stored_keys(spark, dst_dir, batch, fresh, references=False)
+            quality.assert_valid(quality.repeated_keys(tables, stored))
+
+        store.publish(spark, dst_dir, seen, store.added(store.Load(load, stats)), recheck)
+        return spark.createDataFrame([(name, s.rows) for name, s in stats.items()], "table string, rows long")
     finally:
         discard_copies(spark, since=kept)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlark.sources.schemas import SPEC
+from ledgerlark.sources.store import newest
 
 
 class Tables:
@@ -37,27 +37,14 @@ class Tables:
         return [(name, self[name]) for name in self._sources]
 
 
-LOADS = "loads"  # folder of a store that names the finished loads, one row each
-
-
-def finished_loads(spark: SparkSession, root: str) -> list[str] | None:
-    """The loads that a store has published (one short name per load); None if it keeps no such list."""
-    try:
-        names = spark.read.schema("load string").json(f"{root}/{LOADS}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return sorted(row["load"] for row in names.collect())
-
-
 def read_tables(spark: SparkSession, root: str) -> Tables:
     """Open a store: one parquet directory per table, schemas declared rather than read from footers.
 
-    A store that load_all has written keeps one directory per load under each table, and only finished loads are read;
-    any other store is read whole.
+    A store that load_all has written keeps one directory per load under each table, and only the loads of its newest
+    manifest are read; any other store is read whole.
     """
-    loads = finished_loads(spark, root)
+    manifest = newest(spark, root)
+    loads = None if manifest is None else manifest.names
 
     def table(name: str) -> DataFrame:
         paths = [f"{root}/{name}"] if loads is None else [f"{root}/{name}/{load}" for load in loads]
