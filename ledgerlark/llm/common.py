@@ -1,7 +1,8 @@
 """What several operators share: words and n-grams as 64-bit keys, blocks of rows, size-checked broadcasts.
 
 A word is a maximal run of bytes other than 0x20 and 0x09-0x0D, with A-Z lowered. Keys are computed for whole Arrow
-buffers at once; a key is a polynomial over the word's bytes, so it does not depend on the batch or the document.
+buffers at once; a key is a sum over the word's bytes, each times a number drawn for its place in the word, so it does not
+depend on the batch or the document. Two different words share a key with a chance of at most 2**-56.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    code = mix(np.arange(1, 257, dtype=np.uint64))
+    code = np.arange(1, 257, dtype=np.uint64)  # never 0, so that a word differs from its beginnings
     code[65:91] = code[97:123]
     gap = np.zeros(256, dtype=bool)
     gap[9:14] = gap[32] = True
@@ -38,22 +39,30 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 CODE, GAP = _tables()
 PUNCTUATED = GAP.copy()  # gaps where all of ASCII but letters and digits parts words
 PUNCTUATED[:48] = PUNCTUATED[58:65] = PUNCTUATED[91:97] = PUNCTUATED[123:128] = True
-BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-INVERSE = pow(BASE, -1, 1 << 64)
+
+
+def place_numbers(n: int) -> np.ndarray:
+    """A number of 64 bits for each of the first n places in a word, drawn by a counter-based generator with a fixed seed."""
+    return np.random.Philox(key=20_240_229).random_raw(n)
 
 
 class Words:
-    """Word keys of Arrow string columns; one instance per task keeps the powers."""
+    """Word keys of Arrow string columns; one instance per task keeps the numbers of the places."""
 
     def __init__(self, gap: np.ndarray = GAP) -> None:
         self.gap = gap
-        self.power = self.inverse = np.ones(1, dtype=np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.power) < n:
-            steps = np.full(n, BASE, dtype=np.uint64), np.full(n, INVERSE, dtype=np.uint64)
-            steps[0][0] = steps[1][0] = 1
-            self.power, self.inverse = np.cumprod(steps[0]), np.cumprod(steps[1])
+        self.places = place_numbers(1 << 10)
+
+    def _keys(self, part: np.ndarray, word: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Keys of the words of a window, from its word bytes and where words begin and end."""
+        if not len(begin):
+            return np.zeros(0, dtype=np.uint64)
+        length = end - begin
+        if (longest := int(length.max())) > len(self.places):
+            self.places = place_numbers(longest)
+        first = np.cumsum(length) - length
+        place = np.arange(first[-1] + length[-1]) - np.repeat(first, length)
+        return mix(np.add.reduceat(CODE[part[word]] * self.places[place], first))
 
     def _windows(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         """Ranges of about WINDOW bytes that cut no word."""
@@ -83,10 +92,7 @@ class Words:
             begin[inner] = word[inner]
             end[inner - 1] = word[inner - 1]
             b, e = np.flatnonzero(begin), np.flatnonzero(end) + 1
-            self._grow(hi - lo)
-            total = np.zeros(hi - lo + 1, dtype=np.uint64)
-            np.cumsum(CODE[part] * self.power[: hi - lo], out=total[1:])
-            keys.append(mix((total[e] - total[b]) * self.inverse[b]))
+            keys.append(self._keys(part, word, b, e))
             begins.append(b + lo)
             ends.append(e + lo)
         none = np.zeros(0, dtype=np.int64)
