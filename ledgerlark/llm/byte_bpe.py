@@ -15,17 +15,17 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import slices, small_batches
+from ledgerlark.llm.common import slices, small_batches, utf8
 
 REMEMBERED = 600_000  # pieces remembered per task, then the memory starts again
-SHORT = 48  # letters up to which a piece is remembered
+IN_STEP = 64  # bytes (their borders are the bits of one integer) up to which pieces are encoded in step
+AT_ONCE = 200_000  # pieces in memory at a time
 STRETCH = 1 << 17  # characters that are cut into pieces at a time
 NEVER = 1 << 60
 # The splitter's pattern, and characters whose class is the same in every version of Unicode in use. Texts
@@ -63,87 +63,168 @@ def read_model(path: str) -> dict:
 class PairTable:
     """Which token may follow which; every answer is kept."""
 
-    def __init__(self, merges: list[tuple[int, int, int]], n: int) -> None:
-        self.rank = {(a, b): r for r, (a, b, _) in enumerate(merges)}
-        self.made, self.left, self.right = [-1] * n, [-1] * n, [-1] * n
-        for r, (a, b, c) in enumerate(merges):
-            if self.made[c] >= 0 or r <= max(self.made[a], self.made[b]):
-                raise ValueError("every token must have one merge, and its parts must be made before it")
-            self.made[c], self.left[c], self.right[c] = r, a, b
-        self.known: dict[tuple[int, int], bool] = {}
-
-    def __call__(self, a: int, b: int) -> bool:
-        pair = (a, b)
-        found = self.known.get(pair)
-        if found is None:
-            found = self.known[pair] = self._apart(a, b)
-        return found
-
-    def _apart(self, a: int, b: int) -> bool:
-        """Walks back in time from the finished pair, undoing the merge that was made last on either side."""
-        until_a = until_b = NEVER
-        while True:
-            rank = self.rank.get((a, b))
-            if rank is not None and rank < until_a and rank <= until_b:
-                return False
-            made_a, made_b = self.made[a], self.made[b]
-            if made_a < 0 and made_b < 0:
-                return True
-            if made_a > made_b:
-                until_a, a = made_a, self.right[a]
+    def __init__(self, merges: np.ndarray, n: int) -> None:
+        """`merges`: left, right and joined token by rank; `n`: tokens."""
+        self.n = n
+        self.made, self.left, self.right = (np.full(n, -1, dtype=np.int64) for _ in range(3))
+        a, b, c = merges.T
+        self.made[c], self.left[c], self.right[c] = np.arange(len(merges)), a, b
+        if len(np.unique(c)) < len(c) or (np.arange(len(merges)) <= np.maximum(self.made[a], self.made[b])).any():
+            raise ValueError("every token must have one merge, and its parts must be made before it")
+        codes = a * n + b
+        self.rank = np.argsort(codes)
+        self.codes = codes[self.rank]
+        self.known = np.zeros(0, dtype=np.int64)
+        self.answer = np.zeros(0, dtype=bool)
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pairs = a * self.n + b
+        at, found = _place(self.known, pairs)
+        if not found.all():
+            new = np.unique(pairs[~found])
+            known, answer = np.concatenate([self.known, new]), np.concatenate([self.answer, self.apart(new // self.n, new % self.n)])
+            order = np.argsort(known, kind="stable")
+            self.known, self.answer = known[order], answer[order]
+            at = np.searchsorted(self.known, pairs)
+        return self.answer[at]
+
+    def apart(self, a: np.ndarray, b: np.ndarray, merged: bool = False) -> np.ndarray:
+        """Walks back in time from the finished pairs, undoing the merge that was made last on either side. With `merged`
+        the pairs themselves are joined, and the question is whether their parts meet so."""
+        out = np.ones(len(a), dtype=bool)
+        open_, until_a, until_b = np.arange(len(a)), np.full(len(a), NEVER), np.full(len(a), NEVER)
+        while len(open_):
+            if not merged:
+                at, found = _place(self.codes, a * self.n + b)
+                rank = np.where(found, self.rank[at], NEVER)
+                joined = (rank < until_a) & (rank <= until_b) & found
+                out[open_[joined]] = False
             else:
-                until_b, b = made_b, self.left[b]
+                joined, merged = np.zeros(len(a), dtype=bool), False
+            made_a, made_b = self.made[a], self.made[b]
+            on = ~joined & ((made_a >= 0) | (made_b >= 0))
+            open_, a, b, until_a, until_b, made_a, made_b = (x[on] for x in (open_, a, b, until_a, until_b, made_a, made_b))
+            later = made_a > made_b
+            until_a, until_b = np.where(later, made_a, until_a), np.where(later, until_b, made_b)
+            a, b = np.where(later, self.right[a], a), np.where(later, b, self.left[b])
+        return out
 
 
-class Backtracking:
-    """Ids of byte strings, given as strings of byte letters."""
+def _place(ordered: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where values would stand in an ordered array (inside it), and whether they do."""
+    if not len(ordered):
+        return np.zeros(len(values), dtype=np.int64), np.zeros(len(values), dtype=bool)
+    at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
+    return at, ordered[at] == values
 
-    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]]) -> None:
-        import ahocorasick
 
+class Backtracking:
+    """Ids of byte strings. Many short ones go in step, each at its own byte; long ones go alone."""
+
+    def __init__(self, model: dict) -> None:
+        vocab, byte = model["vocab"], {letter: i for i, letter in enumerate(byte_letters())}
         n = max(vocab.values()) + 1
-        self.size = [0] * n
-        for token, i in vocab.items():
-            self.size[i] = len(token)
-        self.fits = PairTable([(vocab[a], vocab[b], vocab[a + b]) for a, b in merges], n)
-        made = self.fits.made
-        # A token that its own bytes do not merge to never occurs: its two halves must be able to meet.
-        usable = {t: i for t, i in vocab.items() if len(t) == 1 or (made[i] >= 0 and self._whole(i))}
-        self.single, self.automaton = usable, ahocorasick.Automaton()
-        for token, i in usable.items():
-            self.automaton.add_word(token, i)
-        self.automaton.make_automaton()
-        self.span = max(map(len, usable))
-        self.shorter = [-1] * n  # the longest usable token that a token begins with
-        for token, i in usable.items():
-            for k in range(len(token) - 1, 0, -1):
-                if (j := usable.get(token[:k])) is not None:
-                    self.shorter[i] = j
-                    break
-
-    def _whole(self, token: int) -> bool:
-        """Whether the merges lead to the token: nothing joins its two parts' inner symbols before the parts are made."""
-        fits = self.fits
-        a, b, rank = fits.left[token], fits.right[token], fits.made[token]
-        saved = fits.rank.pop((a, b))
-        try:
-            return fits._apart(a, b)
-        finally:
-            fits.rank[(a, b)] = saved if saved == rank else rank
-
-    def __call__(self, piece: str) -> list[int]:
-        if (whole := self.single.get(piece)) is not None:
-            return [whole]
-        size, fits, shorter, longest = self.size, self.fits, self.shorter, self.automaton.iter_long
+        merges = np.array([(vocab[a], vocab[b], vocab[a + b]) for a, b in model["merges"]], dtype=np.int64).reshape(-1, 3)
+        self.fits = fits = PairTable(merges, n)
+        # A token that its own bytes do not merge to never occurs: its two parts must be able to meet.
+        whole = np.ones(n, dtype=bool)
+        whole[merges[:, 2]] = fits.apart(merges[:, 0], merges[:, 1], merged=True)
+        usable = {bytes(byte[c] for c in t): i for t, i in vocab.items() if whole[i] and (len(t) == 1 or fits.made[i] >= 0)}
+        self.tokens, self.span = usable, max(map(len, usable))
+        self.size, self.shorter = np.zeros(n, dtype=np.int64), np.full(n, -1, dtype=np.int64)
+        steps: dict[int, int] = {}  # the automaton's goto function: node and byte to node
+        token = [-1]
+        for text, i in sorted(usable.items()):
+            node, before = 0, -1
+            for c in text:
+                node = steps.setdefault(node << 8 | c, len(token))
+                if node == len(token):
+                    token.append(-1)
+                if token[node] >= 0:
+                    before = token[node]
+            token[node] = i
+            self.size[i], self.shorter[i] = len(text), before  # beginnings come first in this order
+        self.token = np.array(token, dtype=np.int64)
+        inner = sorted({key >> 8 for key in steps})
+        row = np.zeros(len(token), dtype=np.int64)  # nodes without steps share row 0
+        row[inner] = np.arange(1, len(inner) + 1)
+        self.step = np.zeros((len(inner) + 1, 256), dtype=np.int32)  # 0: no step
+        keys = np.fromiter(steps, np.int64, len(steps))
+        self.step[row[keys >> 8], keys & 255] = np.fromiter(steps.values(), np.int64, len(steps))
+        self.row, self.automaton = row, None
+
+    def _longest(self, data: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The longest token that matches at each place."""
+        found = np.full(len(at), -1, dtype=np.int64)
+        on, node, at = np.arange(len(at)), np.zeros(len(at), dtype=np.int64), at.copy()
+        while len(on):
+            node = self.step[self.row[node], data[at]]
+            here = self.token[node]
+            matched = (node > 0) & (here >= 0)
+            found[on[matched]] = here[matched]
+            at += 1
+            go = (node > 0) & (at < end[on])
+            on, node, at = on[go], node[go], at[go]
+        return found
+
+    def many(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the strings data[begin:end], none of them empty, and how many each has."""
+        length = end - begin
+        on = np.flatnonzero(length <= IN_STEP)
+        width = int(length[on].max()) if len(on) else 0
+        done, depth, at = np.zeros((len(begin), width), dtype=np.int32), np.zeros(len(begin), dtype=np.int64), begin.copy()
+        failed = np.zeros(len(begin), dtype=np.uint64)  # bit k: no rest can be encoded from the border at byte k + 1
+        token = self._longest(data, at[on], end[on])
+        while len(on):
+            border = at[on] + self.size[token] - begin[on]
+            fits = (failed[on] >> (border - 1).astype(np.uint64)) & np.uint64(1) == 0
+            check = np.flatnonzero(fits & (depth[on] > 0))
+            fits[check] = self.fits(done[on[check], depth[on[check]] - 1].astype(np.int64), token[check])
+            taken, rest = on[fits], on[~fits]
+            done[taken, depth[taken]] = token[fits]
+            depth[taken] += 1
+            at[taken] = begin[taken] + border[fits]
+            more, shorter = taken[at[taken] < end[taken]], self.shorter[token[~fits]]
+            while len(back := np.flatnonzero(shorter < 0)):  # nothing matches from here: the token before has to be another one
+                who = rest[back]
+                failed[who] |= np.uint64(1) << (at[who] - begin[who] - 1).astype(np.uint64)
+                depth[who] -= 1
+                before = done[who, depth[who]]
+                at[who] -= self.size[before]
+                shorter[back] = self.shorter[before]
+            on, token = np.concatenate([more, rest]), np.concatenate([self._longest(data, at[more], end[more]), shorter])
+        alone = np.flatnonzero(length > IN_STEP)
+        each = [self(data[begin[i] : end[i]].tobytes()) for i in alone.tolist()]
+        depth[alone] = [len(x) for x in each]
+        total = np.cumsum(depth)
+        ids = np.empty(total[-1] if len(total) else 0, dtype=np.int32)
+        short = depth.copy()
+        short[alone] = 0
+        ids[np.repeat(length <= IN_STEP, depth)] = done[np.arange(width) < short[:, None]]
+        for i, found in zip(alone.tolist(), each, strict=True):
+            ids[total[i] - depth[i] : total[i]] = found
+        return ids, depth
+
+    def __call__(self, text: bytes) -> np.ndarray:
+        """Ids of one string, in time that grows with its length alone."""
+        if self.automaton is None:
+            import ahocorasick
+
+            self.automaton, self.follows = ahocorasick.Automaton(), {}
+            for one, i in self.tokens.items():
+                self.automaton.add_word(one.decode("latin-1"), i)
+            self.automaton.make_automaton()
+            self.sizes, self.shorts = self.size.tolist(), self.shorter.tolist()
+        piece, size, shorter, longest, follows = text.decode("latin-1"), self.sizes, self.shorts, self.automaton.iter_long, self.follows
         n, at, done, span = len(piece), 0, [], self.span  # the automaton sees no more than the longest token needs
         failed = bytearray(n + 1)  # borders behind which no rest can be encoded
         token = next(longest(piece[:span]))[1]
         while True:
             end = at + size[token]
-            if not failed[end] and (not done or fits(done[-1], token)):
+            if not failed[end] and (not done or self._fits(done[-1], token, follows)):
                 done.append(token)
                 if end == n:
-                    return done
+                    return np.array(done, dtype=np.int64)
                 at, token = end, next(longest(piece[end : end + span]))[1]
                 continue
             token = shorter[token]
@@ -153,6 +234,11 @@ class Backtracking:
                 at -= size[token]
                 token = shorter[token]
 
+    def _fits(self, a: int, b: int, follows: dict[tuple[int, int], bool]) -> bool:
+        if (found := follows.get((a, b))) is None:
+            found = follows[a, b] = bool(self.fits.apart(np.array([a]), np.array([b]))[0])
+        return found
+
 
 class ByteEncoder:
     """Ids of texts, like the library without added begin and end tokens; special strings are their own tokens."""
@@ -162,20 +248,35 @@ class ByteEncoder:
         from tokenizers import Tokenizer
 
         model = read_model(path)
-        self.encode, self.letters = Backtracking(model["vocab"], model["merges"]), byte_letters()
-        self.added = model["added"]
+        self.encode, self.added = Backtracking(model), model["added"]
         names = sorted(self.added, key=lambda s: (-len(s), s))
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.pieces = regex.compile(PIECE).findall
         self.border = regex.compile(r"(?<=\p{L})(?!\p{L})|(?<=\p{N})(?!\p{N})|(?<=[^\s\p{L}\p{N}])(?=\s)")
         self.unsettled = regex.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in SETTLED).replace("\\", "\\\\") + "]")
         self.library = Tokenizer.from_file(path).pre_tokenizer
-        self.known: dict[str, list[int]] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        letters = self.letters
-        for piece in pieces:
-            self.known[piece] = self.encode("".join([letters[b] for b in piece.encode()]))
+        self._forget()
+
+    def _forget(self) -> None:
+        """Pieces have places in `flat`: their ids begin at `first` and are `size` many. A special string's piece is its id."""
+        self.known: dict[str | int, int] = {i: k for k, i in enumerate(self.added.values())}
+        self.flat = np.array(list(self.added.values()), dtype=np.int32)
+        self.first, self.size = np.arange(len(self.flat)), np.ones(len(self.flat), dtype=np.int64)
+
+    def _learn(self, new: list[str]) -> None:
+        data, offsets = utf8(pa.array(new, pa.large_string()))
+        ids, size = self.encode.many(data, offsets[:-1], offsets[1:])
+        self.known.update(zip(new, range(len(self.first), len(self.first) + len(new)), strict=True))
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
+        self.flat, self.size = np.concatenate([self.flat, ids]), np.concatenate([self.size, size])
+
+    def _places(self, pieces: list[str | int]) -> np.ndarray:
+        distinct = set(pieces)
+        if len(self.known) + len(distinct) > REMEMBERED or len(self.flat) > 10 * REMEMBERED:
+            self._forget()
+        if new := [piece for piece in distinct if piece not in self.known]:
+            self._learn(new)
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
 
     def _stretches(self, text: str) -> Iterator[str]:
         """The text in stretches of about STRETCH characters that end where the splitter always cuts."""
@@ -188,35 +289,43 @@ class ByteEncoder:
             at = cut.start()
         yield text[at:] if at else text
 
-    def _plain(self, text: str) -> Iterator[np.ndarray]:
-        """Ids of a text without special strings, stretch by stretch."""
-        if self.unsettled.search(text):
-            pieces = [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
-            yield self._ids(pieces)
-            return
-        for stretch in self._stretches(text):
-            yield self._ids(self.pieces(stretch))
-
-    def _ids(self, pieces: list[str]) -> np.ndarray:
-        distinct = set(pieces)
-        if len(self.known) + len(distinct) > REMEMBERED:
-            self.known.clear()
-        self._learn([piece for piece in distinct if piece not in self.known])
-        found = np.fromiter(chain.from_iterable(map(self.known.__getitem__, pieces)), np.int32)
-        for piece in distinct:
-            if len(piece) > SHORT:
-                del self.known[piece]
-        return found
-
-    def __call__(self, text: str) -> np.ndarray:
-        parts = self.special.split(text) if self.special else [text]
-        found = [np.zeros(0, dtype=np.int32)]
-        for i, part in enumerate(parts):
+    def _pieces(self, text: str) -> Iterator[list[str | int]]:
+        """The pieces of a text, some at a time."""
+        for i, part in enumerate(self.special.split(text) if self.special else [text]):
             if i % 2:
-                found.append(np.array([self.added[part]], dtype=np.int32))
+                yield [self.added[part]]
+            elif self.unsettled.search(part):
+                yield [part[a:b] for _, (a, b) in self.library.pre_tokenize_str(part)]
             elif part:
-                found.extend(self._plain(part))
-        return np.concatenate(found)
+                yield from map(self.pieces, self._stretches(part))
+
+    def many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, one after the other, and how many each has."""
+        counts, out, pieces, owners = np.zeros(len(texts), dtype=np.int64), [np.zeros(0, dtype=np.int32)], [], []
+
+        def flush() -> None:
+            at = self._places(pieces)
+            size = self.size[at]
+            total = np.cumsum(size)
+            out.append(self.flat[np.arange(total[-1]) + np.repeat(self.first[at] - (total - size), size)])
+            text, n = np.array(owners, dtype=np.int64).T
+            np.add.at(counts, text, np.add.reduceat(size, np.cumsum(n) - n))
+            pieces.clear()
+            owners.clear()
+
+        for i, text in enumerate(texts):
+            for some in self._pieces(text):
+                if some:
+                    pieces += some
+                    owners.append((i, len(some)))
+                if len(pieces) > AT_ONCE:
+                    flush()
+        if pieces:
+            flush()
+        return np.concatenate(out), counts
+
+    def __call__(self, text: str) -> np.ndarray:
+        return self.many([text])[0]
 
 
 class OffsetTable:
@@ -254,9 +363,9 @@ def encode_texts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
         for whole in parts:
             own = own or ByteEncoder(tokenizer)
             for part in slices(whole, "text"):
-                found = [own(value) for value in part.column("text").to_pylist()]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
+                flat, counts = own.many(part.column("text").to_pylist())
+                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], ["doc_id", "ids"])
 
     return rows.mapInArrow(encode, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, ids array<int>")
