@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlark.operators import series as S
 from ledgerlark.operators.boosting import DEPTH_WISE, LEAF_WISE
 from ledgerlark.operators.lineage import copies_written, discard_copies, materialise
-from ledgerlark.plans import analyses, dashboard, forecast, views
+from ledgerlark.plans import analyses, customer_states, dashboard, forecast, views
 from ledgerlark.session import SETTINGS
 from ledgerlark.sources.ingest import load_all, read_series
+from ledgerlark.sources.store import newest
 from ledgerlark.sources.tables import read_tables
 
 ANALYSES = (
@@ -45,7 +46,8 @@ def session() -> SparkSession:
 def report(spark: SparkSession, store: str, out: str) -> None:
     """Every view, analysis and dashboard data set as parquet under `out`."""
     t = read_tables(spark, store)
-    views.save_views(t, f"{out}/views")
+    people = customer_states.customer_clv(spark, store) if newest(spark, store) else None  # a store of loads keeps states
+    views.save_views(t, f"{out}/views", people)
     people = views.open_views(spark, f"{out}/views")["vw_customer_clv"]
     results = [("analyses", plan.__name__, plan(t)) for plan in ANALYSES]
     results += [("dashboard", plan.__name__, plan(t)) for plan in DASHBOARD]

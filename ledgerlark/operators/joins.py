@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlark.session import shuffle_partitions
+
 _hot: dict[tuple, list] = {}  # by plan, key and number of partitions; only load balance depends on it
 
 
@@ -22,7 +24,7 @@ def hot_keys(df: DataFrame, key: str) -> list:
     Counted once per table and key. Only the load balance of a join depends on the list, never its result; it is
     fetched so that both sides of the join use the same one.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = shuffle_partitions(df.sparkSession)
     known = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), key, partitions)
     if known not in _hot:
         counts = df.groupBy(F.col(key).alias("item")).agg(F.count("*").alias("n"))
@@ -37,7 +39,7 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: list)
     The salt is the number of the task that read the row: free, stable when a task is repeated, and able to separate
     identical rows. Only the rows of `dim` that belong to hot keys are repeated, once per salt.
     """
-    salts = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = shuffle_partitions(fact.sparkSession)
     column, values = F.col(key), [v for v in hot if v is not None]
     is_hot = column.isin(values) if values else F.lit(False)
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))

@@ -6,6 +6,7 @@ series_id, day, model, actual, forecast for the test days.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -67,58 +68,100 @@ def seasonal_naive(df: DataFrame, period: int = 7, recursive: bool = False) -> D
 HINGE_PENALTIES = (0.1, 1.0, 10.0, 100.0)
 
 
-def _trend_design(t: np.ndarray, knots: np.ndarray, fourier: int, period: int) -> np.ndarray:
-    hinges = np.maximum(t[:, None] - knots[None, :], 0.0)
-    angle = 2 * np.pi * t[:, None] * np.arange(1, fourier + 1)[None, :] / period
-    return np.hstack([np.ones((len(t), 1)), t[:, None], hinges, np.sin(angle), np.cos(angle)])
 
 
-def _fit_predict(y: np.ndarray, horizon: int, knots_n: int, fourier: int, period: int, penalty: float) -> np.ndarray:
-    """Ridge fit on y (days 0..n-1) and the next `horizon` values; only the slope changes are penalised."""
-    n = len(y)
-    knots = np.linspace(0, 0.8 * (n - 1), knots_n + 2)[1:-1]
-    days = np.arange(n + horizon, dtype=float)
-    x = _trend_design(days, knots, fourier, period)
-    x[:, 1 : 2 + knots_n] /= n  # trend columns on the scale of the cycle columns
-    ridge = np.full(x.shape[1], 1e-6)
-    ridge[2 : 2 + knots_n] = penalty
-    scale = np.abs(y).max() or 1.0
-    train = x[:n]
-    beta = np.linalg.solve(train.T @ train + np.diag(ridge), train.T @ (y / scale))
-    return x[n:] @ beta * scale
+def _trend_row(i: Column, n: Column, knots: Column, changepoints: int, fourier: int, period: int) -> list[Column]:
+    """The regressors of day i of a series whose fit sees the days 0..n-1: level, trend, a slope change at each of `knots`
+    points evenly spread over the first four fifths, and the waves of the cycle. Trend columns are on the scale of 0 to 1."""
+    hinges = [
+        F.when(F.lit(j) <= knots, F.greatest(i - 0.8 * (n - 1) * j / (knots + 1), F.lit(0.0)) / n).otherwise(0.0)
+        for j in range(1, changepoints + 1)
+    ]
+    angles = [2 * np.pi * f * i / period for f in range(1, fourier + 1)]
+    return [F.lit(1.0), i / n, *hinges, *map(F.sin, angles), *map(F.cos, angles)]
 
 
-def trend_seasonal(df: DataFrame, changepoints: int = 25, fourier: int = 3, period: int = 7) -> DataFrame:
-    """Piecewise-linear trend and a Fourier weekly cycle, fitted per series.
+def _trend_matrix(n: int, knots: int, changepoints: int, fourier: int, period: int) -> np.ndarray:
+    """The same regressors for all days 0..n-1, multiplied with themselves and summed: they depend on the calendar alone."""
+    t = np.arange(n, dtype=float)[:, None]
+    places = 0.8 * (n - 1) * np.arange(1, changepoints + 1) / (knots + 1)
+    hinges = np.where(np.arange(1, changepoints + 1) <= knots, np.maximum(t - places, 0.0) / n, 0.0)
+    angle = 2 * np.pi * t * np.arange(1, fourier + 1) / period
+    x = np.hstack([np.ones((n, 1)), t / n, hinges, np.sin(angle), np.cos(angle)])
+    return x.T @ x
+
 
-    The penalty on slope changes is chosen on the tail of the training days, never on the test days. One group is one
-    series, so a group is as long as the calendar. There are at most as many changepoints as pairs of periods, so that
-    the fit stays determined; a series of no more than two periods gets the mean of its training days (NULL without
-    any), because neither a trend nor a cycle can be told from it.
+def _trend_fits(placed: DataFrame, n: Column, penalties: Column, changepoints: int, fourier: int, period: int) -> DataFrame:
+    """(series_id, fits): coefficients of the fit on the days before `n` for each of the penalties.
+
+    The sums of regressors times values are one aggregate over the rows; what is solved outside is one small system per
+    series and penalty. Only the slope changes are penalised.
     """
+    row = [(x * F.col("y")) for x in _trend_row(F.col("i"), F.col("n"), F.col("knots"), changepoints, fourier, period)]
+    seen = placed.where(F.col("i") < n).withColumn("n", n).withColumn("penalties", penalties)
+    sums = seen.groupBy(S.SERIES, "n", "knots", "penalties").agg(F.array(*[F.sum(x) for x in row]).alias("sums"))
+    kind = dict(placed.dtypes)[S.SERIES]
+
+    def solve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matrices: dict[tuple[int, int], np.ndarray] = {}
+        for part in parts:
+            fits = []
+            for size, knots, given, right in zip(part["n"], part["knots"], part["penalties"], part["sums"], strict=True):
+                shape = (int(size), int(knots))
+                if shape not in matrices:
+                    matrices[shape] = _trend_matrix(*shape, changepoints, fourier, period)
+                ridge = np.full(len(right), 1e-6)
+                one = []
+                for penalty in given:
+                    ridge[2 : 2 + changepoints] = penalty
+                    one.append(np.linalg.solve(matrices[shape] + np.diag(ridge), np.asarray(right, dtype=float)).tolist())
+                fits.append(one)
+            yield pd.DataFrame({S.SERIES: part[S.SERIES], "fits": fits})
+
+    return sums.mapInPandas(solve, f"{S.SERIES} {kind}, fits array<array<double>>")
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("day")
-        y = pdf.loc[~pdf["is_test"], "value"].to_numpy()
-        test = pdf[pdf["is_test"]]
-        horizon = len(test)
-        out = pd.DataFrame({"series_id": test["series_id"], "day": test["day"], "model": "trend_seasonal"})
-        out["actual"], out["forecast"] = test["value"], y.mean() if len(y) else np.nan
-        if horizon and len(y) > 2 * period:
-            knots = min(changepoints, len(y) // (2 * period))
-            tail = min(horizon, len(y) // 4)
-            errors = {
-                p: np.abs(_fit_predict(y[:-tail], tail, knots, fourier, period, p) - y[-tail:]).mean()
-                for p in HINGE_PENALTIES
-            }
-            best = min(errors, key=errors.get)
-            out["forecast"] = _fit_predict(y, horizon, knots, fourier, period, best)
-        return out
 
-    kind = dict(df.dtypes)[S.SERIES]
+def trend_seasonal(df: DataFrame, changepoints: int = 25, fourier: int = 3, period: int = 7) -> DataFrame:
+    """Piecewise-linear trend and a Fourier weekly cycle, fitted per series.
+
+    The penalty on slope changes is chosen on the tail of the training days, never on the test days. There are at most as many
+    changepoints as pairs of periods, so that the fit stays determined; a series of no more than two periods gets the
+    mean of its training days (NULL without any), because neither a trend nor a cycle can be told from it. A training day without
+    a value counts as 0.
+    """
+    model = (changepoints, fourier, period)
     rows = df.select(S.SERIES, S.DAY, F.col(S.VALUE).cast("double").alias("value"), "is_test")
-    schema = f"series_id {kind}, day date, model string, actual double, forecast double"
-    return rows.groupBy(S.SERIES).applyInPandas(fit, schema)
+    place = F.row_number().over(Window.partitionBy(S.SERIES, "is_test").orderBy(S.DAY)) - 1
+    train = F.count_if(~F.col("is_test")).over(S.per_series())
+    placed = rows.withColumn("place", place).withColumn("days", train).withColumn("horizon", F.count_if("is_test").over(S.per_series()))
+    placed = placed.withColumn("mean", F.avg(F.when(~F.col("is_test"), F.col("value"))).over(S.per_series()))
+    placed = placed.select(
+        "*",
+        F.when(F.col("is_test"), F.col("place") + F.col("days")).otherwise(F.col("place")).cast("double").alias("i"),
+        F.coalesce("value", F.lit(0.0)).alias("y"),
+        F.least(F.lit(changepoints), F.floor(F.col("days") / (2 * period))).alias("knots"),
+        F.least("horizon", F.floor(F.col("days") / 4)).alias("tail"),
+    )
+    fitted = placed.where((F.col("horizon") > 0) & (F.col("days") > 2 * period))
+    days, head = F.col("days").cast("double"), (F.col("days") - F.col("tail")).cast("double")
+
+    def value(beta: Column, n: Column) -> Column:
+        products = F.zip_with(beta, F.array(*_trend_row(F.col("i"), n, F.col("knots"), *model)), lambda b, x: b * x)
+        return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+
+    tries = _trend_fits(fitted, head, F.array(*map(F.lit, HINGE_PENALTIES)), *model)
+    tails = fitted.where((F.col("i") >= head) & ~F.col("is_test")).join(tries, S.SERIES)
+    errors = F.array(
+        *[
+            F.struct(F.avg(F.abs(value(F.col("fits")[p], head) - F.col("y"))).alias("error"), F.lit(p).alias("p"), F.lit(penalty).alias("penalty"))
+            for p, penalty in enumerate(HINGE_PENALTIES)
+        ]
+    )
+    best = tails.groupBy(S.SERIES).agg(F.array_min(errors)["penalty"].alias("penalty"))
+    chosen = _trend_fits(fitted.join(best, S.SERIES), days, F.array("penalty"), *model)
+    tests = placed.where("is_test").join(chosen, S.SERIES, "left")
+    forecast = F.coalesce(value(F.col("fits")[0], days), F.col("mean"))
+    return tests.select(S.SERIES, S.DAY, F.lit("trend_seasonal").alias("model"), F.col("value").alias("actual"), forecast.alias("forecast"))
 
 
 # --- trees on lag features --------------------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import count_where, days_between, month_start, percent, ratio
@@ -68,7 +68,12 @@ def monthly_revenue_view(t: Tables) -> DataFrame:
 
 def customer_clv(t: Tables, tiles: int = TILES) -> DataFrame:
     """One row per person with value, recency and the three scores (an action: the scores need one written sort)."""
-    people = facts.person_metrics(t).select(
+    return scored(facts.person_metrics(t), facts.snapshot_day(t), tiles)
+
+
+def scored(metrics: DataFrame, snapshot_day: Column, tiles: int = TILES) -> DataFrame:
+    """The customer view from the people's metrics and the newest purchase day."""
+    people = metrics.select(
         "customer_unique_id",
         "orders_count",
         "clv",
@@ -76,15 +81,15 @@ def customer_clv(t: Tables, tiles: int = TILES) -> DataFrame:
         "first_purchase",
         "last_purchase",
         F.datediff("last_purchase", "first_purchase").alias("days_active"),
-        F.datediff(facts.snapshot_day(t), "last_purchase").alias("recency_days"),
+        F.datediff(snapshot_day, "last_purchase").alias("recency_days"),
     )
     measures = {
         "r_score": -F.col("recency_days"),  # the oldest customers come first, so they get the lowest score
         "f_score": F.col("orders_count"),
         "m_score": F.col("clv"),
     }
-    scored = add_tiles(people, "customer_unique_id", measures, tiles)
-    return scored.withColumn("segment", facts.segment(F.col("r_score"), F.col("f_score"), F.col("m_score"), tiles))
+    tiled = add_tiles(people, "customer_unique_id", measures, tiles)
+    return tiled.withColumn("segment", facts.segment(F.col("r_score"), F.col("f_score"), F.col("m_score"), tiles))
 
 
 def delivery_summary(t: Tables) -> DataFrame:
@@ -177,23 +182,25 @@ VIEWS = {
 }
 
 
-def register_views(t: Tables, root: str) -> None:
+def register_views(t: Tables, root: str, people: DataFrame | None = None) -> None:
     """Register every view under its reporting name for spark.sql.
 
     All are live but vw_customer_clv: its ranking is an action, so it is stored under `root` and read from there, which
-    no clean-up of copies touches. Call this again, or save_views, to refresh it.
+    no clean-up of copies touches. Call this again, or save_views, to refresh it; `people` is the view where it is known already,
+    such as from customer_states.customer_clv, which reads new loads only.
     """
     stored = f"{root}/vw_customer_clv"
-    customer_clv(t).write.mode("overwrite").parquet(stored)
+    (customer_clv(t) if people is None else people).write.mode("overwrite").parquet(stored)
     for name, plan in VIEWS.items():
         view = t.orders.sparkSession.read.parquet(stored) if plan is customer_clv else plan(t)
         view.createOrReplaceTempView(name)
 
 
-def save_views(t: Tables, root: str) -> None:
-    """Write every view as parquet for a reporting tool that reads files."""
+def save_views(t: Tables, root: str, people: DataFrame | None = None) -> None:
+    """Write every view as parquet for a reporting tool that reads files; `people` as for register_views."""
     for name, plan in VIEWS.items():
-        plan(t).write.mode("overwrite").parquet(f"{root}/{name}")
+        view = people if plan is customer_clv and people is not None else plan(t)
+        view.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
 def open_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -16,6 +16,14 @@ SETTINGS = {
 }
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """How many partitions a shuffle starts with: adaptive execution has a setting of its own for it."""
+    conf = spark.conf
+    adaptive = all(conf.get(f"spark.sql.adaptive.{x}") == "true" for x in ("enabled", "coalescePartitions.enabled"))
+    first = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) if adaptive else None
+    return int(first or conf.get("spark.sql.shuffle.partitions"))
+
+
 def local_session(cpus: int | str = 8, app: str = "ledgerlark", **extra: str) -> SparkSession:
     """A single-JVM session for tests and the bench; on a cluster spark-submit supplies the master and sizes."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)

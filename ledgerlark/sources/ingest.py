@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,9 +22,52 @@ NULL_TEXTS = (
 )
 
 
+CSV = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
+
+
 def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """All columns as text, matched by header name. Only a table with line breaks inside fields gives up file splits."""
-    return spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multiline, mode="FAILFAST")
+    """All columns as text, matched by header name. Files with line breaks inside fields are split too, see read_records."""
+    if multiline:
+        return read_records(spark, path)
+    return spark.read.csv(path, header=True, inferSchema=False, **CSV)
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """CSV files whose quoted fields may hold line breaks, read by as many tasks as the files have splits.
+
+    A line begins a record if the quotes before it in its file are even in number; quotes stand around fields only, and those
+    inside are doubled. Quotes are summed per split first, so every split knows how it begins. Lines that are a record
+    of their own go straight to the parser; the others are put together. All files have the columns of the first.
+    """
+    header = spark.read.csv(path, header=True, inferSchema=False, **CSV).columns
+    lines = spark.read.text(path, lineSep="\n").select(
+        F.regexp_replace("value", "\r$", "").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("at"),  # orders the lines of a split
+    )
+    lines = lines.withColumn("quotes", (F.length("line") - F.length(F.replace("line", F.lit('"')))).cast("long"))
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("file", "split").agg(F.sum("quotes").alias("total"))
+    splits = splits.select("file", "split", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("first"))
+    inside = Window.partitionBy("file", "split").orderBy("at")
+    before = F.col("first") + F.coalesce(F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = lines.join(F.broadcast(splits), ["file", "split"]).withColumn("before", before)  # one row per split
+    placed = placed.withColumn("begins", F.col("before") % 2 == 0).withColumn("ends", (F.col("before") + F.col("quotes")) % 2 == 0)
+    placed = placed.withColumn("is_header", (F.col("split") == 0) & (F.row_number().over(inside) == 1)).where(~F.col("is_header"))
+    whole = placed.where(F.col("begins") & F.col("ends")).select(F.col("line").alias("record"))
+    # The rest: a record's lines share the place of its first line, which may stand in an earlier split.
+    torn = placed.where(~(F.col("begins") & F.col("ends"))).withColumn("start", F.when(F.col("begins"), F.struct("split", "at")))
+    carried = torn.groupBy("file", "split").agg(F.max("start").alias("last"))
+    carried = carried.select("file", "split", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    torn = torn.withColumn("own", F.last("start", ignorenulls=True).over(so_far)).join(F.broadcast(carried), ["file", "split"])
+    torn = torn.withColumn("head", F.coalesce("own", "carried"))
+    joined = torn.groupBy("file", "head").agg(F.sort_array(F.collect_list(F.struct("split", "at", "line"))).alias("lines"))
+    joined = joined.select(F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("record"))
+    schema = ", ".join(f"`{name}` string" for name in header)
+    records = whole.union(joined).where(F.col("record") != "")
+    return records.select(F.from_csv("record", schema, CSV).alias("row")).select("row.*")
 
 
 def clean_field(field: Field) -> Column:

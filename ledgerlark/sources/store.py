@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -44,10 +44,15 @@ class TableStats:
 class Load:
     name: str
     tables: dict[str, TableStats]
-    merged: tuple[str, ...] = ()  # the loads whose rows it took over
+    number: int = 0  # the manifest that published it
+    merged: tuple[tuple[int, str], ...] = ()  # number and name of the loads whose rows it took over
+
+    def members(self) -> tuple[tuple[int, str], ...]:
+        """The loads that it stands for, as they were published."""
+        return self.merged or ((self.number, self.name),)
 
     def covers(self) -> set[str]:
-        return {self.name, *self.merged}
+        return {self.name, *(name for _, name in self.merged)}
 
 
 @dataclass(frozen=True)
@@ -67,7 +72,10 @@ class Manifest:
         loads = json.loads(text)
         return Manifest(
             number,
-            tuple(Load(x["name"], {k: TableStats(**v) for k, v in x["tables"].items()}, tuple(x["merged"])) for x in loads),
+            tuple(
+                Load(x["name"], {k: TableStats(**v) for k, v in x["tables"].items()}, x["number"], tuple((n, name) for n, name in x["merged"]))
+                for x in loads
+            ),
         )
 
 
@@ -116,7 +124,7 @@ def publish(spark: SparkSession, root: str, seen: Manifest, change: Callable[[Ma
     known = {name for load in seen.loads for name in load.covers()}
     while True:
         now = newest(spark, root) or Manifest()
-        fresh = [load for load in now.loads if not (set(load.merged) or {load.name}) <= known]
+        fresh = [load for load in now.loads if not {name for _, name in load.members()} <= known]
         if fresh:
             recheck(fresh)
             known |= {name for load in fresh for name in load.covers()}
@@ -126,7 +134,7 @@ def publish(spark: SparkSession, root: str, seen: Manifest, change: Callable[[Ma
 
 
 def added(load: Load) -> Callable[[Manifest], Manifest]:
-    return lambda now: Manifest(now.number, (*now.loads, load))
+    return lambda now: Manifest(now.number, (*now.loads, replace(load, number=now.number + 1)))
 
 
 # --- key filters ------------------------------------------------------------------------------------------------
@@ -245,14 +253,17 @@ def stored_keys(spark: SparkSession, root: str, batch: dict[str, DataFrame], loa
     where: dict[str, list[str]] = {}
     for row in candidates.groupBy("table", "load").count().collect():  # at most eight rows per load
         where.setdefault(row["table"], []).append(row["load"])
-    out = dict(nothing)
-    for table, names in where.items():
-        spec = SPEC[table]
-        schema = T.StructType([spec.schema[k] for k in spec.key])
-        held = spark.read.schema(schema).parquet(*[f"{root}/{table}/{name}" for name in sorted(names)])
-        asked = candidates.where(F.col("table") == table).select(*[F.col("key")[i].cast(spec.schema[k].dataType).alias(k) for i, k in enumerate(spec.key)])
-        out[table] = held.join(asked.distinct(), list(spec.key), "left_semi")
-    return out
+    return {**nothing, **{table: confirmed(spark, root, candidates, table, names) for table, names in where.items()}}
+
+
+def confirmed(spark: SparkSession, root: str, candidates: DataFrame, table: str, names: list[str]) -> DataFrame:
+    """The key columns of those candidates that the loads do hold."""
+    spec = SPEC[table]
+    schema = T.StructType([spec.schema[k] for k in spec.key])
+    held = spark.read.schema(schema).parquet(*[f"{root}/{table}/{name}" for name in sorted(names)])
+    asked = candidates.where(F.col("table") == table)
+    asked = asked.select(*[F.col("key")[i].cast(spec.schema[k].dataType).alias(k) for i, k in enumerate(spec.key)])
+    return held.join(asked.distinct(), list(spec.key), "left_semi")
 
 
 # --- merging ----------------------------------------------------------------------------------------------------
@@ -282,7 +293,7 @@ def compact(spark: SparkSession, root: str, small: int = 1_000_000) -> Manifest
     tables = {spec.name: spark.read.schema(spec.schema).parquet(f"{root}/{spec.name}/{name}") for spec in SPECS}
     stats = stats_of(tables)
     write_filters(tables, stats, root, name)
-    merged = Load(name, stats, tuple(sorted(set().union(*[load.covers() for load in few]))))
+    merged = Load(name, stats, max(load.number for load in few), tuple(sorted(m for load in few for m in load.members())))
 
     def change(current: Manifest) -> Manifest:
         if not set(names) <= set(current.names):

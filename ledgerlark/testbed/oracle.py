@@ -444,6 +444,52 @@ def _covered_rows(model: str) -> str:
     return sql(f"SELECT series_id, day, '{model}' AS model, v AS actual, 1 AS has_forecast FROM split WHERE is_test")
 
 
+# The trend fit by elimination on the normal equations, for each penalty on the head of the training days, then for the best one on all of them.
+TREND = """
+    placed AS (
+        SELECT series_id, day, v, is_test, row_number() OVER (PARTITION BY series_id, is_test ORDER BY day) - 1 AS place,
+               count(*) FILTER (NOT is_test) OVER (PARTITION BY series_id) AS days,
+               count(*) FILTER (is_test) OVER (PARTITION BY series_id) AS horizon FROM split),
+    sized AS (SELECT *, place + CASE WHEN is_test THEN days ELSE 0 END AS i, least(25, days // 14) AS knots,
+                     least(horizon, days // 4) AS tail FROM placed),
+    lengths AS (SELECT DISTINCT series_id, days - tail AS n FROM sized UNION SELECT DISTINCT series_id, days FROM sized),
+    design AS (
+        SELECT s.series_id, n, i, v, is_test, day,
+               [1.0, CAST(i / n AS DOUBLE)]
+               || list_transform(range(1, 26), lambda j: CASE WHEN j <= knots
+                                 THEN greatest(CAST(i AS DOUBLE) - CAST(0.8 AS DOUBLE) * (n - 1) * j / (knots + 1), 0) / n ELSE 0 END)
+               || list_transform([1, 2, 3], lambda f: sin(2 * pi() * f * i / 7))
+               || list_transform([1, 2, 3], lambda f: cos(2 * pi() * f * i / 7)) AS x
+        FROM sized s JOIN lengths l ON l.series_id = s.series_id),
+    places AS (SELECT unnest(range(1, 34)) AS a),
+    products AS (SELECT series_id, n, p.a, q.a AS b, sum(x[p.a] * x[q.a]) AS xx FROM design, places p, places q WHERE i < n GROUP BY ALL),
+    rights AS (SELECT series_id, n, a, sum(x[a] * v) AS xy FROM design, places WHERE i < n GROUP BY ALL),
+    penalties AS (SELECT CAST(unnest([0.1, 1, 10, 100]) AS DOUBLE) AS penalty),
+    lines AS (
+        SELECT p.series_id, p.n, penalty, p.a,
+               list(xx + CASE WHEN p.a <> b THEN 0 WHEN p.a BETWEEN 3 AND 27 THEN penalty ELSE CAST(1e-6 AS DOUBLE) END ORDER BY b) || [any_value(xy)] AS line
+        FROM products p JOIN rights r ON r.series_id = p.series_id AND r.n = p.n AND r.a = p.a, penalties GROUP BY ALL),
+    steps AS (
+        SELECT series_id, n, penalty, 1 AS k, list(line ORDER BY a) AS m FROM lines GROUP BY ALL
+        UNION ALL
+        SELECT series_id, n, penalty, k + 1,
+               list_transform(range(1, 34), lambda r: CASE WHEN r = k THEN list_transform(m[k], lambda e: e / m[k][k])
+                   ELSE list_transform(range(1, 35), lambda c: m[r][c] - m[r][k] * m[k][c] / m[k][k]) END)
+        FROM steps WHERE k <= 33),
+    betas AS (SELECT series_id, n, penalty, list_transform(m, lambda r: r[34]) AS beta FROM steps WHERE k = 34),
+    tried AS (
+        SELECT b.series_id, b.penalty, avg(abs(list_dot_product(b.beta, d.x) - d.v)) AS error
+        FROM betas b JOIN design d ON d.series_id = b.series_id AND d.n = b.n
+        WHERE d.i >= d.n AND NOT d.is_test GROUP BY ALL),
+    best AS (SELECT series_id, arg_min(penalty, error) AS penalty FROM tried GROUP BY 1),
+    trend AS (
+        SELECT d.series_id, d.day, d.v, list_dot_product(b.beta, d.x) AS f
+        FROM best JOIN betas b ON b.series_id = best.series_id AND b.penalty = best.penalty
+        JOIN design d ON d.series_id = b.series_id AND d.n = b.n
+        WHERE d.is_test AND d.n = (SELECT max(n) FROM lengths l WHERE l.series_id = d.series_id))
+"""
+
+
 ORACLE = {
     "a1_monthly_revenue": sql(f"SELECT month, {GROWTH} FROM months ORDER BY month"),
     "a1_monthly_revenue_dense": _with_extra(
@@ -611,6 +657,32 @@ ORACLE = {
         SELECT product_category_name, count(*) AS products FROM t_products
         WHERE product_category_name NOT IN (SELECT product_category_name FROM t_translation) GROUP BY 1"""),
     "ingest_csv_roundtrip": sql(_roundtrip()),
+    "store_rows": sql("""
+        SELECT 'customers' AS "table", count(*) AS "rows" FROM customer
+        UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'order_items', count(*) FROM lineitem
+        UNION ALL SELECT 'products', count(*) FROM part UNION ALL SELECT 'sellers', count(*) FROM supplier
+        UNION ALL SELECT 'product_category_translation', count(*) FROM t_translation
+        UNION ALL SELECT 'order_payments', count(*) FROM events
+        UNION ALL SELECT 'order_reviews', count(*) FROM conversations"""),
+    "store_repeated_keys": "SELECT CAST(o_orderkey AS VARCHAR) AS order_id FROM orders WHERE o_orderkey % 10 = 0 AND o_orderkey % 3 = 0",
+    "store_customer_view": f"""
+        WITH item AS (
+            SELECT l_orderkey, count(*) AS n, sum(p + round(p * CAST(l_tax AS DECIMAL(4, 2)), 2)) AS v
+            FROM (SELECT *, CAST(l_extendedprice AS DECIMAL(12, 2)) AS p FROM lineitem) GROUP BY 1),
+        people AS (
+            SELECT CAST(c_custkey // 3 AS VARCHAR) AS id, count(*) AS orders_count, sum(n) AS items, sum(v) AS clv,
+                   min(CAST(o_orderdate AS DATE)) AS first_purchase, max(CAST(o_orderdate AS DATE)) AS last_purchase,
+                   (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) AS today
+            FROM orders JOIN item ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey
+            WHERE o_orderstatus = 'F' GROUP BY 1),
+        scored AS (
+            SELECT *, today - last_purchase AS recency_days, ntile(5) OVER (ORDER BY last_purchase, id) AS r,
+                   ntile(5) OVER (ORDER BY orders_count, id) AS f, ntile(5) OVER (ORDER BY clv, id) AS m FROM people)
+        SELECT id AS customer_unique_id, orders_count, CAST(clv AS DOUBLE) AS clv, {half_up('clv * 100', '100 * items')} AS avg_item_value, first_purchase,
+               last_purchase, last_purchase - first_purchase AS days_active, recency_days, r AS r_score, f AS f_score, m AS m_score,
+               CASE WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'Champions' WHEN r >= 4 AND f >= 2 THEN 'Loyal' WHEN r >= 4 THEN 'Promising'
+                    WHEN r <= 2 AND f >= 4 THEN 'At Risk' WHEN r <= 2 THEN 'Lost' ELSE 'Needs Attention' END AS segment
+        FROM scored""",
     "ts_panel": sql(f"SELECT series_id, day, {units('u')} AS value, n AS orders FROM panel"),
     "ts_profile": sql("SELECT series_id, count(*) AS days, min(day) AS first_day, max(day) AS last_day FROM panel GROUP BY 1"),
     "ts_first_stable_day": sql(f"""
@@ -688,7 +760,12 @@ ORACLE = {
            FROM numbers n JOIN steps s ON s.series_id = n.series_id AND s.step = 61 - n.back WHERE n.is_test""",
         recursive=True,
     ),
-    **{f"fc_{name}": _covered_rows(name) for name in ("trend_seasonal", "gbt", "gbt_depth_6")},
+    **{f"fc_{name}": _covered_rows(name) for name in ("gbt", "gbt_depth_6")},
+    "fc_trend_seasonal": _with_extra(
+        TREND,
+        "SELECT series_id, day, 'trend_seasonal' AS model, round(v, 2) AS actual, round(f, 2) AS forecast FROM trend",
+        recursive=True,
+    ),
     "fc_importance": """SELECT unnest(['lag_1', 'lag_7', 'lag_14', 'lag_28', 'roll_7', 'roll_28', 'dow', 'month', 'dom', 'is_event'])
         AS feature, 1 AS is_share, CAST(1 AS DOUBLE) AS total""",
     "fc_all_models": sql("""

@@ -119,6 +119,33 @@ def test_load_cleans_and_stores(spark, tmp_path):
     assert texts == ['line one\nline "two", and more', None]
 
 
+@pytest.mark.parametrize("split", ["60", "400", "1m"])
+def test_breaks_inside_fields_do_not_keep_a_file_in_one_task(spark, conf, tmp_path, split):
+    head = "review_id,text,score\n"
+    lines = []
+    for i in range(60):
+        text = ["plain", "", '"with, comma"', '"two\nlines"', '"a ""quoted"" word\n\nand, more\r\nlines"', '"\n""\n"'][i % 6]
+        lines.append(f"r{i},{text},{i}\n")
+    for name, part in (("a", lines[:40]), ("b", lines[40:])):
+        (tmp_path / f"{name}.csv").write_text(head + "".join(part), newline="")
+    want = spark.read.csv(str(tmp_path), header=True, quote='"', escape='"', multiLine=True, mode="FAILFAST")
+    conf("spark.sql.files.maxPartitionBytes", split)
+    conf("spark.sql.files.openCostInBytes", "1")
+    got = ingest.read_records(spark, str(tmp_path))
+    assert got.columns == want.columns
+    texts = lambda df: sorted(tuple(None if v is None else v.replace("\r\n", "\n") for v in r) for r in df.collect())
+    assert texts(got) == texts(want) and got.count() == 60
+    tasks = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+    assert tasks > 20 if split == "60" else tasks >= 1
+
+
+def test_a_record_over_many_splits(spark, conf, tmp_path):
+    (tmp_path / "a.csv").write_text('id,text\n1,"' + "x\n" * 500 + '"\n2,y\n')
+    conf("spark.sql.files.maxPartitionBytes", "100")
+    got = {r.id: r.text for r in ingest.read_records(spark, str(tmp_path)).collect()}
+    assert got == {"1": "x\n" * 500, "2": "y"}
+
+
 def test_violation_leaves_the_store_untouched(spark, tmp_path):
     src = write_csv(tmp_path)
     ingest.load_all(spark, src, f"{tmp_path}/store")

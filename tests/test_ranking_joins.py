@@ -32,6 +32,30 @@ def test_global_rank_equals_window_functions(spark, conf, n, parts, desc):
     assert sorted(rows(global_rank(df, "value", "key", desc))) == sorted(rows(want))
 
 
+def test_ranks_take_one_exchange(spark):
+    """What comes after the written copy joins offsets only."""
+    plan = global_rank(people(spark, 500), "value", "key")._jdf.queryExecution().executedPlan().toString()
+    rows_side = "\n".join(line for line in plan.split("BroadcastExchange")[0].splitlines())
+    assert "Exchange" not in rows_side and "Window" not in rows_side and "Sort" not in rows_side
+
+
+@pytest.mark.parametrize("kind", ["double", "string", "date", "boolean"])
+def test_ranks_of_other_types_with_nulls_and_nan(spark, conf, kind):
+    conf("spark.sql.shuffle.partitions", "5")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    value = {
+        "double": F.when(F.col("id") % 5 == 0, float("nan")).otherwise((F.col("id") % 7) / 2),
+        "string": F.concat(F.lit("v"), F.col("id") % 6),
+        "date": F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 9).cast("int")),
+        "boolean": F.col("id") % 2 == 0,
+    }[kind]
+    df = spark.range(300).select(F.col("id").alias("key"), F.when(F.col("id") % 4 != 0, value).alias("value"))
+    tied = Window.orderBy(F.asc("value"))
+    want = df.select("*", F.row_number().over(Window.orderBy("value", "key")), F.rank().over(tied), F.dense_rank().over(tied))
+    got = global_rank(df, "value", "key").drop("tile")
+    assert sorted(map(str, rows(got))) == sorted(map(str, rows(want)))
+
+
 @pytest.mark.parametrize("n", [0, 3, 7, 1001])
 def test_tiles_equal_ntile(spark, conf, n):
     conf("spark.sql.shuffle.partitions", "6")
@@ -75,7 +99,7 @@ def test_hot_keys_are_found_and_others_are_not(spark):
 
 
 def test_many_hot_keys_are_all_found(spark, conf):
-    conf("spark.sql.shuffle.partitions", "200")
+    conf("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "200")  # what a shuffle starts with
     df = spark.range(0, 90_000, 1, 4).select((F.col("id") % 300).alias("k"))
     assert set(hot_keys(df, "k")) == set(range(300))
 

@@ -139,6 +139,39 @@ def test_trend_and_cycle_are_recovered(spark):
     assert scores["trend_seasonal"] < 2 < scores["naive"]
 
 
+def plain_trend(y: np.ndarray, horizon: int, knots: int, penalty: float) -> np.ndarray:
+    """The ridge fit of all days at once."""
+    n, t = len(y), np.arange(len(y) + horizon, dtype=float)[:, None]
+    hinges = np.maximum(t - np.linspace(0, 0.8 * (n - 1), knots + 2)[1:-1], 0) / n
+    waves = [w(2 * np.pi * t * np.arange(1, 4) / 7) for w in (np.sin, np.cos)]
+    x = np.hstack([np.ones_like(t), t / n, hinges, *waves])
+    ridge = np.array([1e-6] * 2 + [penalty] * knots + [1e-6] * 6)
+    return x[n:] @ np.linalg.solve(x[:n].T @ x[:n] + np.diag(ridge), x[:n].T @ y)
+
+
+@pytest.mark.parametrize(("days", "test"), [(400, 30), (60, 20), (20, 3), (14, 2), (3, 3)])
+def test_trend_equals_a_plain_fit(spark, days, test):
+    rng = np.random.default_rng(days)
+    y = np.cumsum(rng.normal(size=days)) * 10 + 5 * np.sin(np.arange(days)) + np.where(np.arange(days) > days / 2, 50.0, 0)
+    df = S.split(series(spark, y.tolist()).union(series(spark, (y * 7).tolist(), name="b")), test)
+    got = {(r.series_id, r.day): r.forecast for r in forecast.trend_seasonal(df).collect()}
+    train = y[: days - test]
+    n = len(train)
+    if n <= 14:
+        want = np.full(test, train.mean() if n else np.nan)
+    else:
+        knots, tail = min(25, n // 14), min(test, n // 4)
+        errors = {p: np.abs(plain_trend(train[:-tail], tail, knots, p) - train[-tail:]).mean() for p in forecast.HINGE_PENALTIES}
+        want = plain_trend(train, test, knots, min(errors, key=errors.get))
+    for name, scale in (("a", 1), ("b", 7)):
+        mine = [v for (who, _), v in sorted(got.items()) if who == name]
+        assert len(mine) == test
+        if n:
+            assert mine == pytest.approx((want * scale).tolist(), rel=1e-6, abs=1e-6)
+        else:
+            assert mine == [None] * test
+
+
 SMALL = Boosting(trees=20, rate=0.2, leaves=8, least_rows=5)
 
 
@@ -176,13 +209,13 @@ def test_worker_code_needs_no_installed_package(tmp_path):
     from pyspark import cloudpickle
 
     payload = tmp_path / "payload"
-    payload.write_bytes(cloudpickle.dumps((fit, SMALL, forecast._fit_predict)))
+    payload.write_bytes(cloudpickle.dumps((fit, SMALL, forecast._trend_matrix)))
     code = (
         "import sys, pickle, numpy as np\n"
         "from pyspark import cloudpickle\n"
-        "boost, how, fit = pickle.loads(open(sys.argv[1], 'rb').read())\n"
+        "boost, how, matrix = pickle.loads(open(sys.argv[1], 'rb').read())\n"
         "assert boost(np.arange(60.0)[:, None], np.arange(60.0), how)[0].predict(np.zeros((2, 1))).shape == (2,)\n"
-        "assert fit(np.arange(50.0), 3, 2, 3, 7, 1.0).shape == (3,)\n"
+        "assert matrix(50, 2, 3, 3, 7).shape == (11, 11)\n"
         "assert 'ledgerlark' not in sys.modules\n"
     )
     done = subprocess.run([sys.executable, "-c", code, str(payload)], cwd=tmp_path, capture_output=True, text=True)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark.operators.quality import ConstraintError
+from ledgerlark.plans import customer_states, views
 from ledgerlark.sources import ingest, store
 from ledgerlark.sources.schemas import SPEC, SPECS
 from ledgerlark.sources.tables import read_tables
@@ -109,7 +110,7 @@ def test_merged_loads_keep_rows_filters_and_old_readers(spark, tmp_path):
     before = store.newest(spark, root)
     old = read_tables(spark, root)
     merged = store.compact(spark, root)
-    assert merged.number == 5 and len(merged.loads) == 1 and set(merged.loads[0].merged) == set(before.names)
+    assert merged.number == 5 and len(merged.loads) == 1 and [name for _, name in merged.loads[0].merged] == before.names
     new = read_tables(spark, root)
     for spec in SPECS:
         assert sorted(rows(new[spec.name]), key=str) == sorted(rows(old[spec.name]), key=str)
@@ -136,3 +137,54 @@ def test_a_merge_and_a_load_at_once(spark, tmp_path, monkeypatch):
     manifest = store.newest(spark, root)
     assert [len(load.merged) for load in manifest.loads] == [2, 0] and manifest.number == 4
     assert read_tables(spark, root).orders.where("order_id like 'n%'").count() == 2
+
+
+# --- the customer view that follows the loads ---------------------------------------------------------------------
+
+
+def view_rows(df) -> list[tuple]:
+    return sorted((tuple(map(str, r)) for r in df.collect()), key=str)
+
+
+def test_states_equal_a_full_rebuild_after_each_load(spark, tmp_path):
+    root = str(tmp_path)
+    steps = [
+        base(spark),
+        # an item of an old order that has none, one of an old order that counts already, an old customer's new order
+        batch(
+            spark,
+            customers=[("c6", "ann", "01151", "city a", "SP"), ("c7", "fay", "30000", "city c", "MG")],
+            orders=[order("n1", "c3"), order("n2", "c6", "2018-08-21"), ("n3", "c7", "shipped", "2018-09-01 10:00:00", None, "2018-09-05 00:00:00")],
+            order_items=[("o5", 1, "p1", "s1", "7.00", "0.50"), ("o1", 3, "p1", "s1", "2.00", "0.00"), ("n1", 1, "p2", "s1", "30.00", "1.00"),
+                         ("n3", 1, "p2", "s1", "30.00", "1.00")],
+        ),
+        batch(spark, order_items=[("n2", 1, "p3", "s2", "11.00", "0.00"), ("o5", 2, "p1", "s1", "1.00", "0.00"), ("n1", 2, "p1", "s1", "1.00", "0.00")]),
+    ]
+    for i, frames in enumerate(steps):
+        ingest.publish_batch(spark, frames, root)
+        if i == 1:
+            continue  # two loads at once have no state yet
+        got = view_rows(customer_states.customer_clv(spark, root))
+        assert got == view_rows(views.customer_clv(read_tables(spark, root)))
+    assert [r for r in got if r[0] == "eve"][0][1:4] == ("1", "8.50", "4.25")
+    store.compact(spark, root)
+    assert customer_states.refresh(spark, root) == [] and view_rows(customer_states.customer_clv(spark, root)) == got
+    ingest.publish_batch(spark, batch(spark, order_items=[("n1", 3, "p1", "s1", "9.00", "0.00")]), root)
+    assert view_rows(customer_states.customer_clv(spark, root)) == view_rows(views.customer_clv(read_tables(spark, root)))
+
+
+def test_a_refresh_reads_no_items_of_older_loads(spark, tmp_path, monkeypatch):
+    root, opened = str(tmp_path), []
+    ingest.publish_batch(spark, base(spark), root)
+    assert len(customer_states.refresh(spark, root)) == 1
+    ingest.publish_batch(spark, batch(spark, orders=[order("n1", "c2")], order_items=[("n1", 1, "p1", "s1", "1.00", "0.00")]), root)
+    real = customer_states._open
+    monkeypatch.setattr(customer_states, "_open", lambda spark, root, table, loads: opened.append((table, *loads)) or real(spark, root, table, loads))
+    (new,) = customer_states.refresh(spark, root)
+    first = store.newest(spark, root).names[0]
+    assert [o for o in opened if first in o] == [("customers", first)] and ("order_items", new) in opened
+    assert "order_items" not in str(customer_states.people_of(spark, root).inputFiles())
+
+
+def test_states_of_an_empty_store(spark, tmp_path):
+    assert customer_states.customer_clv(spark, str(tmp_path)).collect() == []
