@@ -24,13 +24,15 @@ class Layout:
     """How one shape of record becomes turns.
 
     paths: the nested fields of the record, `[]` for the elements of an array. Either `items` names the array of turns
-    with its role and text fields, or `fixed` lists turns of a role and the fields whose texts are joined by a newline.
+    with its role and text fields, or `fixed` lists turns of a role and the fields whose texts are joined by a newline,
+    or `rows` names the turn, role and text of a table with one row per turn, whose roles stay as they are.
     """
 
     name: str
     paths: tuple[str, ...]
     items: tuple[str, str, str] | None = None
     fixed: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    rows: tuple[str, str, str] | None = None
 
     @property
     def fingerprint(self) -> str:
@@ -44,8 +46,8 @@ LAYOUTS = (
     Layout("short instruction", ("instruction", "output"), fixed=(("user", ("instruction",)), ("assistant", ("output",)))),
     Layout("prompt", ("completion", "prompt"), fixed=(("user", ("prompt",)), ("assistant", ("completion",)))),
     Layout("prompt and response", ("prompt", "response"), fixed=(("user", ("prompt",)), ("assistant", ("response",)))),
+    Layout("rows", ("role", "text", "turn"), rows=("turn", "role", "text")),
 )
-ROWS = ("role", "text", "turn")  # the paths of a table with one row per turn, besides its key
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}  # other roles stay as they are
 
 
@@ -102,7 +104,7 @@ def turns_of_records(records: DataFrame, conv_id: str, record: str, layouts: tup
     parsed = records.select(F.col(conv_id).alias("conv_id"), F.try_parse_json(record).alias("record"))
     parsed = parsed.withColumn("shape", record_fingerprint(F.col("record")))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for one in layouts:
+    for one in (one for one in layouts if one.rows is None):
         same = F.col("shape") == hashlib.md5(_printed(one).encode()).hexdigest()
         layout = F.when(same, F.lit(one.name)).otherwise(layout)
         turns = F.when(same, _mapped(one, F.col("record"))).otherwise(turns)
@@ -121,17 +123,21 @@ def _canonical(role: Column) -> Column:
 def turns_of_table(table: DataFrame, conv_id: str = "conv_id", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """(conv_id, turn, role, text): the turns of a table, by the mapping that its schema's fingerprint selects.
 
-    A table of one row per turn keeps its roles as they are. Columns besides the key that no layout knows are left out if that makes the rest a known layout.
+    A table of one row per turn keeps its roles and turns as they are. If the columns besides the key have no known
+    fingerprint, the largest layout that they hold is taken and the others are left out; with none the table is refused. Null
+    roles and texts are empty, a null array of turns gives no row, rows without a key share the null key, repeated rows stay. An
+    empty table gives an empty result.
     """
     paths = tuple(p for p in paths_of(table.schema) if p != conv_id)
-    if set(ROWS) <= set(paths):
-        columns = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text")]
-        return table.select(F.col(conv_id).alias("conv_id"), "turn", columns[0].alias("role"), columns[1].alias("text"))
     known = {one.fingerprint: one for one in layouts}
     fitting = [one for one in layouts if set(one.paths) <= set(paths)]
     layout = known.get(fingerprint(paths)) or max(fitting, key=lambda one: len(one.paths), default=None)
     if layout is None:
         raise ValueError(f"no layout for the fields {sorted(paths)}")
+    if layout.rows:
+        turn, role, text = layout.rows
+        columns = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((role, "role"), (text, "text"))]
+        return table.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), *columns)
     record = F.to_variant_object(F.struct(*sorted({p.split("[")[0].split(".")[0] for p in layout.paths})))
     rows = table.select(F.col(conv_id).alias("conv_id"), F.posexplode(_mapped(layout, record)).alias("turn", "one"))
     role, text = (F.coalesce(F.col(f"one.{c}"), F.lit("")) for c in ("role", "text"))

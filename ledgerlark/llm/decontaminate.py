@@ -27,7 +27,8 @@ MASK = np.uint64((1 << 20) - 1)
 
 @dataclass(frozen=True)
 class Leaks:
-    """An item shorter than `least` words is not looked for. An n-gram is rare if it is no more frequent than the
+    """An item shorter than `least` words is looked for as a whole: every word in its order, and shorter than `n` words only as the
+    whole of a text, because such words stand in any text. An n-gram is rare if it is no more frequent than the
     median of its piece, or occurs in at most `rare` windows. Scores: match 2, mismatch -1, gap -1; a passage is a copy
     if it reaches `share` of its piece's full score, or the full score of `long` words."""
 
@@ -48,7 +49,7 @@ def pieces_of(benchmark: DataFrame, how: Leaks, item_id: str, text: str) -> Data
     cut = F.sequence(F.lit(0), count.cast("int") - 1)
     return (
         benchmark.select(F.col(item_id).alias("item_id"), words.alias("words"))
-        .where(n >= how.least)
+        .where(n >= how.n)
         .select("item_id", "words", count.alias("pieces"), F.explode(cut).alias("piece"))
         .select(
             "item_id",
@@ -158,7 +159,7 @@ def leaks(
     """(text_key, doc_id, item_id, score, share, passage) for every document and item of which it holds a copy.
 
     score is the best alignment score, share its part of the item piece's full score, passage the words aligned. Null
-    and empty texts, and items under `least` words, give no row. Repeated rows and repeated items each give theirs;
+    and empty texts and items without words give no row; for items of fewer than `least` words see Leaks. Repeated rows and repeated items each give theirs;
     rows with equal id and text share a text_key and give one row. A row without id is found by its text_key. Other
     columns are ignored; an empty table on either side gives an empty result. A benchmark of more than block_words is
     looked for in several passes, each against all texts (an action).
@@ -179,6 +180,9 @@ def leaks(
         kind = f"piece_no int, item_id {pieces.schema['item_id'].dataType.simpleString()}, piece int, words array<string>"
         one = _aligned(windows, spark.createDataFrame(numbered, kind), how)
         found = one if found is None else found.union(one)
+    whole = _whole_texts(rows, benchmark, how, item_id, item_text)
+    if whole is not None:
+        found = whole if found is None else found.union(whole)
     if found is None:
         columns = [F.lit(None).cast(t).alias(c) for c, t in (("item_id", pieces.schema["item_id"].dataType), ("score", "int"), ("share", "double"), ("passage", "string"))]
         return rows.select("text_key", "doc_id", *columns).where(F.lit(False))
@@ -186,6 +190,19 @@ def leaks(
     return found.groupBy("text_key", "doc_id", "item_id").agg(best.alias("best")).select("text_key", "doc_id", "item_id", "best.*")
 
 
+def _whole_texts(rows: DataFrame, benchmark: DataFrame, how: Leaks, item_id: str, item_text: str) -> DataFrame | None:
+    """Texts that are an item of fewer than `n` words and nothing else; None if there is no such item."""
+    words = lambda c: F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), PARTING), lambda w: w != "")
+    items = benchmark.select(F.col(item_id).alias("item_id"), words(F.col(item_text)).alias("words"))
+    items = items.where(F.size("words").between(1, how.n - 1)).distinct()
+    if items.isEmpty():
+        return None
+    texts = rows.select("text_key", "doc_id", F.col("text").alias("passage"), words(F.col("text")).alias("words"))
+    score = 2 * F.size("words")
+    met = texts.where(F.size("words").between(1, how.n - 1)).join(items, "words")
+    return met.select("text_key", "doc_id", "item_id", score.alias("score"), F.lit(1.0).alias("share"), "passage")
+
+
 def _finder(seeds: Seeds, n: int):
     def find(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(PUNCTUATED)
@@ -227,4 +244,7 @@ def _aligned(windows: DataFrame, pieces: DataFrame, how: Leaks) -> DataFrame:
 
     ids = {f.name: f.dataType.simpleString() for f in joined.schema.fields}
     kind = f"text_key long, doc_id {ids['doc_id']}, item_id {ids['item_id']}, score int, share double, passage string"
-    return joined.select("text_key", "doc_id", "item_id", "words", "passage").mapInArrow(score, kind).where((F.col("share") >= how.share) | (F.col("score") >= 2 * how.long))
+    # A short item's full score is below that of `least` words.
+    short = F.round(F.try_divide("score", "share")) < 2 * how.least
+    copied = (F.col("share") > 0) & F.when(short, F.col("share") == 1).otherwise((F.col("share") >= how.share) | (F.col("score") >= 2 * how.long))
+    return joined.select("text_key", "doc_id", "item_id", "words", "passage").mapInArrow(score, kind).where(copied)

@@ -45,6 +45,19 @@ def tokens_of(text: str) -> Column:
     return F.size(F.filter(words, lambda w: w != "")).cast("long")
 
 
+def _text_of(column: str) -> Column:
+    """A value as text, NONE for null; a text that looks like NONE gets one more backslash, so that none equals it."""
+    value = F.col(column).cast("string")
+    return F.coalesce(F.when(value.rlike(r"^\\+N$"), F.concat(F.lit("\\"), value)).otherwise(value), F.lit(NONE))
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """A column name that a table does not have yet."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def domain_of(source: str) -> Column:
     """A domain for tables without one: the source's first md5 digit, modulo DOMAINS."""
     digit = F.conv(F.substring(F.md5(F.coalesce(F.col(source).cast("string"), F.lit(NONE))), 1, 1), 16, 10).cast("int")
@@ -70,9 +83,9 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     At each level siblings are ordered by capacity per weight. If the first k are filled up, the rest share what is left
     by weight; k is the least for which nobody of the rest gets more than its capacity.
     """
-    levels = list(mix.levels)
+    levels, wide = list(mix.levels), lambda x: x.cast("decimal(28,0)")  # products of 64-bit numbers may be larger than these
     nodes = leaves.withColumn("capacity", F.col("tokens") * mix.epochs)
-    total = F.floor(F.sum("tokens").over(Window.partitionBy()) * mix.per_mille / 1000).cast("long")
+    total = leaves.agg((F.sum("tokens").cast("decimal(38,0)") * F.lit(mix.per_mille)).alias("t")).select(F.expr("t div 1000")).scalar()
     placed = nodes.withColumn("parent_budget", total)
     for depth, level in enumerate(levels):
         path, above = levels[: depth + 1], levels[:depth]
@@ -85,11 +98,12 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
             child.withColumn("used", F.coalesce(F.sum("capacity").over(earlier), F.lit(0)))
             .withColumn("gone", F.coalesce(F.sum("weight").over(earlier), F.lit(0)))
             .withColumn("left", F.sum("weight").over(family) - F.col("gone"))
-            .withColumn("fits", (F.col("given") - F.col("used")) * F.col("weight") <= F.col("capacity") * F.col("left"))
+            .withColumn("fits", wide(F.col("given") - F.col("used")) * F.col("weight") <= wide(F.col("capacity")) * F.col("left"))
             .withColumn("unit", F.when(F.col("fits"), F.struct("gone", "used", "left")))
             .withColumn("unit", F.min("unit").over(family))
         )
-        share = F.floor((F.col("given") - F.col("unit.used")) * F.col("weight") / F.col("unit.left")).cast("long")
+        child = child.withColumn("due", (F.col("given") - F.col("unit.used")).cast("decimal(38,0)") * F.col("weight"))
+        share = F.expr("due div unit.left")
         granted = F.when(F.col("unit").isNull(), F.col("capacity")).otherwise(F.least("capacity", share))
         child = child.select(*path, granted.alias("granted"))
         placed = placed.drop("parent_budget").join(child.withColumnRenamed("granted", "parent_budget"), path)
@@ -99,17 +113,22 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
 def mixture(docs: DataFrame, mix: Mix, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The chosen rows of `docs`, all columns, with `mix_epoch` and `mix_tokens` (an action).
 
-    A row comes once for each epoch that takes it. The prefix of a leaf's last epoch ends before the first document
+    A row comes once for each epoch that takes it. Columns of `docs` keep their names and values; where it has a
+    `mix_epoch` or `mix_tokens` of its own, the new column's name gets underscores behind it. The prefix of a leaf's last epoch ends before the first document
     that would exceed the budget. Null level values are a value of their own; null and empty texts have no tokens and
     stay with their leaf's order; rows of equal id and text are taken together or not at all. An empty table gives an
     empty result.
     """
     levels, key = list(mix.levels), ["mix_leaf"]
-    leaf = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit(NONE)) for c in levels])
-    doc = F.concat_ws("-", F.coalesce(F.col(doc_id).cast("string"), F.lit(NONE)), F.md5(F.coalesce(text, F.lit(""))))
-    own = docs.withColumns({"mix_leaf": leaf, "mix_doc": doc, "mix_tokens": tokens_of(text)})
-    values = [F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c) for c in levels]
-    light = materialise(own.select("mix_leaf", "mix_doc", "mix_tokens", *values), "mix-rows")
+    epoch_name, tokens_name = _free("mix_epoch", docs.columns), _free("mix_tokens", docs.columns)
+    values = [_text_of(c).alias(c) for c in levels]
+    leaf = F.concat(*[x for c in levels for x in (F.length(_text_of(c)).cast("string"), F.lit(":"), _text_of(c))])
+    doc = F.concat_ws("-", _text_of(doc_id), F.md5(F.coalesce(text, F.lit(""))))
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row"), leaf.alias("mix_leaf"), doc.alias("mix_doc"), tokens_of(text).alias("mix_tokens")
+    )
+    light = docs.select(leaf.alias("mix_leaf"), doc.alias("mix_doc"), tokens_of(text).alias("mix_tokens"), F.struct(*values).alias("mix_levels"))
+    light = materialise(light.select("mix_leaf", "mix_doc", "mix_tokens", "mix_levels.*"), "mix-rows")
     leaves = light.groupBy(*key, *levels).agg(F.sum("mix_tokens").alias("tokens"))
     plan = materialise(budgets(leaves, mix).select("mix_leaf", "tokens", "budget"), "mix-budgets")
 
@@ -136,4 +155,4 @@ def mixture(docs: DataFrame, mix: Mix, doc_id: str = "doc_id", text: str = "text
     place = lambda t: _order(mix.seed, t["epoch"], F.col("mix_doc"))
     taken = F.filter("mix_takes", lambda t: t["whole"] | t["cut"].isNull() | (place(t) < t["cut"]))
     chosen = own.join(takes, "mix_leaf").withColumn("mix_epoch", F.explode(F.transform(taken, lambda t: t["epoch"])))
-    return chosen.select(*docs.columns, "mix_epoch", "mix_tokens")
+    return chosen.select("mix_row.*", F.col("mix_epoch").alias(epoch_name), F.col("mix_tokens").alias(tokens_name))
