@@ -183,6 +183,67 @@ def decompose(df: DataFrame, value: str = VALUE, period: int = 7) -> DataFrame:
     )
 
 
+# --- decomposition by local lines -------------------------------------------------------------------------------
+
+
+def local_lines(df: DataFrame, name: str, value: Column, weight: Column, reach: int, *keys: str) -> DataFrame:
+    """Add column `name`: at every row the value of the line fitted to the rows up to `reach` places before and after it.
+
+    Rows count by the tricube of their distance, times `weight`. The line comes from five weighted sums over the window's
+    frame. Where the weights leave one place only, it is the weighted mean; where they are all 0, the frame's plain mean.
+    With `keys` the rows of equal keys are a series of their own.
+    """
+    order = Window.partitionBy(SERIES, *keys).orderBy(DAY)
+    frame = order.rowsBetween(-reach, reach)
+    own = [c for c in df.columns]
+    placed = df.withColumn("place", F.row_number().over(order)).withColumn("y", value).withColumn("rho", weight)
+    placed = placed.withColumn("near", F.collect_list(F.struct("place", "y", "rho")).over(frame))
+
+    def add(sums: Column, x: Column) -> Column:
+        d = (x["place"] - F.col("place")).cast("double")
+        side = F.lit(1.0) - F.pow(F.abs(d) / (reach + 1), F.lit(3.0))
+        w = F.pow(side, F.lit(3.0)) * x["rho"]
+        terms = {"w": w, "d": w * d, "dd": w * d * d, "y": w * x["y"], "dy": w * d * x["y"], "n": F.lit(1.0), "plain": x["y"]}
+        return F.struct(*[(sums[k] + v).alias(k) for k, v in terms.items()])
+
+    zero = F.struct(*[F.lit(0.0).alias(k) for k in ("w", "d", "dd", "y", "dy", "n", "plain")])
+    s = F.aggregate("near", zero, add)
+    placed = placed.withColumn("s", s).withColumn("det", F.col("s.w") * F.col("s.dd") - F.col("s.d") * F.col("s.d"))
+    line = (F.col("s.dd") * F.col("s.y") - F.col("s.d") * F.col("s.dy")) / F.col("det")
+    fitted = F.when(F.col("det") > 1e-9 * F.col("s.w") * F.col("s.w"), line).when(F.col("s.w") > 0, F.col("s.y") / F.col("s.w"))
+    return placed.select(*own, fitted.otherwise(F.col("s.plain") / F.col("s.n")).alias(name))
+
+
+def decompose_robust(
+    df: DataFrame, value: str = VALUE, period: int = 7, trend_reach: int = 7, season_reach: int = 3, rounds: int = 3
+) -> DataFrame:
+    """Additive trend, seasonal and residual parts by local lines; outliers stay in the residual.
+
+    In each round the days of equal place in the cycle are smoothed along the cycles, what a whole cycle of that keeps
+    goes to the trend, and the trend is smoothed from what is left. From the second round on a day counts by the
+    bisquare of its last residual against six times the series' median one, so a day that fits nowhere bends nothing. Days
+    without a value count as 0. All windows share one exchange by series.
+    """
+    half = period // 2
+    around, before, after = (in_order().rowsBetween(a, b) for a, b in ((-half, half), (Window.unboundedPreceding, -1), (1, Window.unboundedFollowing)))
+    y, rho = F.col("observed"), F.col("weight")
+    phase = F.pmod(F.datediff(F.col(DAY), F.lit("1970-01-01").cast("date")), F.lit(period)).alias("phase")
+    parts = df.select(SERIES, DAY, F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("observed"), phase, F.lit(0.0).alias("trend"), F.lit(1.0).alias("weight"))
+    for i in range(rounds):
+        parts = local_lines(parts, "cycle", y - F.col("trend"), rho, season_reach, "phase")
+        full = F.when(F.count("*").over(around) == period, F.avg("cycle").over(around))
+        parts = parts.withColumn("full", full)
+        level = F.coalesce("full", F.first("full", ignorenulls=True).over(after), F.last("full", ignorenulls=True).over(before), F.avg("cycle").over(per_series()))
+        parts = parts.withColumn("seasonal", F.col("cycle") - level).drop("trend", "full", "cycle")
+        parts = local_lines(parts, "trend", y - F.col("seasonal"), rho, trend_reach)
+        parts = parts.withColumn("residual", y - F.col("trend") - F.col("seasonal"))
+        if i + 1 < rounds:
+            share = F.abs("residual") / F.nullif(6 * F.median(F.abs("residual")).over(per_series()), F.lit(0.0))
+            bisquare = F.when(share < 1, F.pow(1 - share * share, F.lit(2.0))).otherwise(F.when(share.isNull(), 1.0).otherwise(0.0))
+            parts = parts.withColumn("weight", bisquare).drop("seasonal", "residual")
+    return parts.select(SERIES, DAY, "observed", "trend", "seasonal", "residual")
+
+
 def split(df: DataFrame, test_days: int = 60) -> DataFrame:
     """Flag the last `test_days` rows of each series as is_test."""
     position = df.withColumn("i", F.row_number().over(in_order())).withColumn("n", F.count("*").over(per_series()))

@@ -341,6 +341,7 @@ query("ts_rolling_median", digits=6)(
     lambda t: _panel(t).select("series_id", "day", S.rolling_median("orders", 7).alias("median_7"))
 )
 query("ts_decompose", digits=6)(lambda t: S.decompose(_clean(t)))
+query("ts_decompose_robust", digits=4)(lambda t: S.decompose_robust(_clean(t)))
 query("ts_train_test_split")(_split)
 query("ts_lag_features", digits=6)(
     lambda t: S.lag_features(_clean(t).select("series_id", "day", "value"), event_windows=EVENTS)

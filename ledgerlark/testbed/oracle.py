@@ -433,6 +433,44 @@ PARTS = """
     centred AS (SELECT series_id, dow, m - avg(m) OVER (PARTITION BY series_id) AS seasonal FROM cycle)"""
 
 
+def _local_lines(source: str, into: str, name: str, value: str, reach: int, *keys: str) -> str:
+    """CTEs that add the local line of `value` to the rows of `source`, as S.local_lines defines it."""
+    by = ", ".join(("series_id", *keys))
+    w = f"CAST((1 - abs(CAST(e.p - p AS DOUBLE) / {reach + 1}) ** 3) ** 3 AS DOUBLE) * e.r"
+    total = lambda term: f"list_sum(list_transform(near, lambda e: {term}))"
+    return f"""
+    {into}_a AS (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY day) AS p, {value} AS y FROM {source}),
+    {into}_b AS (SELECT *, list({{'p': p, 'y': y, 'r': rho}}) OVER (PARTITION BY {by} ORDER BY day
+                        ROWS BETWEEN {reach} PRECEDING AND {reach} FOLLOWING) AS near FROM {into}_a),
+    {into}_c AS (SELECT *, {total(w)} AS w0, {total(f"{w} * (e.p - p)")} AS w1, {total(f"{w} * (e.p - p) * (e.p - p)")} AS w2,
+                        {total(f"{w} * e.y")} AS t0, {total(f"{w} * (e.p - p) * e.y")} AS t1, {total("e.y")} / len(near) AS flat FROM {into}_b),
+    {into} AS (SELECT * EXCLUDE (p, y, near, w0, w1, w2, t0, t1, flat),
+                      CASE WHEN w0 * w2 - w1 * w1 > 1e-9 * w0 * w0 THEN (w2 * t0 - w1 * t1) / (w0 * w2 - w1 * w1)
+                           WHEN w0 > 0 THEN t0 / w0 ELSE flat END AS {name} FROM {into}_c)"""
+
+
+def _robust_parts(rounds: int = 3) -> str:
+    out = ["""
+    robust_0 AS (SELECT series_id, day, CAST(u AS DOUBLE) / 10000 AS v, dayofweek(day) AS dow, CAST(0 AS DOUBLE) AS trend, CAST(0 AS DOUBLE) AS seasonal,
+                        CAST(1 AS DOUBLE) AS rho FROM clean)"""]
+    for i in range(1, rounds + 1):
+        out.append(_local_lines(f"robust_{i - 1}", f"cycle_{i}", "cyc", "v - trend", 3, "dow"))
+        out.append(f"""
+    full_{i} AS (SELECT * EXCLUDE (trend, seasonal), CASE WHEN count(*) OVER week = 7 THEN avg(cyc) OVER week END AS whole FROM cycle_{i}
+                 WINDOW week AS (PARTITION BY series_id ORDER BY day ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+    season_{i} AS (SELECT * EXCLUDE (cyc, whole), cyc - coalesce(whole,
+                   first(whole IGNORE NULLS) OVER (PARTITION BY series_id ORDER BY day ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING),
+                   last(whole IGNORE NULLS) OVER (PARTITION BY series_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                   avg(cyc) OVER (PARTITION BY series_id)) AS seasonal FROM full_{i})""")
+        out.append(_local_lines(f"season_{i}", f"trend_{i}", "trend", "v - seasonal", 7))
+        out.append(f"""
+    share_{i} AS (SELECT *, abs(v - trend - seasonal) / nullif(6 * median(abs(v - trend - seasonal)) OVER (PARTITION BY series_id), 0) AS share
+                  FROM trend_{i}),
+    robust_{i} AS (SELECT series_id, day, v, dow, trend, seasonal,
+                          CASE WHEN share IS NULL THEN 1 WHEN share < 1 THEN (1 - share * share) ** 2 ELSE 0 END AS rho FROM share_{i})""")
+    return ",".join(out)
+
+
 def _with_extra(extra: str, body: str, recursive: bool = False) -> str:
     full = sql(extra + " " + body)
     head, _, _ = full.partition(extra)
@@ -723,6 +761,11 @@ ORACLE = {
                   round(t.v - t.trend - c.seasonal, 6) AS residual
            FROM trended t JOIN centred c ON c.series_id = t.series_id AND c.dow = t.dow""",
     ),
+    "ts_decompose_robust": _with_extra(
+        _robust_parts(),
+        """SELECT series_id, day, round(v, 4) AS observed, round(trend, 4) AS trend, round(seasonal, 4) AS seasonal,
+                  round(v - trend - seasonal, 4) AS residual FROM robust_3""",
+    ),
     "ts_train_test_split": sql("SELECT series_id, day, v AS value, CAST(is_test AS BIGINT) AS is_test FROM split"),
     "ts_lag_features": sql(f"""
         SELECT * FROM (

@@ -139,6 +139,45 @@ def test_trend_and_cycle_are_recovered(spark):
     assert scores["trend_seasonal"] < 2 < scores["naive"]
 
 
+def plain_lines(y, rho, reach):
+    out = []
+    for i in range(len(y)):
+        j = np.arange(max(0, i - reach), min(len(y), i + reach + 1))
+        d = (j - i).astype(float)
+        w = (1 - (np.abs(d) / (reach + 1)) ** 3) ** 3 * rho[j]
+        if (w > 0).sum() > 1:
+            x = np.vander(d, 2)
+            out.append(np.linalg.lstsq(x * np.sqrt(w)[:, None], y[j] * np.sqrt(w), rcond=None)[0][1])
+        else:
+            out.append((w * y[j]).sum() / w.sum() if w.sum() else y[j].mean())
+    return np.array(out)
+
+
+def test_local_lines_equal_least_squares(spark):
+    rng = np.random.default_rng(7)
+    y, rho = rng.normal(size=40), np.where(rng.random(40) < 0.3, 0.0, rng.random(40))
+    rho[10:25] = 0.0
+    rho[17] = 0.5
+    df = series(spark, y.tolist()).join(series(spark, rho.tolist()).withColumnRenamed("value", "rho"), ["series_id", "day"])
+    got = S.local_lines(df, "fit", F.col("value"), F.col("rho"), 4).orderBy("day").collect()
+    assert [r.fit for r in got] == pytest.approx(plain_lines(y, rho, 4).tolist(), rel=1e-6, abs=1e-9)
+
+
+def test_a_spike_moves_neither_trend_nor_season(spark):
+    def parts(spike):
+        return S.decompose_robust(weekly(spark, 120, spike=spike, noise=0.3)).orderBy("day").collect()
+
+    plain, spiked = parts(None), parts(50)
+    for a, b in zip(plain, spiked, strict=True):
+        assert abs(a.trend - b.trend) < 2.5 and abs(a.seasonal - b.seasonal) < 2.5  # half a percent of the spike
+        assert b.observed == pytest.approx(b.trend + b.seasonal + b.residual)
+    assert spiked[50].residual > 490 and max(abs(r.residual) for i, r in enumerate(spiked) if i != 50) < 3
+    short = S.decompose_robust(series(spark, [1, 5, 2])).collect()
+    assert all(r.observed == pytest.approx(r.trend + r.seasonal + r.residual) for r in short)
+    flat = S.decompose_robust(series(spark, [4.0] * 30)).collect()
+    assert all(r.trend == pytest.approx(4) and abs(r.seasonal) < 1e-9 for r in flat)
+
+
 def plain_trend(y: np.ndarray, horizon: int, knots: int, penalty: float) -> np.ndarray:
     """The ridge fit of all days at once."""
     n, t = len(y), np.arange(len(y) + horizon, dtype=float)[:, None]
