@@ -215,13 +215,14 @@ def local_lines(df: DataFrame, name: str, value: Column, weight: Column, reach:
 
 
 def decompose_robust(
-    df: DataFrame, value: str = VALUE, period: int = 7, trend_reach: int = 7, season_reach: int = 3, rounds: int = 3
+    df: DataFrame, value: str = VALUE, period: int = 7, trend_reach: int = 7, season_reach: int = 3, rounds: int = 5
 ) -> DataFrame:
     """Additive trend, seasonal and residual parts by local lines; outliers stay in the residual.
 
     In each round the days of equal place in the cycle are smoothed along the cycles, what a whole cycle of that keeps
     goes to the trend, and the trend is smoothed from what is left. From the second round on a day counts by the
-    bisquare of its last residual against six times the series' median one, so a day that fits nowhere bends nothing. Days
+    bisquare of its last residual against six times the series' median one, so a day that fits nowhere bends nothing; it
+    takes a few rounds until its neighbours count again. Days
     without a value count as 0. All windows share one exchange by series.
     """
     half = period // 2

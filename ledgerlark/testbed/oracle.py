@@ -449,7 +449,7 @@ def _local_lines(source: str, into: str, name: str, value: str, reach: int, *key
                            WHEN w0 > 0 THEN t0 / w0 ELSE flat END AS {name} FROM {into}_c)"""
 
 
-def _robust_parts(rounds: int = 3) -> str:
+def _robust_parts(rounds: int = 5) -> str:
     out = ["""
     robust_0 AS (SELECT series_id, day, CAST(u AS DOUBLE) / 10000 AS v, dayofweek(day) AS dow, CAST(0 AS DOUBLE) AS trend, CAST(0 AS DOUBLE) AS seasonal,
                         CAST(1 AS DOUBLE) AS rho FROM clean)"""]
@@ -764,7 +764,7 @@ ORACLE = {
     "ts_decompose_robust": _with_extra(
         _robust_parts(),
         """SELECT series_id, day, round(v, 4) AS observed, round(trend, 4) AS trend, round(seasonal, 4) AS seasonal,
-                  round(v - trend - seasonal, 4) AS residual FROM robust_3""",
+                  round(v - trend - seasonal, 4) AS residual FROM robust_5""",
     ),
     "ts_train_test_split": sql("SELECT series_id, day, v AS value, CAST(is_test AS BIGINT) AS is_test FROM split"),
     "ts_lag_features": sql(f"""
