@@ -16,6 +16,7 @@ from ledgerlark.operators import quality, ranking
 from ledgerlark.operators import series as S
 from ledgerlark.operators.boosting import DEPTH_WISE, LEAF_WISE
 from ledgerlark.operators.lineage import materialise, shared_dir
+from ledgerlark.operators.quantiles import group_quantiles
 from ledgerlark.operators.trees import Ensemble
 from ledgerlark.plans import analyses, customer_states, dashboard, facts, forecast, views
 from ledgerlark.sources import ingest, store
@@ -127,6 +128,14 @@ def global_rank(t: Tables) -> DataFrame:
     return ranking.global_rank(people, "orders_count", "customer_unique_id", desc=True, tiles=5)
 
 
+@query("op_group_quantiles", digits=6)
+def line_quantiles(t: Tables) -> DataFrame:
+    """Quartiles of the line value per order status; the large groups by selection."""
+    statuses = t.orders.select("order_id", "order_status")
+    lines = t.order_items.select("order_id", facts.line_value().alias("line_value")).join(statuses, "order_id")
+    return group_quantiles(lines, ["order_status"], "line_value", {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q99": 0.99}, large=10_000)
+
+
 # --- cleaning and quality ---------------------------------------------------------------------------------------
 
 

@@ -669,6 +669,13 @@ ORACLE = {
                row_number() OVER (ORDER BY n_orders DESC, customer_unique_id) AS row_num,
                rank() OVER (ORDER BY n_orders DESC) AS rnk, dense_rank() OVER (ORDER BY n_orders DESC) AS dense_rnk,
                ntile(5) OVER (ORDER BY n_orders DESC, customer_unique_id) AS tile FROM people"""),
+    "op_group_quantiles": """
+        WITH line AS (
+            SELECT CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' ELSE 'processing' END AS order_status,
+                   CAST(p + p * CAST(l_tax AS DECIMAL(4, 2)) AS DOUBLE) AS v
+            FROM (SELECT *, CAST(l_extendedprice AS DECIMAL(12, 2)) AS p FROM lineitem) JOIN orders ON o_orderkey = l_orderkey)
+        SELECT order_status, count(*) AS n, round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.5), 6) AS q50,
+               round(quantile_cont(v, 0.75), 6) AS q75, round(quantile_cont(v, 0.99), 6) AS q99 FROM line GROUP BY 1""",
     "clean_zero_pad": """
         SELECT o_orderkey, CASE WHEN length(CAST(o_orderkey AS VARCHAR)) < 5
                THEN lpad(CAST(o_orderkey AS VARCHAR), 5, '0') ELSE CAST(o_orderkey AS VARCHAR) END AS code FROM orders""",

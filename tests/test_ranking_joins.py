@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators.joins import broadcastable, hot_keys, lookup, salted_join
 from ledgerlark.operators.lineage import materialise, shared_dir
+from ledgerlark.operators.quantiles import group_quantiles
 from ledgerlark.operators.ranking import add_tiles, global_rank
 from tests.shop import rows
 
@@ -137,3 +138,34 @@ def test_materialise_uses_the_configured_folder(spark):
     df = materialise(spark.range(5), "t")
     assert df.inputFiles()[0].split("/t-")[0].endswith(shared_dir(spark).split(":")[-1])
     assert df.count() == 5
+
+
+@pytest.mark.parametrize("large", [10, 1 << 40])
+def test_quantiles_of_groups_of_any_size(spark, conf, large):
+    conf("spark.sql.shuffle.partitions", "6")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    group = F.when(F.col("id") % 2 == 0, "half").when(F.col("id") % 4 == 1, None).when(F.col("id") % 100 == 3, "few").otherwise(F.concat(F.lit("g"), F.col("id") % 300))
+    value = F.when(F.col("id") % 11 != 0, (F.col("id") * 7919 % 1000) / 8).otherwise(F.when(F.col("id") % 3 == 0, 5.0))
+    df = spark.range(0, 5_000, 1, 7).select(group.alias("g"), value.alias("v"), F.lit("x").alias("n"))
+    probabilities = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
+    got = group_quantiles(df, ["g"], "v", probabilities, large)
+    want = df.groupBy("g").agg(F.count("v").alias("n"), *[F.percentile("v", F.lit(p)).alias(k) for k, p in probabilities.items()])
+    assert got.columns == want.columns
+    assert [(r[0], r[1], *[round(x, 9) if x is not None else x for x in r[2:]]) for r in sorted(rows(got), key=str)] == [
+        (r[0], r[1], *[round(x, 9) if x is not None else x for x in r[2:]]) for r in sorted(rows(want), key=str)
+    ]
+    assert rows(group_quantiles(df.limit(0), ["g"], "v", probabilities, large)) == []
+
+
+def test_one_group_of_all_rows_is_spread(spark, conf, monkeypatch):
+    from ledgerlark.operators import quantiles
+
+    written = {}
+    real = quantiles.materialise
+    monkeypatch.setattr(quantiles, "materialise", lambda df, label: written.setdefault(label, real(df, label)))
+    conf("spark.sql.shuffle.partitions", "6")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.range(30_000).select(F.lit(1).alias("g"), (F.col("id") * 31 % 30_000).alias("v"))
+    assert rows(group_quantiles(df, ["g"], "v", {"m": 0.5}, 100)) == [(1, 30_000, 14_999.5)]
+    sizes = [r["count"] for r in written["group-order"].groupBy("part").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 10_000
