@@ -77,11 +77,7 @@ def customer_ltv(t: Tables, n: int = 25) -> DataFrame:
 
 def top_products(t: Tables, per_category: int = 3) -> DataFrame:
     """Best-selling products of each category. A product has one category, so it is attached after the fold."""
-    per_product = (
-        facts.delivered_items(t)
-        .groupBy("product_id")
-        .agg(F.count("*").alias("times_sold"), F.sum("line_value").alias("revenue"))
-    )
+    per_product = facts.product_totals(t).select("product_id", F.col("items_sold").alias("times_sold"), "revenue")
     best_first = Window.partitionBy("category").orderBy(F.desc("revenue"), "product_id")
     return (
         per_product.join(facts.product_category(t), "product_id")
@@ -161,11 +157,5 @@ def daily_revenue(t: Tables, by: str | None = None) -> DataFrame:
             orders = facts.with_customer(t, orders, by).withColumnRenamed(by, "series_id")
         keys = ["day"] if by is None else ["series_id", "day"]
         return orders.groupBy(*keys).agg(F.sum("order_value").alias("revenue"), F.count("*").alias("orders"))
-    lines = facts.delivered_items(t)
-    if by == "category":
-        lines = facts.with_category(t, lines)
-    return (
-        lines.withColumnRenamed(by, "series_id")
-        .groupBy("series_id", "day")
-        .agg(F.sum("line_value").alias("revenue"), F.count_distinct("order_id").alias("orders"))
-    )
+    parts = facts.delivered_parts(t, by).withColumnRenamed(by, "series_id")
+    return parts.groupBy("series_id", "day").agg(F.sum("value").alias("revenue"), F.count("*").alias("orders"))

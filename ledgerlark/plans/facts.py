@@ -44,11 +44,16 @@ def delivered_totals(t: Tables) -> DataFrame:
     return orders.join(order_totals(t).select("order_id", "items_count", "order_value"), "order_id")
 
 
-def delivered_items(t: Tables) -> DataFrame:
-    """Item lines of delivered orders."""
+def delivered_parts(t: Tables, key: str) -> DataFrame:
+    """order_id, day, key, n, value: the lines of delivered orders, one row per order and value of `key` (product_id, seller_id or
+    category). Folded before they meet the orders, so an order or a product with many lines is few rows by then."""
+    column = "product_id" if key == "category" else key
+    lines = t.order_items.select("order_id", column, line_value().alias("line_value"))
+    parts = lines.groupBy("order_id", column).agg(F.count("*").alias("n"), F.sum("line_value").alias("value"))
+    if key == "category":
+        parts = with_category(t, parts).groupBy("order_id", "category").agg(F.sum("n").alias("n"), F.sum("value").alias("value"))
     orders = delivered(t).select("order_id", F.col("order_purchase_timestamp").cast("date").alias("day"))
-    lines = t.order_items.select("order_id", "product_id", "seller_id", line_value().alias("line_value"))
-    return lookup(lines, orders, "order_id", hot_source=t.order_items)
+    return parts.join(orders, "order_id")
 
 
 def with_customer(t: Tables, orders: DataFrame, *columns: str) -> DataFrame:
@@ -56,24 +61,25 @@ def with_customer(t: Tables, orders: DataFrame, *columns: str) -> DataFrame:
     return lookup(orders, t.customers.select("customer_id", *columns), "customer_id", hot_source=t.orders)
 
 
-def _totals_by(t: Tables, lines: DataFrame, key: str) -> DataFrame:
-    """Orders, items and revenue of delivered orders per key, from lines folded to one row per order and key first."""
-    per_order = lines.groupBy("order_id", key).agg(F.count("*").alias("n"), F.sum("line_value").alias("value"))
-    sold = per_order.join(delivered(t).select("order_id"), "order_id")
-    return sold.groupBy(key).agg(
+def _totals_by(t: Tables, key: str) -> DataFrame:
+    """Orders, items and revenue of delivered orders per key."""
+    return delivered_parts(t, key).groupBy(key).agg(
         F.count("*").alias("orders"), F.sum("n").alias("items_sold"), F.sum("value").alias("revenue")
     )
 
 
 def seller_totals(t: Tables) -> DataFrame:
     """Delivered volume per seller; the seller's own columns are joined afterwards, one row to one row."""
-    return _totals_by(t, t.order_items.select("order_id", "seller_id", line_value().alias("line_value")), "seller_id")
+    return _totals_by(t, "seller_id")
+
+
+def product_totals(t: Tables) -> DataFrame:
+    return _totals_by(t, "product_id")
 
 
 def category_totals(t: Tables) -> DataFrame:
     """Delivered volume per display category."""
-    lines = t.order_items.select("order_id", "product_id", line_value().alias("line_value"))
-    return _totals_by(t, with_category(t, lines), "category")
+    return _totals_by(t, "category")
 
 
 def product_category(t: Tables) -> DataFrame:
