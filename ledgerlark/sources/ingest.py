@@ -104,10 +104,13 @@ def coerced_cells(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     return counted.select(F.lit(spec.name).alias("table"), F.inline(cells))
 
 
-def read_series(spark: SparkSession, path: str) -> DataFrame:
-    """A daily series file with the columns day, revenue and orders, as series_id, day, value, orders."""
-    rows = spark.read.csv(path, header=True, schema="day date, revenue decimal(18,4), orders bigint", mode="FAILFAST")
-    return rows.select(F.lit("all").alias("series_id"), "day", F.col("revenue").alias("value"), "orders")
+def read_series(spark: SparkSession, path: str, named: bool = False) -> DataFrame:
+    """A daily series file with the columns day, revenue and orders, as series_id, day, value, orders. With `named` the
+    file has a series_id before them and may hold many series."""
+    columns = "day date, revenue decimal(18,4), orders bigint"
+    rows = spark.read.csv(path, header=True, schema=f"series_id string, {columns}" if named else columns, mode="FAILFAST")
+    series = F.col("series_id") if named else F.lit("all").alias("series_id")
+    return rows.select(series, "day", F.col("revenue").alias("value"), "orders")
 
 
 def write_load(df: DataFrame, root: str, table: str, load: str) -> None:

@@ -430,9 +430,8 @@ def all_models(t: Tables) -> DataFrame:
 
 @raw_query("ingest_daily_series")
 def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One panel series written as a CSV file of day, revenue, orders, and read back."""
-    t = adapter.load(spark, sf_dir)
-    panel = _panel(t).where("series_id = 'ASIA'").select("day", F.col("value").alias("revenue"), "orders")
+    """The panel written as CSV files of series_id, day, revenue, orders, and read back."""
+    panel = _panel(adapter.load(spark, sf_dir)).select("series_id", "day", F.col("value").alias("revenue"), "orders")
     path = f"{shared_dir(spark)}/series-{uuid4().hex}"
     panel.write.csv(path, header=True)
-    return ingest.read_series(spark, path)
+    return ingest.read_series(spark, path, named=True)

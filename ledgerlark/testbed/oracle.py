@@ -821,6 +821,5 @@ ORACLE = {
     "fc_all_models": sql("""
         SELECT series_id, metric, 1 AS naive, 1 AS seasonal_naive, 1 AS trend_seasonal, 1 AS gbt, 1 AS gbt_depth_6
         FROM (SELECT DISTINCT series_id FROM split WHERE is_test), (VALUES ('mae'), ('rmse'), ('mape')) AS m(metric)"""),
-    "ingest_daily_series": sql(f"""
-        SELECT 'all' AS series_id, day, {units('u')} AS value, n AS orders FROM panel WHERE series_id = 'ASIA'"""),
+    "ingest_daily_series": sql(f"SELECT series_id, day, {units('u')} AS value, n AS orders FROM panel"),
 }
