@@ -161,10 +161,19 @@ def rows_of(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 def without(docs: DataFrame, keys: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The rows of `docs`, all columns, whose text_key is not in `keys` (distinct, one column, an already written table)."""
+    return _by_key(docs, keys, doc_id, text, "left_anti")
+
+
+def only(docs: DataFrame, keys: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The other rows: those whose text_key is in `keys`."""
+    return _by_key(docs, keys, doc_id, text, "left_semi")
+
+
+def _by_key(docs: DataFrame, keys: DataFrame, doc_id: str, text: str, how: str) -> DataFrame:
     few = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     own = keys.withColumnRenamed(keys.columns[0], "_gone")
     same = F.xxhash64(docs[doc_id], F.coalesce(docs[text], F.lit(""))) == own["_gone"]
-    return docs.join(F.broadcast(own) if few else own.hint("merge"), same, "left_anti")
+    return docs.join(F.broadcast(own) if few else own.hint("merge"), same, how)
 
 
 def crc_fold(doc_id: Column, folds: int) -> Column:
