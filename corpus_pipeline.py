@@ -11,7 +11,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import without
+from ledgerlark.llm.common import only, without
 from ledgerlark.llm.decontaminate import leaks
 from ledgerlark.llm.mixing import PRODUCTION, Mix, domain_of, mixture
 from ledgerlark.llm.near_dup import near_duplicates
@@ -32,10 +32,11 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """One document, that of the smallest id, of each group of near duplicates; of rows of equal id and text one."""
     found = materialise(near_duplicates(docs).groupBy("text_key").agg(F.count("*").alias("n"), F.bool_or("kept").alias("kept")), "groups")
     gone = found.where("not kept or n > 1").select("text_key")
-    repeats = found.where("kept and n > 1").select("text_key")
-    key = F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit("")))
-    again = docs.join(repeats, key == F.col("text_key"), "left_semi").dropDuplicates(["doc_id", "text"])
-    return without(docs, materialise(gone, "duplicates"), "doc_id", "text").union(again)
+    rest = without(docs, materialise(gone, "duplicates"), "doc_id", "text")
+    repeats = materialise(found.where("kept and n > 1").select("text_key"), "repeats")
+    if repeats.isEmpty():
+        return rest
+    return rest.union(only(docs, repeats, "doc_id", "text").dropDuplicates(["doc_id", "text"]))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
