@@ -114,28 +114,29 @@ def _again(own: DataFrame, spec: TableSpec, stored: DataFrame) -> DataFrame:
     return _report_row(again, spec.name, "primary_key", f"{', '.join(key)} (stored)", F.count("*"))
 
 
-def validate_batch(batch: Tables, stored: Tables | dict[str, DataFrame], specs: tuple[TableSpec, ...] = SPECS) -> DataFrame:
+def validate_batch(batch: Tables, stored: dict[str, DataFrame], specs: tuple[TableSpec, ...] = SPECS) -> DataFrame:
     """The constraints of a batch that is to join a store whose own rows were checked when they came.
 
     Only rows of the batch are counted: its keys against themselves and against the stored keys, its references against
     the stored and its own parents. `stored` needs the key columns alone, and only those keys that the batch adds or
-    refers to.
+    refers to; a table that holds none of them may be missing.
     """
-    reports = []
+    reports = [repeated_keys(batch, stored, specs)] if stored else []
     for spec in specs:
         own = batch[spec.name]
         reports.append(check_rows(own, spec))
         reports.append(check_key(own, spec.name, spec.key))
-        reports.append(_again(own, spec, stored[spec.name]))
         for column, (parent, parent_key) in spec.references.items():
-            parents = stored[parent].select(parent_key).union(batch[parent].select(parent_key))
+            parents = batch[parent].select(parent_key)
+            if parent in stored:
+                parents = stored[parent].select(parent_key).union(parents)
             reports.append(check_reference(own, spec.name, column, parents, parent, parent_key))
     return stack_reports(reports).select(*REPORT)
 
 
-def repeated_keys(batch: Tables, stored: Tables | dict[str, DataFrame], specs: tuple[TableSpec, ...] = SPECS) -> DataFrame:
-    """Of the checks of a batch those that rows stored since can break."""
-    return stack_reports([_again(batch[spec.name], spec, stored[spec.name]) for spec in specs]).select(*REPORT)
+def repeated_keys(batch: Tables, stored: dict[str, DataFrame], specs: tuple[TableSpec, ...] = SPECS) -> DataFrame:
+    """Of the checks of a batch those that rows stored since can break; `stored` is not empty."""
+    return stack_reports([_again(batch[s.name], s, stored[s.name]) for s in specs if s.name in stored]).select(*REPORT)
 
 
 def assert_valid(report: DataFrame) -> None:

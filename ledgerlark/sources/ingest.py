@@ -157,8 +157,8 @@ def publish_batch(spark: SparkSession, batch: dict[str, DataFrame], dst_dir: str
         store.write_filters(batch, stats, dst_dir, load)
 
         def recheck(fresh: list[store.Load]) -> None:
-            stored = store.stored_keys(spark, dst_dir, batch, fresh, references=False)
-            quality.assert_valid(quality.repeated_keys(tables, stored))
+            if stored := store.stored_keys(spark, dst_dir, batch, fresh, references=False):
+                quality.assert_valid(quality.repeated_keys(tables, stored))
 
         store.publish(spark, dst_dir, seen, store.added(store.Load(load, stats)), recheck)
         return spark.createDataFrame([(name, s.rows) for name, s in stats.items()], "table string, rows long")

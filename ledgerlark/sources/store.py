@@ -240,20 +240,19 @@ def possible_keys(spark: SparkSession, root: str, wanted: DataFrame, loads: Iter
 
 
 def stored_keys(spark: SparkSession, root: str, batch: dict[str, DataFrame], loads: Iterable[Load], references: bool = True) -> dict[str, DataFrame]:
-    """For each table the stored keys among those that the batch adds or refers to (an action).
+    """The stored keys among those that the batch adds or refers to, of every table that may hold some (an action).
 
     Only loads whose range and filter admit a key are read, by their key columns; the keys that are asked for are
     joined to them, so a filter's false alarms are found out.
     """
     loads = list(loads)
-    nothing = {spec.name: spark.createDataFrame([], T.StructType([spec.schema[k] for k in spec.key])) for spec in SPECS}
     if not loads:
-        return nothing
+        return {}
     candidates = materialise(possible_keys(spark, root, probes(batch, references=references), loads), "candidates")
     where: dict[str, list[str]] = {}
     for row in candidates.groupBy("table", "load").count().collect():  # at most eight rows per load
         where.setdefault(row["table"], []).append(row["load"])
-    return {**nothing, **{table: confirmed(spark, root, candidates, table, names) for table, names in where.items()}}
+    return {table: confirmed(spark, root, candidates, table, names) for table, names in where.items()}
 
 
 def confirmed(spark: SparkSession, root: str, candidates: DataFrame, table: str, names: list[str]) -> DataFrame:

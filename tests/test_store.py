@@ -95,7 +95,7 @@ def test_only_loads_that_may_hold_a_key_are_read(spark, tmp_path):
     assert rows(stored["orders"].orderBy("order_id")) == [("p2",), ("q1",)]  # repeated or referred to
     read = {path.split("/orders/")[1].split("/")[0] for path in stored["orders"].inputFiles() if "/orders/" in path}
     assert read == {loads[2].name, loads[3].name}
-    assert rows(stored["order_items"]) == [("p2", 1)] and stored["order_reviews"].inputFiles() == []
+    assert rows(stored["order_items"]) == [("p2", 1)] and "order_reviews" not in stored
     with pytest.raises(ConstraintError, match=r"orders: primary_key\(order_id \(stored\)\) 1; order_items: primary_key\(order_id, order_item_id \(stored\)\) 1"):
         ingest.publish_batch(spark, late, root)
     with pytest.raises(ConstraintError, match="foreign_key"):
