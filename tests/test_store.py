@@ -188,3 +188,41 @@ def test_a_refresh_reads_no_items_of_older_loads(spark, tmp_path, monkeypatch):
 
 def test_states_of_an_empty_store(spark, tmp_path):
     assert customer_states.customer_clv(spark, str(tmp_path)).collect() == []
+
+
+def raw_tables(spark, folder, customers: list[int], sellers: list[int]) -> str:
+    """The driver's tables with the given customer and seller numbers: an order per customer, a line per order."""
+    day = "TIMESTAMP_NTZ'1998-01-01 00:00:00'"
+    orders = [(10 * i, c, sellers[i % len(sellers)]) for i, c in enumerate(customers)]
+    sold = spark.createDataFrame(orders, "o long, c long, s long")
+    frames = {
+        "region": spark.sql("SELECT 0 AS r_regionkey, 'R' AS r_name"),
+        "nation": spark.sql("SELECT 0 AS n_nationkey, 'NATION' AS n_name, 0 AS n_regionkey"),
+        "customer": sold.selectExpr("c AS c_custkey", "'C' AS c_name", "0 AS c_nationkey", "1D AS c_acctbal", "'M' AS c_mktsegment"),
+        "supplier": sold.selectExpr("s AS s_suppkey", "'S' AS s_name", "0 AS s_nationkey", "1D AS s_acctbal").distinct(),
+        "part": spark.sql("SELECT 1L AS p_partkey, 'p' AS p_name, 'b' AS p_brand, 'LARGE' AS p_type, 1 AS p_size, 1D AS p_retailprice"),
+        "orders": sold.selectExpr(
+            "o AS o_orderkey", "c AS o_custkey", "'F' AS o_orderstatus", "1D AS o_totalprice", f"{day} AS o_orderdate", "'1' AS o_orderpriority"
+        ),
+        "lineitem": sold.selectExpr(
+            "o AS l_orderkey", "1L AS l_partkey", "s AS l_suppkey", "1 AS l_linenumber", "1D AS l_quantity", "10D AS l_extendedprice",
+            "0D AS l_discount", "0D AS l_tax", "'N' AS l_returnflag", "'O' AS l_linestatus", f"{day} AS l_shipdate",
+        ),
+        "events": sold.selectExpr("2 * o AS event_id", f"{day} AS ts", "c AS user_id", "'view' AS event_type", "1D AS value", "'' AS props"),
+        "conversations": sold.selectExpr("o AS conv_id", "o AS turn", "'user' AS role", "'t' AS text"),
+    }
+    for name, df in frames.items():
+        df.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_keys_of_more_than_five_digits_enter_the_store(spark, tmp_path):
+    from ledgerlark.testbed.catalog import _batches
+
+    folder = raw_tables(spark, tmp_path, [7, 99_999, 100_000, 1_234_567], [3, 360_000])
+    first = _batches(spark, folder)[0]
+    codes = {r.customer_id: r.customer_zip_code_prefix for r in first["customers"].collect()}
+    assert codes == {"7": "00007", "99999": "99999", "100000": "00000", "1234567": "34567"}
+    assert {r.seller_zip_code_prefix for r in first["sellers"].collect()} == {"00003", "60000"}
+    rows_of = {r["table"]: r["rows"] for r in ingest.publish_batch(spark, first, str(tmp_path / "store")).collect()}
+    assert (rows_of["customers"], rows_of["sellers"], rows_of["orders"]) == (4, 2, 2)
