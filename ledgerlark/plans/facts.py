@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import days_between, first_match, month_start
-from ledgerlark.operators.joins import lookup
+from ledgerlark.operators.joins import lookup, spread
 from ledgerlark.sources.tables import Tables
 
 DELIVERED = "delivered"
@@ -44,16 +44,20 @@ def delivered_totals(t: Tables) -> DataFrame:
     return orders.join(order_totals(t).select("order_id", "items_count", "order_value"), "order_id")
 
 
+def _line_columns(t: Tables) -> DataFrame:
+    """What the folds read of the items; its size gives the partitions of their joins."""
+    return t.order_items.select("order_id", "product_id", "price", "freight_value")
+
+
 def delivered_parts(t: Tables, key: str) -> DataFrame:
     """order_id, day, key, n, value: the lines of delivered orders, one row per order and value of `key` (product_id, seller_id or
-    category). Folded before they meet the orders, so an order or a product with many lines is few rows by then."""
-    column = "product_id" if key == "category" else key
-    lines = t.order_items.select("order_id", column, line_value().alias("line_value"))
-    parts = lines.groupBy("order_id", column).agg(F.count("*").alias("n"), F.sum("line_value").alias("value"))
-    if key == "category":
-        parts = with_category(t, parts).groupBy("order_id", "category").agg(F.sum("n").alias("n"), F.sum("value").alias("value"))
+    category). Folded once before they meet the orders, so an order or a product with many lines is few rows by then; categories
+    are attached before, as a second fold would hold the lines in memory twice."""
+    lines = t.order_items.select("order_id", "product_id" if key == "category" else key, line_value().alias("line_value"))
+    lines = with_category(t, lines) if key == "category" else lines
+    parts = lines.groupBy("order_id", key).agg(F.count("*").alias("n"), F.sum("line_value").alias("value"))
     orders = delivered(t).select("order_id", F.col("order_purchase_timestamp").cast("date").alias("day"))
-    return parts.join(orders, "order_id")
+    return spread(parts, "order_id", sized_by=_line_columns(t)).join(orders, "order_id")
 
 
 def with_customer(t: Tables, orders: DataFrame, *columns: str) -> DataFrame:
@@ -98,6 +102,7 @@ def with_category(t: Tables, lines: DataFrame) -> DataFrame:
         "product_id",
         hot_source=t.order_items,
         sized_by=t.products.select("product_id", "product_category_name"),
+        spread_by=_line_columns(t),
     )
 
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 
 import __spark_entry__ as contract
+from ledgerlark.operators import joins
 from ledgerlark.operators import series as S
 from ledgerlark.plans import analyses, dashboard, facts, forecast, views
 from ledgerlark.sources.tables import read_tables
@@ -83,6 +85,22 @@ def test_lines_are_folded_per_order_before_the_orders_are_joined(store, conf, op
     assert text.index("SortMergeJoin") < text.rindex("partial_sum")
 
 
+def test_lines_are_folded_once_per_order_and_category(store):
+    text = plan(facts.category_totals(store))
+    keys = re.findall(r"HashAggregate\(keys=\[([^\]]*)\]", text)
+    assert any("order_id" in k and "category" in k for k in keys) and not any("product_id" in k for k in keys)
+
+
+def test_joins_of_the_fold_get_partitions_by_size(store, conf, monkeypatch):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    want = sorted(map(tuple, facts.category_totals(store).collect()))
+    monkeypatch.setattr(joins, "PART_BYTES", 100)
+    n = -(-joins.estimated_bytes(facts._line_columns(store)) // 100)
+    df = facts.category_totals(store)
+    assert n > 8 and plan(df).count(f", {n}), REPARTITION_BY_NUM") == 2
+    assert sorted(map(tuple, df.collect())) == want
+
+
 def test_totals_of_the_seller_list_reuse_the_fold(store):
     df = dashboard.top_sellers(store)
     df.collect()
